@@ -16,14 +16,20 @@ from fleetlake.sources.layers import Layer, scratch_dir
 
 RUN_TS = datetime(2026, 1, 1)
 
+_plans: dict[tuple[str, str, str], DataFrame] = {}
 _gold_layers: dict[tuple[str, str], Layer] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in views.SOURCES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sources = {s: view(spark, sf_dir, s) for s in views.sources_of(name)}
-    return spark.sql(views.spark_sql(name), **sources)
+    """A driver table or a view over some; the plan (not the data) is made once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _plans:
+        if name in views.SOURCES:
+            _plans[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            sources = {s: view(spark, sf_dir, s) for s in views.sources_of(name)}
+            _plans[key] = spark.sql(views.spark_sql(name), **sources)
+    return _plans[key]
 
 
 def dirty(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

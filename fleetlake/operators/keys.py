@@ -6,10 +6,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+_MOST_BUCKETS = 8192
 
 
-def surrogate_key(df: DataFrame, id_column: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+def _cut_points(df: DataFrame, id_column: str, buckets: int) -> list[float]:
+    """Quantiles of the ids, at most one less than there are buckets."""
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    quantiles = F.expr(f"percentile_approx(`{id_column}`, array({shares}), {20 * buckets})")
+    found = df.agg(quantiles).first()[0]
+    return sorted({float(cut) for cut in found or []})
+
+
+def surrogate_key(
+    df: DataFrame, id_column: str, key: str, buckets: int | None = None
+) -> DataFrame:
     """Number the rows 1..n in order of a unique numeric id.
 
     ``row_number`` over the whole table would sort it in one task. The ids are
@@ -17,16 +27,15 @@ def surrogate_key(df: DataFrame, id_column: str, key: str, buckets: int = BUCKET
     many rows however the ids are spread; each bucket is numbered on its own,
     from the count of rows in the buckets before it. The cut points (at most
     ``buckets`` numbers) are fetched once and are constants of the plan, so a
-    recomputed task puts every row in the same bucket as before.
+    recomputed task puts every row in the same bucket as before. By default there
+    are four buckets per shuffle partition.
     """
-    cuts = df.agg(
-        F.percentile_approx(
-            id_column, [i / buckets for i in range(1, buckets)], F.lit(20 * buckets)
-        )
-    ).first()[0]
-    splits = [float("-inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
-    if len(splits) < 3:  # an empty table still needs a valid bucketing
-        splits.insert(1, 0.0)
+    if buckets is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(4 * partitions, _MOST_BUCKETS)
+    # an empty table still needs a valid bucketing
+    cuts = _cut_points(df, id_column, buckets) or [0.0]
+    splits = [float("-inf"), *cuts, float("inf")]
     bucketed = (
         Bucketizer(
             splits=splits, inputCol="_id", outputCol="_bucket", handleInvalid="keep"
