@@ -16,8 +16,24 @@ from fleetlake.sources.layers import Layer, scratch_dir
 
 RUN_TS = datetime(2026, 1, 1)
 
+# The driver writes a table as one file, often of one row group, which one task reads.
+# Rows of the larger tables are spread by these columns unless there are files for all cores.
+SPREAD_BY = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+}
+
 _plans: dict[tuple[str, str, str], DataFrame] = {}
-_gold_layers: dict[tuple[str, str], Layer] = {}
+_gold: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and len(df.inputFiles()) < cores:
+        df = df.repartition(cores, *SPREAD_BY[name])
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +41,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _plans:
         if name in views.SOURCES:
-            _plans[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            _plans[key] = source(spark, sf_dir, name)
         else:
             sources = {s: view(spark, sf_dir, s) for s in views.sources_of(name)}
             _plans[key] = spark.sql(views.spark_sql(name), **sources)
@@ -66,15 +82,11 @@ def broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tables | broken
 
 
-def gold_layer(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> Layer:
-    """The published star schema of a directory; reports read it as stored tables."""
+def gold(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> dict[str, DataFrame]:
+    """The published star schema over a directory, built once per session; reports read it."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if fresh or key not in _gold_layers:
+    if fresh or key not in _gold:
         layer = Layer(spark, scratch_dir(spark), "gold")
         jobs.refresh_gold(silver_tables(spark, sf_dir), layer)
-        _gold_layers[key] = layer
-    return _gold_layers[key]
-
-
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return gold_layer(spark, sf_dir).tables(jobs.GOLD_TABLES)
+        _gold[key] = layer.tables(jobs.GOLD_TABLES)
+    return _gold[key]

@@ -14,7 +14,7 @@ from fleetlake.operators import keys, quality
 from fleetlake.plans import gold, rating, reports
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
-from fleetlake.sources.layers import Layer, scratch_dir
+from fleetlake.sources.layers import Layer, scratch_dir, side_by_side
 
 
 def clean(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,14 @@ def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
     directory = scratch_dir(spark)
-    for table in schemas.TABLES:
+
+    def write(table: str) -> None:
         df = model.dirty(spark, sf_dir, table) if dirty else model.view(spark, sf_dir, table)
         if table == "car_condition":  # a raw date is at most 20 characters long
             df = df.withColumn("entry_date", F.col("entry_date").cast("date"))
         csv.write_csv(df, csv.table_path(directory, table))
+
+    side_by_side(spark, {table: partial(write, table) for table in schemas.TABLES})
     return directory
 
 
@@ -103,7 +106,7 @@ def publish_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer = Layer(spark, scratch_dir(spark), "gold")
     for _ in range(2):
         layer.refresh(
-            lambda _stored: [("dim_client", gold.dim_client(model.silver(spark, sf_dir, "customers")))],
+            [{"dim_client": lambda _: gold.dim_client(model.silver(spark, sf_dir, "customers"))}],
             lambda written: quality.primary_key_violations(written, schemas.GOLD_PRIMARY_KEYS),
         )
     return layer.table("dim_client")

@@ -85,10 +85,10 @@ VIEWS = {
     "payment_lines": """
         select l_linenumber * cast(72057594037927936 as bigint) + hash56(concat_ws('|',
             cast(l_orderkey as string), cast(l_partkey as string), cast(l_suppkey as string),
-            cast(cast(l_quantity as decimal(18,2)) as string),
-            cast(cast(l_extendedprice as decimal(18,2)) as string),
-            cast(cast(l_discount as decimal(18,2)) as string),
-            cast(cast(l_tax as decimal(18,2)) as string),
+            cast(cast(floor(l_quantity) as bigint) as string),
+            cast(cast(floor(l_extendedprice * 100 + 0.5) as bigint) as string),
+            cast(cast(floor(l_discount * 100 + 0.5) as bigint) as string),
+            cast(cast(floor(l_tax * 100 + 0.5) as bigint) as string),
             l_returnflag, l_linestatus, cast(cast(l_shipdate as date) as string)))hash56
           as payment_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
           l_returnflag, l_linestatus, l_shipdate

@@ -14,23 +14,21 @@ def main() -> None:
     parser.add_argument("job", choices=["load-raw", "clean", "load-silver", "build-gold", "report"])
     parser.add_argument("--source", help="directory of the CSV files")
     parser.add_argument("--lake", required=True, help="directory of the layers")
-    parser.add_argument("--name", help="one report only")
+    parser.add_argument(
+        "--multi-line", action="store_true", help="quoted text may hold line breaks"
+    )
     args = parser.parse_args()
     if args.job in ("load-raw", "clean") and not args.source:
         parser.error(f"{args.job} needs --source")
 
     spark = SparkSession.builder.appName(f"fleetlake {args.job}").getOrCreate()
-    if args.job == "report":
-        for name, report in jobs.run_reports(spark, args.lake).items():
-            if args.name in (None, name):
-                print(name)
-                report.show(truncate=False)
-        return
+    multi = {"multi_line": args.multi_line}
     rows = {
-        "load-raw": lambda: jobs.load_raw(spark, args.source, args.lake),
-        "clean": lambda: jobs.clean_all(spark, args.source, args.lake),
+        "load-raw": lambda: jobs.load_raw(spark, args.source, args.lake, **multi),
+        "clean": lambda: jobs.clean_all(spark, args.source, args.lake, **multi),
         "load-silver": lambda: jobs.load_silver(spark, args.lake),
         "build-gold": lambda: jobs.build_gold(spark, args.lake),
+        "report": lambda: jobs.store_reports(spark, args.lake),
     }[args.job]()
     for table, count in rows.items():
         print(f"{table:20} {count}")

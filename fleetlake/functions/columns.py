@@ -22,13 +22,12 @@ NA_TOKENS = [
 TRUE_WORDS = ["true", "t", "yes", "y", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "0"]
 
-# Spark's casts take more than these forms ('2024', '12d', 'NaN'), so text is matched first.
-_DATE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+# Spark's casts take more than these forms ('2024', '12d', 'NaN'), so text is matched
+# first. Years are those that nanosecond timestamps hold in full.
+_YEAR = r"(167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
+_DATE = rf"^{_YEAR}-\d\d-\d\d([ T]\d\d:\d\d(:\d\d(\.\d+)?)?)?$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Dates outside the range of nanosecond timestamps count as bad.
-_FIRST_DATE, _LAST_DATE = date(1677, 9, 22), date(2262, 4, 11)
-
 
 def na_to_null(c: Column) -> Column:
     return F.when(~c.isin(NA_TOKENS), c)
@@ -36,20 +35,17 @@ def na_to_null(c: Column) -> Column:
 
 def iso_date(c: Column) -> Column:
     """ISO text (a time part is dropped) to date; anything else to null."""
-    parsed = F.when(c.rlike(_DATE), c.try_cast("date"))
-    return F.when(parsed.between(F.lit(_FIRST_DATE), F.lit(_LAST_DATE)), parsed)
+    return F.when(c.rlike(_DATE), c.try_cast("date"))
 
 
 def iso_timestamp(c: Column) -> Column:
     """ISO text to a timestamp without zone; anything else to null."""
-    parsed = F.when(c.rlike(_DATE), c.try_cast("timestamp_ntz"))
-    return F.when(parsed.cast("date").between(F.lit(_FIRST_DATE), F.lit(_LAST_DATE)), parsed)
+    return F.when(c.rlike(_DATE), c.try_cast("timestamp_ntz"))
 
 
 def number(c: Column) -> Column:
-    """Plain decimal text to double; other text, NaN and infinities to null."""
-    parsed = F.when(c.rlike(_NUMBER), c.try_cast("double"))
-    return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
+    """Plain decimal text to double; other text, 'NaN' and 'Infinity' too, to null."""
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def clip(c: Column, low=None, high=None) -> Column:

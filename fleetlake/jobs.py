@@ -1,10 +1,10 @@
 """The jobs as a user runs them, each a full refresh of one layer.
 
-    spark-submit -m fleetlake load-raw    --source DIR --lake DIR
-    spark-submit -m fleetlake clean       --source DIR --lake DIR
-    spark-submit -m fleetlake load-silver --lake DIR
-    spark-submit -m fleetlake build-gold  --lake DIR
-    spark-submit -m fleetlake report      --lake DIR [--name NAME]
+    python -m fleetlake load-raw    --source DIR --lake DIR
+    python -m fleetlake clean       --source DIR --lake DIR
+    python -m fleetlake load-silver --lake DIR
+    python -m fleetlake build-gold  --lake DIR
+    python -m fleetlake report      --lake DIR
 
 ``load-raw`` lands the source files as they are. ``clean`` and the steps after
 it start from the same files, not from the landed copy.
@@ -35,15 +35,14 @@ def load_raw(
     """CSV files to typed raw tables; ``on_missing="empty"`` allows absent files."""
     found = csv.check_sources(spark, source, need_all=on_missing == "error")
 
-    def build(_stored):
-        for table in schemas.TABLES:
-            if table in found:
-                path = csv.table_path(source, table)
-                yield table, csv.read_raw(spark, path, table, multi_line=multi_line)
-            else:
-                yield table, spark.createDataFrame([], schemas.raw_schema(table))
+    def build(table: str) -> DataFrame:
+        if table not in found:
+            return spark.createDataFrame([], schemas.raw_schema(table))
+        path = csv.table_path(source, table)
+        return csv.read_raw(spark, path, table, multi_line=multi_line)
 
-    return Layer(spark, lake, "raw").refresh(build)
+    stage = {t: lambda _stored, t=t: build(t) for t in schemas.TABLES}
+    return Layer(spark, lake, "raw").refresh([stage])
 
 
 def clean_all(
@@ -59,13 +58,14 @@ def clean_all(
     csv.check_sources(spark, source)
     run_ts = run_ts or datetime.now()
 
-    def build(_stored):
-        for table, clean in CLEANERS.items():
-            df = csv.read_source(spark, csv.table_path(source, table), multi_line=multi_line)
-            extra = {"as_of": as_of} if table == "customers" else {}
-            yield table, clean(df, run_ts=run_ts, **extra)
+    def build(table: str) -> DataFrame:
+        path = csv.table_path(source, table)
+        df = csv.read_source(spark, path, multi_line=multi_line)
+        extra = {"as_of": as_of} if table == "customers" else {}
+        return CLEANERS[table](df, run_ts=run_ts, **extra)
 
-    return Layer(spark, lake, "processed").refresh(build)
+    stage = {t: lambda _stored, t=t: build(t) for t in schemas.TABLES}
+    return Layer(spark, lake, "processed").refresh([stage])
 
 
 def _silver_check(tables) -> DataFrame:
@@ -84,9 +84,8 @@ def load_silver(
         }
     else:
         cleaned = Layer(spark, lake, "processed").tables(schemas.TABLES)
-    return Layer(spark, lake, "silver").refresh(
-        lambda _stored: ((t, cast_silver(t, cleaned[t])) for t in schemas.TABLES), _silver_check
-    )
+    stage = {t: lambda _stored, t=t: cast_silver(t, cleaned[t]) for t in schemas.TABLES}
+    return Layer(spark, lake, "silver").refresh([stage], _silver_check)
 
 
 def silver_profile(spark: SparkSession, lake: str) -> DataFrame:
@@ -99,14 +98,13 @@ def _gold_check(tables) -> DataFrame:
 
 def refresh_gold(silver, layer: Layer) -> dict[str, int]:
     """Write the dimensions, then the fact from the stored dimensions, and publish."""
+    dims = {name: lambda _stored, b=b: b(silver) for name, b in gold.DIMENSIONS.items()}
 
-    def build(stored):
-        yield from gold.build_dims(silver).items()
-        dims = {name: stored(name) for name in GOLD_TABLES if name != "fact_rentals"}
-        fact = gold.fact_rentals(silver["rentals"], silver["payments"], dims)
-        yield "fact_rentals", fact.withColumn("rental_month", F.trunc("rental_date", "MM"))
+    def fact(stored):
+        rows = gold.fact_rentals(silver["rentals"], silver["payments"], stored)
+        return rows.withColumn("rental_month", F.trunc("rental_date", "MM"))
 
-    return layer.refresh(build, _gold_check, FACT_LAYOUT)
+    return layer.refresh([dims, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
 
 
 def build_gold(spark: SparkSession, lake: str) -> dict[str, int]:
@@ -116,3 +114,10 @@ def build_gold(spark: SparkSession, lake: str) -> dict[str, int]:
 
 def run_reports(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     return reports.all_reports(Layer(spark, lake, "gold").tables(GOLD_TABLES))
+
+
+def store_reports(spark: SparkSession, lake: str) -> dict[str, int]:
+    """Write the reports as tables of their own."""
+    made = run_reports(spark, lake)
+    stage = {name: lambda _stored, df=df: df for name, df in made.items()}
+    return Layer(spark, lake, "reports").refresh([stage])

@@ -1,18 +1,21 @@
 """Exact column medians without gathering a column in one task.
 
-Spark's ``median`` merges every distinct value into a single buffer. Here the
-values are counted by hash aggregation (so repeats combine map-side), the
-counts are summed per narrow value slice, and only the slice that holds the
-middle rank is ordered.
+Spark's ``median`` merges every distinct value into a single buffer. Here a
+first pass counts the rows per narrow slice of values, which combines map-side
+to almost nothing, and finds the slice that holds the middle rank. A second
+pass counts and orders the values of that slice only.
 """
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLICES_PER_OCTAVE = 256
 _ZERO_SLICE = 1 << 20  # above the number of slices that doubles of one sign can fall in
+_LARGEST = sys.float_info.max
 
 
 def _slice(value: Column) -> Column:
@@ -20,7 +23,8 @@ def _slice(value: Column) -> Column:
 
     Doubles span about 2100 octaves, so there are a bounded number of slices.
     """
-    magnitude = F.floor(F.log2(F.abs(value)) * _SLICES_PER_OCTAVE) + _ZERO_SLICE
+    size = F.least(F.abs(value), F.lit(_LARGEST))
+    magnitude = F.floor(F.log2(size) * _SLICES_PER_OCTAVE) + _ZERO_SLICE
     return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("int") * magnitude)
 
 
@@ -33,37 +37,46 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     pairs = F.array(
         *(F.struct(F.lit(i).alias("c"), columns[n].alias("v")) for i, n in enumerate(names))
     )
-    counts = (
+    values = (
         df.select(F.inline(pairs))
         .where(F.col("v").isNotNull())
-        .groupBy("c", "v")
-        .agg(F.count("*").alias("n"))
-        .withColumn("s", _slice(F.col("v")))
+        .select("c", "v", _slice(F.col("v")).alias("s"))
     )
 
     column = Window.partitionBy("c")
-    before = Window.partitionBy("c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = column.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     middle = (
-        counts.groupBy("c", "s")
-        .agg(F.sum("n").alias("in_slice"))
-        .withColumn("total", F.sum("in_slice").over(column))
-        .withColumn("before", F.coalesce(F.sum("in_slice").over(before), F.lit(0)))
-        .withColumn("low_rank", F.floor((F.col("total") + 1) / 2))
-        .withColumn("high_rank", F.floor(F.col("total") / 2) + 1)
+        values.groupBy("c", "s")
+        .agg(F.count("*").alias("in_slice"))
+        .select(
+            "c",
+            "s",
+            "in_slice",
+            F.coalesce(F.sum("in_slice").over(earlier), F.lit(0)).alias("before"),
+            F.sum("in_slice").over(column).alias("total"),
+        )
+        .select(
+            "*",
+            F.expr("(total + 1) div 2").alias("low_rank"),
+            F.expr("total div 2 + 1").alias("high_rank"),
+        )
         .where("before < high_rank AND before + in_slice >= low_rank")
         .select("c", "s", "before", "low_rank", "high_rank")
     )
 
     # At most two slices per column hold the middle ranks, so `middle` is a handful of rows.
-    ordered = Window.partitionBy("c", "s").orderBy("v")
+    slice_of = ["c", "s", "before", "low_rank", "high_rank"]
+    upto = F.sum("n").over(Window.partitionBy("c", "s").orderBy("v"))
     ranked = (
-        counts.join(F.broadcast(middle), ["c", "s"])
-        .withColumn("last", F.col("before") + F.sum("n").over(ordered))
-        .withColumn("first", F.col("last") - F.col("n") + 1)
+        values.join(F.broadcast(middle), ["c", "s"])
+        .groupBy(*slice_of, "v")
+        .agg(F.count("*").alias("n"))
+        .select("c", "v", "low_rank", "high_rank", "n", (F.col("before") + upto).alias("last"))
     )
 
-    def at(name: str) -> Column:
-        return F.min(F.when(F.col(name).between(F.col("first"), F.col("last")), F.col("v")))
+    def at(rank: str) -> Column:
+        first = F.col("last") - F.col("n") + 1
+        return F.min(F.when(F.col(rank).between(first, F.col("last")), F.col("v")))
 
     per_column = ranked.groupBy("c").agg(((at("low_rank") + at("high_rank")) / 2).alias("m"))
     return per_column.agg(

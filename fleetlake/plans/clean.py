@@ -79,12 +79,10 @@ def mark_shared_licenses(df: DataFrame) -> DataFrame:
 
 def clean_customers(df: DataFrame, *, run_ts: datetime, as_of: date | None = None) -> DataFrame:
     as_of = as_of or run_ts.date()
-    cleaned = df.withColumns(
+    dates = ["date_of_birth", "license_issue_date", "license_expiry_date", "registration_date"]
+    cleaned = df.withColumns({c: C.iso_date(F.col(c)) for c in dates}).withColumns(
         {
-            "date_of_birth": C.adult_birth_date(C.iso_date(F.col("date_of_birth")), as_of),
-            "license_issue_date": C.iso_date(F.col("license_issue_date")),
-            "license_expiry_date": C.iso_date(F.col("license_expiry_date")),
-            "registration_date": C.iso_date(F.col("registration_date")),
+            "date_of_birth": C.adult_birth_date(F.col("date_of_birth"), as_of),
             "email": C.email(F.col("email"), "unknown@example.com"),
         }
     )
@@ -183,11 +181,11 @@ CONDITION_BOUNDS = {"cost": (0, 20_000)}
 def clean_car_condition(
     df: DataFrame, *, run_ts: datetime, cost_bounds=CONDITION_BOUNDS
 ) -> DataFrame:
-    entered = C.iso_timestamp(F.col("entry_date"))
-    repaired = C.not_before(C.iso_timestamp(F.col("repair_date")), entered)
+    dates = {c: C.iso_timestamp(F.col(c)) for c in ("entry_date", "repair_date")}
+    repaired = C.not_before(F.col("repair_date"), F.col("entry_date")).cast("date")
     cleaned = (
-        _amounts(df, cost_bounds)
-        .withColumns({"entry_date": entered, "repair_date": repaired.cast("date")})
+        _amounts(df.withColumns(dates), cost_bounds)
+        .withColumn("repair_date", repaired)
         .withColumns(
             {
                 "is_repaired": F.col("repair_date").isNotNull()

@@ -73,15 +73,18 @@ def dim_tariff(tariffs: DataFrame) -> DataFrame:
     return surrogate_key(kept, "tariff_id", "tariff_key")
 
 
+DIMENSIONS = {
+    "dim_date": lambda silver: dim_date(silver["rentals"].sparkSession),
+    "dim_car": lambda silver: dim_car(silver["cars"]),
+    "dim_client": lambda silver: dim_client(silver["customers"]),
+    "dim_employee": lambda silver: dim_employee(silver["employees"]),
+    "dim_location": lambda silver: dim_location(silver["locations"]),
+    "dim_tariff": lambda silver: dim_tariff(silver["tariffs"]),
+}
+
+
 def build_dims(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dim_date(silver["rentals"].sparkSession),
-        "dim_car": dim_car(silver["cars"]),
-        "dim_client": dim_client(silver["customers"]),
-        "dim_employee": dim_employee(silver["employees"]),
-        "dim_location": dim_location(silver["locations"]),
-        "dim_tariff": dim_tariff(silver["tariffs"]),
-    }
+    return {name: build(silver) for name, build in DIMENSIONS.items()}
 
 
 def payment_rollup(payments: DataFrame) -> DataFrame:

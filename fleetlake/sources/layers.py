@@ -10,12 +10,29 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.sources.csv import path_exists
 
+Build = Callable[[Mapping[str, DataFrame]], DataFrame]
+
+
+def side_by_side(spark: SparkSession, work: Mapping[str, Callable]) -> dict:
+    """Run independent jobs at once, so that small ones fill what large ones leave idle.
+
+    All of them end before the first error, if any, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in work.items()
+        }
+    return {name: job.result() for name, job in running.items()}
+
 
 class IntegrityError(Exception):
     """A layer breaks its keys or references and was not published."""
@@ -77,31 +94,33 @@ class Layer:
 
     def refresh(
         self,
-        build: Callable[[Callable[[str], DataFrame]], Iterable[tuple[str, DataFrame]]],
+        stages: Iterable[Mapping[str, Build]],
         check: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
         layout: Mapping[str, tuple[str, list[str]]] | None = None,
     ) -> dict[str, int]:
-        """Write a new version table by table, check it and publish it.
+        """Write a new version, check it and publish it; returns the rows per table.
 
-        ``build`` yields ``(name, table)`` and may read tables that it yielded
-        before through its argument. Any failure, or any row of the report that
-        ``check`` gives for the written tables, leaves the published version as
-        it was. Returns the rows written per table.
+        The tables of a stage are written side by side. A table is made by a
+        function of the tables that earlier stages stored. Any failure, or any
+        row of the report that ``check`` gives for the stored tables, leaves the
+        published version as it was.
         """
         version = self.version() + 1
-        rows, written = {}, {}
-
-        def stored(name: str) -> DataFrame:
-            return written[name]
+        rows: dict[str, int] = {}
+        stored: dict[str, DataFrame] = {}
 
-        for name, df in build(stored):
+        def write(name: str, build: Build) -> int:
             partition_by, sort_by = (layout or {}).get(name, (None, None))
-            rows[name] = write_table(
-                df, f"{self.path}/version={version}/{name}", partition_by, sort_by
+            path = f"{self.path}/version={version}/{name}"
+            return write_table(build(stored), path, partition_by, sort_by)
+
+        for stage in stages:
+            rows |= side_by_side(
+                self.spark, {name: partial(write, name, build) for name, build in stage.items()}
             )
-            written[name] = self.table(name, version)
+            stored |= {name: self.table(name, version) for name in stage}
         if check is not None:
-            found = check(written).limit(20).collect()
+            found = check(stored).limit(20).collect()
             if found:
                 raise IntegrityError(
                     f"{self.path} version {version} is not published: "
