@@ -37,10 +37,11 @@ def spread_lookup(
 ) -> DataFrame:
     """Left join in which rows with a hot or a null key go to all tasks instead of one.
 
-    The lookup rows of the hot keys are repeated once per task; as there are at
-    most about 100 hot keys, this stays small.
+    Such rows are cut into slices, four per task, so that the hash of key and
+    slice fills the tasks evenly. The lookup rows of the hot keys are repeated
+    for every slice; as there are at most about 100 hot keys, this stays small.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_slice = F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int")
     is_hot = F.col(fk).isNull() | F.col(fk).isin(hot)
     left = df.withColumn("_slice", F.when(is_hot, any_slice).otherwise(F.lit(0)))

@@ -85,5 +85,10 @@ def read_raw(
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV that the readers above give back unchanged."""
-    options = _FORMAT | {"nullValue": "", "emptyValue": '""'}
+    options = _FORMAT | {
+        "nullValue": "",
+        "emptyValue": '""',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     df.write.mode("overwrite").options(**options).csv(path)

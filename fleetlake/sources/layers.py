@@ -43,10 +43,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
     Only where no folder is configured (as in tests) is a local one made.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="fleetlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/fleetlake-{uuid.uuid4().hex}"
 
 

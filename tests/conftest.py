@@ -36,6 +36,21 @@ def evaluate(spark):
     return run
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcast, and no merging of small partitions: what a cluster does with large tables."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
 def final_plan(df) -> str:
     """The physical plan that ran, after adaptive execution."""
     df.collect()

@@ -85,20 +85,14 @@ def test_shared_licenses_keep_rows_with_repeated_ids(spark):
     assert sorted(r["driving_license"] for r in got) == ["A", "B", "C", "D_2", "D_2"]
 
 
-def test_shared_licenses_join_on_customer_not_on_license(spark):
+def test_shared_licenses_join_on_customer_not_on_license(spark, shuffled_joins):
     """A licence held by most customers is never gathered: the shuffle key has the id in it."""
     rows = [{"customer_id": str(i), "driving_license": None} for i in range(900)]
     rows += [{"customer_id": str(i), "driving_license": f"L{i}"} for i in range(900, 1000)]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
-    try:
-        marked = clean.mark_shared_licenses(text_table(spark, "customers", rows))
-        sizes = marked.groupBy(F.spark_partition_id()).count().collect()
-        assert marked.where("driving_license = concat('_', customer_id)").count() == 900
-        assert max(r["count"] for r in sizes) < 300
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    marked = clean.mark_shared_licenses(text_table(spark, "customers", rows))
+    sizes = marked.groupBy(F.spark_partition_id()).count().collect()
+    assert marked.where("driving_license = concat('_', customer_id)").count() == 900
+    assert max(r["count"] for r in sizes) < 300
 
 
 def test_customers(spark):
