@@ -1,9 +1,10 @@
 """Rental tables derived from the driver's tables, in SQL that Spark and DuckDB both run.
 
-order = rental, lineitem = payment, part = car, supplier = employee,
-nation = location, region = tariff, event = car condition. Dates are moved by
+order = rental, lineitem = payment, part = car, event = car condition, and each
+supplier is an employee, a location and a tariff, so that every rental table
+grows with the driver's data. Dates are moved by
 10 227 days (28 years) into the calendar. Every view is row-local but for the
-representative line of an order, which is an aggregate.
+first and last line of an order, which are aggregates.
 
 ``*_dirty`` views hold text only, with faults planted by id; they feed the
 cleaning jobs.
@@ -18,32 +19,32 @@ _HASH = re.compile(r"hash56\((.*?)\)hash56", re.S)
 _SPARK_HASH = r"cast(conv(substr(md5(\1), 1, 14), 16, 10) as bigint)"
 _DUCKDB_HASH = r"cast('0x' || substr(md5(\1), 1, 14) as bigint)"
 
-SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+SOURCES = ["customer", "supplier", "part", "orders", "lineitem", "events"]
 
 VIEWS = {
     "locations": """
-        select cast(n_nationkey + 1 as bigint) as location_id, n_name as city,
-          concat('Street ', cast(n_nationkey as string)) as address,
-          concat('+3752900000', cast(n_nationkey + 10 as string)) as phone,
+        select s_suppkey + 1 as location_id, concat('NATION_', cast(s_nationkey as string)) as city,
+          concat('Street ', cast(s_suppkey as string)) as address,
+          concat('+37529', cast(3000000 + s_suppkey as string)) as phone,
           '08:00-20:00' as opening_hours,
-          case when n_nationkey % 3 = 0 then 'false' else 'true' end as is_active
-        from {nation}""",
+          case when s_suppkey % 3 = 0 then 'false' else 'true' end as is_active
+        from {supplier}""",
     "tariffs": """
-        select cast(r_regionkey + 1 as bigint) as tariff_id, r_name as tariff_name,
-          cast(35 + 60 * r_regionkey as decimal(10,2)) as base_price_per_day,
-          cast(200 + 100 * r_regionkey as int) as km_included_per_day,
-          cast(0.70 + 1.20 * r_regionkey as decimal(10,2)) as additional_km_price,
-          cast(180 + 400 * r_regionkey as decimal(10,2)) as deposit_amount,
-          cast(1 + r_regionkey % 3 as int) as min_rental_days,
-          cast(case when r_regionkey % 2 = 0 then 30 else 60 end as int) as max_rental_days,
+        select s_suppkey + 1 as tariff_id, concat('Tariff ', cast(s_suppkey % 400 as string)) as tariff_name,
+          cast(5 + s_suppkey % 520 as decimal(10,2)) as base_price_per_day,
+          cast(200 + 100 * (s_suppkey % 5) as int) as km_included_per_day,
+          cast(0.70 + 1.20 * (s_suppkey % 9) as decimal(10,2)) as additional_km_price,
+          cast(180 + 400 * (s_suppkey % 8) as decimal(10,2)) as deposit_amount,
+          cast(1 + s_suppkey % 3 as int) as min_rental_days,
+          cast(case when s_suppkey % 2 = 0 then 30 else 60 end as int) as max_rental_days,
           'Standard' as insurance_type, 'Flexible' as cancellation_policy
-        from {region}""",
+        from {supplier}""",
     "cars": """
         select p_partkey as car_id, p_brand as brand, p_type as model,
           cast(2008 + p_size % 20 as int) as year, p_name as color,
           concat('AB', cast(p_partkey as string)) as license_plate,
           concat('VIN', cast(p_partkey as string)) as vin,
-          cast(p_partkey % 25 + 1 as bigint) as current_location_id,
+          cast(p_partkey % 10 + 1 as bigint) as current_location_id,
           date '2018-01-01' + cast(p_partkey % 2000 as int) as purchase_date,
           cast(cast(p_retailprice as decimal(10,2)) * 50 as decimal(10,2)) as purchase_price,
           cast(cast(p_retailprice as decimal(10,2)) - 450 as decimal(10,2)) as daily_rental_price,
@@ -77,7 +78,7 @@ VIEWS = {
             when 2 then 'Support Agent' else 'Car Inspector' end as position,
           date '2019-01-01' + cast(s_suppkey % 2000 as int) as hire_date,
           cast(s_acctbal as decimal(10,2)) as salary,
-          cast(s_nationkey + 1 as bigint) as location_id,
+          s_suppkey + 1 as location_id,
           case when s_suppkey % 2 = 0 then 'true' else 'false' end as is_active
         from {supplier}""",
     # Lines have no key of their own, so the id is a hash of the line, led by its
@@ -93,17 +94,17 @@ VIEWS = {
           as payment_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
           l_returnflag, l_linestatus, l_shipdate
         from {lineitem}""",
-    "first_lines": """
-        select l_orderkey, min_by(l_partkey, payment_id) as l_partkey,
-          min_by(l_suppkey, payment_id) as l_suppkey
+    "order_lines": """
+        select l_orderkey, min_by(l_partkey, payment_id) as first_part,
+          min_by(l_suppkey, payment_id) as first_supplier,
+          max_by(l_suppkey, payment_id) as last_supplier
         from {payment_lines} group by l_orderkey""",
-    # Some rentals have no tariff, and orders without lines no car and no employee.
+    # Some rentals have no tariff; orders without lines have no car, employee or location.
     "rentals": """
-        select o_orderkey as rental_id, l_partkey as car_id, o_custkey as customer_id,
-          l_suppkey as employee_id,
-          case when o_orderkey % 79 <> 0 then cast(o_custkey % 5 + 1 as bigint) end as tariff_id,
-          cast(o_custkey % 25 + 1 as bigint) as pickup_location_id,
-          cast(o_orderkey % 25 + 1 as bigint) as return_location_id,
+        select o_orderkey as rental_id, first_part as car_id, o_custkey as customer_id,
+          first_supplier as employee_id,
+          case when o_orderkey % 79 <> 0 then last_supplier + 1 end as tariff_id,
+          first_supplier + 1 as pickup_location_id, last_supplier + 1 as return_location_id,
           cast(o_orderdate as date) + 10227 as rental_date,
           cast(o_orderdate as date) + cast(10227 + o_orderkey % 30 + 1 as int) as scheduled_return_date,
           cast(o_orderdate as date) + cast(10227 + o_orderkey % 30 + 1 + (o_orderkey % 37) % 6 - 2 as int)
@@ -122,7 +123,7 @@ VIEWS = {
           case o_orderstatus when 'F' then 'Completed' when 'O' then 'Active' else 'Cancelled' end
             as status,
           case when o_orderkey % 5 = 0 then null else o_orderpriority end as notes
-        from {orders} left join {first_lines} on o_orderkey = l_orderkey""",
+        from {orders} left join {order_lines} on o_orderkey = l_orderkey""",
     "payments": """
         select payment_id, l_orderkey as rental_id, cast(l_shipdate as date) + 10227 as payment_date,
           case l_returnflag when 'A' then 'Credit Card' when 'N' then 'Cash' else 'Bank Transfer' end
@@ -185,14 +186,14 @@ VIEWS = {
         from {employees}""",
     "tariffs_dirty": """
         select cast(tariff_id as string) as tariff_id, tariff_name,
-          case when tariff_id = 2 then null else cast(base_price_per_day as string) end
+          case when tariff_id % 11 = 2 then null else cast(base_price_per_day as string) end
             as base_price_per_day,
-          case when tariff_id = 3 then 'many' else cast(km_included_per_day as string) end
+          case when tariff_id % 7 = 3 then 'many' else cast(km_included_per_day as string) end
             as km_included_per_day,
           cast(additional_km_price as string) as additional_km_price,
-          case when tariff_id = 4 then '-50' else cast(deposit_amount as string) end as deposit_amount,
+          case when tariff_id % 5 = 4 then '-50' else cast(deposit_amount as string) end as deposit_amount,
           cast(min_rental_days as string) as min_rental_days,
-          case when tariff_id = 5 then '1' else cast(max_rental_days as string) end as max_rental_days,
+          case when tariff_id % 5 = 0 then '1' else cast(max_rental_days as string) end as max_rental_days,
           insurance_type, cancellation_policy
         from {tariffs}""",
     "rentals_dirty": """
@@ -254,11 +255,11 @@ VIEWS = {
         select case when rental_id % 900 = 1 then null else rental_id end as rental_id,
           case when rental_id % 400 = 0 then -rental_id - 1 else car_id end as car_id,
           customer_id, employee_id,
-          case when rental_id % 3 = 0 then 99 else tariff_id end as tariff_id,
+          case when rental_id % 3 = 0 then -99 else tariff_id end as tariff_id,
           pickup_location_id, return_location_id
         from {rentals}""",
     "cars_broken": """
-        select car_id, case when car_id % 50 = 0 then 77 else current_location_id end
+        select car_id, case when car_id % 50 = 0 then -77 else current_location_id end
           as current_location_id
         from {cars}""",
     "flags": """

@@ -26,7 +26,9 @@ def main() -> None:
     rows = {
         "load-raw": lambda: jobs.load_raw(spark, args.source, args.lake, **multi),
         "clean": lambda: jobs.clean_all(spark, args.source, args.lake, **multi),
-        "load-silver": lambda: jobs.load_silver(spark, args.lake),
+        "load-silver": lambda: jobs.load_silver(
+            spark, args.lake, processed_csv=args.source, **multi
+        ),
         "build-gold": lambda: jobs.build_gold(spark, args.lake),
         "report": lambda: jobs.store_reports(spark, args.lake),
     }[args.job]()

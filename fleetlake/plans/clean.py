@@ -210,3 +210,6 @@ CLEANERS = {
     "payments": clean_payments,
     "car_condition": clean_car_condition,
 }
+
+# Jobs that read their input more than once, to find medians or shared licences.
+READ_AGAIN = {"cars", "customers", "employees", "tariffs", "payments", "car_condition"}

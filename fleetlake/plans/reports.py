@@ -88,7 +88,10 @@ def client_cities(fact: DataFrame, dim_client: DataFrame) -> DataFrame:
 
 
 def _by_month(fact: DataFrame):
-    return fact.groupBy(F.trunc("rental_date", "MM").alias("month"))
+    """Grouped by month; the stored fact is partitioned by it, so no column need be read."""
+    stored = "rental_month" in fact.columns
+    month = F.col("rental_month") if stored else F.trunc("rental_date", "MM")
+    return fact.groupBy(month.alias("month"))
 
 
 def rentals_by_month(fact: DataFrame) -> DataFrame:
@@ -137,20 +140,15 @@ def month_year_comparison(fact: DataFrame, years: tuple[int, ...] = (2023, 2024,
     if "rental_month" in fact.columns:  # the stored fact is partitioned by it
         month = F.col("rental_month")
         chosen = chosen.where((month >= F.lit(first)) & (month < F.lit(end)))
-    return (
-        chosen.groupBy(
-            F.month(day).alias("month_number"), F.date_format(day, "MMMM").alias("month_name")
-        )
-        .agg(
-            *(
-                F.sum(F.when(F.year(day) == year, F.col("total_cost")))
-                .cast(MONEY)
-                .alias(f"revenue_{year}")
-                for year in years
-            )
-        )
-        .orderBy("month_number")
-    )
+    revenue = [
+        F.sum(F.when(F.year(day) == year, F.col("total_cost"))).cast(MONEY).alias(f"revenue_{year}")
+        for year in years
+    ]
+    by_month = chosen.groupBy(F.month(day).alias("month_number")).agg(*revenue)
+    name = F.date_format(F.make_date(F.lit(years[0]), "month_number", F.lit(1)), "MMMM")
+    return by_month.select(
+        "month_number", name.alias("month_name"), *(f"revenue_{year}" for year in years)
+    ).orderBy("month_number")
 
 
 def all_reports(gold) -> dict[str, DataFrame]:
