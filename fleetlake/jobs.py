@@ -74,7 +74,10 @@ def clean_all(
         return CLEANERS[table](df, run_ts=run_ts, **extra)
 
     stage = {t: lambda _stored, t=t: build(t) for t in schemas.TABLES}
-    return Layer(spark, lake, "processed").refresh([stage])
+    try:
+        return Layer(spark, lake, "processed").refresh([stage])
+    finally:
+        csv.remove(spark, copies)
 
 
 def _silver_check(tables) -> DataFrame:

@@ -27,6 +27,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory that these jobs wrote, if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def table_path(directory: str, table: str) -> str:
     return f"{directory.rstrip('/')}/{table}.csv"
 

@@ -17,7 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.sources.csv import path_exists
+from fleetlake.sources.csv import path_exists, remove
 
 Build = Callable[[Mapping[str, DataFrame]], DataFrame]
 
@@ -70,7 +70,10 @@ def write_table(
 
 
 class Layer:
-    """One layer (raw, processed, silver or gold) under a root directory."""
+    """One layer (raw, processed, silver or gold) under a root directory.
+
+    One job at a time may refresh a layer; any number may read it.
+    """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
@@ -130,4 +133,6 @@ class Layer:
             F.col("id").alias("version")
         )
         published.write.mode("append").parquet(self._versions)
+        # readers that began on the version before may still need it
+        remove(self.spark, f"{self.path}/version={version - 2}")
         return rows

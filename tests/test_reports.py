@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.plans import reports
+from fleetlake.sources.layers import write_table
 
 D = date
 RENTALS = [
@@ -108,6 +109,20 @@ def test_year_comparison(star):
     ]
 
 
+def test_stored_fact_gives_the_same_months(spark, star, tmp_path):
+    """The fact as it is stored: partitioned by month, the rental without a date too."""
+    fact = star["fact_rentals"]
+    path = str(tmp_path / "fact")
+    write_table(fact.withColumn("rental_month", F.trunc("rental_date", "MM")), path, "rental_month")
+    stored = spark.read.parquet(path)
+    for report in (reports.rentals_by_month, reports.revenue_by_month, reports.month_year_comparison):
+        assert rows(report(stored)) == rows(report(fact))
+    plan = reports.rentals_by_month(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    pruned = reports.month_year_comparison(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rental_month" in pruned
+
+
 def test_reports_aggregate_before_they_join(star):
     plan = reports.top_clients(star["fact_rentals"], star["dim_client"])._jdf.queryExecution()
     logical = plan.optimizedPlan().toString().splitlines()

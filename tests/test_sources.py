@@ -94,6 +94,9 @@ def test_refresh_replaces_the_layer(spark, tmp_path):
     for n in (3, 5):
         assert layer.refresh([{"a": lambda _, n=n: spark.range(n)}, {"b": lambda s: s["a"]}]) == {"a": n, "b": n}
     assert layer.version() == 2
+    layer.refresh([{"a": lambda _: spark.range(5)}, {"b": lambda s: s["a"]}])
+    assert not os.path.exists(f"{layer.path}/version=1")
+    assert os.path.exists(f"{layer.path}/version=2")  # for readers that still use it
     assert {k: df.count() for k, df in layer.tables(["a", "b"]).items()} == {"a": 5, "b": 5}
 
 
