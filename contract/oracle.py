@@ -356,7 +356,7 @@ QUERIES = {
           o_custkey from orders""",
     "insert_if_absent": """
         with loaded as (select customer_id, city, loyalty_level from t_customers
-            where customer_id % 2 = 0),
+            where loyalty_level <> 'Bronze'),
           incoming as (select customer_id, 'new ' || city as city, loyalty_level from t_customers
             union all select customer_id, 'old ' || city, loyalty_level from t_customers)
         select * from loaded union all

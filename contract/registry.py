@@ -137,14 +137,14 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with even ids are there; a batch brings every customer twice."""
+    """The base holds customers above Bronze; a batch brings every customer twice."""
     customers = model.view(spark, sf_dir, "customers").select(
         "customer_id", "city", "loyalty_level"
     )
     batch = customers.withColumn("city", F.concat(F.lit("new "), "city")).unionByName(
         customers.withColumn("city", F.concat(F.lit("old "), "city"))
     )
-    return keys.insert_if_absent(customers.where("customer_id % 2 = 0"), batch, "customer_id")
+    return keys.insert_if_absent(customers.where("loyalty_level <> 'Bronze'"), batch, "customer_id")
 
 
 def payment_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

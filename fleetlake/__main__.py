@@ -13,6 +13,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="fleetlake", description=jobs.__doc__.splitlines()[0])
     parser.add_argument("job", choices=["load-raw", "clean", "load-silver", "build-gold", "report"])
     parser.add_argument("--source", help="directory of the CSV files")
+    parser.add_argument("--csv", help="where clean also writes its tables as CSV")
     parser.add_argument("--lake", required=True, help="directory of the layers")
     parser.add_argument(
         "--multi-line", action="store_true", help="quoted text may hold line breaks"
@@ -25,7 +26,9 @@ def main() -> None:
     multi = {"multi_line": args.multi_line}
     rows = {
         "load-raw": lambda: jobs.load_raw(spark, args.source, args.lake, **multi),
-        "clean": lambda: jobs.clean_all(spark, args.source, args.lake, **multi),
+        "clean": lambda: jobs.clean_all(
+            spark, args.source, args.lake, csv_to=args.csv, **multi
+        ),
         "load-silver": lambda: jobs.load_silver(
             spark, args.lake, processed_csv=args.source, **multi
         ),

@@ -1,7 +1,7 @@
 """The jobs as a user runs them, each a full refresh of one layer.
 
     python -m fleetlake load-raw    --source DIR --lake DIR
-    python -m fleetlake clean       --source DIR --lake DIR
+    python -m fleetlake clean       --source DIR --lake DIR [--csv DIR]
     python -m fleetlake load-silver --lake DIR [--source DIR]
     python -m fleetlake build-gold  --lake DIR
     python -m fleetlake report      --lake DIR
@@ -54,9 +54,12 @@ def clean_all(
     run_ts: datetime | None = None,
     as_of: date | None = None,
     multi_line: bool = False,
+    csv_to: str | None = None,
 ) -> dict[str, int]:
     """CSV files to cleaned tables; all eight files must be there.
 
+    With ``csv_to`` the cleaned tables are written there as CSV, too.
+
     Tables that are read more than once are first copied, as text, to Parquet:
     their medians then read one column each, and the CSV is parsed once.
     """
@@ -74,10 +77,15 @@ def clean_all(
         return CLEANERS[table](df, run_ts=run_ts, **extra)
 
     stage = {t: lambda _stored, t=t: build(t) for t in schemas.TABLES}
+    layer = Layer(spark, lake, "processed")
     try:
-        return Layer(spark, lake, "processed").refresh([stage])
+        rows = layer.refresh([stage])
     finally:
         csv.remove(spark, copies)
+    if csv_to:
+        for table, df in layer.tables(schemas.TABLES).items():
+            csv.write_csv(df, csv.table_path(csv_to, table))
+    return rows
 
 
 def _silver_check(tables) -> DataFrame:

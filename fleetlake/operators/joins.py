@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # A lookup row is a key and a few short columns, so this many rows stay well
 # under 200 MB per executor.
 BROADCAST_ROWS = 1_000_000
-HOT_SHARE = 0.01
+HOT_SHARE = 0.002
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -23,10 +23,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def hot_keys(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Every key that holds at least 1 % of the rows, per column (and maybe some others).
+    """Every key that holds at least 0.2 % of the rows, per column (and maybe some others).
 
     ``freqItems`` misses no such key, and its result is bounded by the share: at
-    most about 100 values per column.
+    most about 500 values per column. Adaptive execution splits what smaller
+    keys may still make uneven.
     """
     found = df.stat.freqItems(columns, HOT_SHARE).first()
     return {c: [k for k in found[f"{c}_freqItems"] if k is not None] for c in columns}
@@ -39,7 +40,7 @@ def spread_lookup(
 
     Such rows are cut into slices, four per task, so that the hash of key and
     slice fills the tasks evenly. The lookup rows of the hot keys are repeated
-    for every slice; as there are at most about 100 hot keys, this stays small.
+    for every slice; as there are at most about 500 hot keys, this stays small.
     """
     slices = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_slice = F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int")

@@ -83,18 +83,29 @@ def test_all_layers(spark, source, tmp_path):
 
 
 def test_silver_from_cleaned_csv(spark, source, tmp_path):
-    """Cleaned files of other tools load too, if they have the cleaned columns."""
+    """The cleaned tables as CSV load to the same silver rows, empty notes included."""
+    lake, cleaned = str(tmp_path / "lake"), str(tmp_path / "cleaned")
+    jobs.clean_all(spark, str(source), lake, run_ts=datetime(2026, 1, 1, 8), csv_to=cleaned)
+    jobs.load_silver(spark, lake)
+    tables = Layer(spark, lake, "silver").tables(schemas.TABLES)
+    direct = {t: sorted(map(repr, df.collect())) for t, df in tables.items()}
+    jobs.load_silver(spark, lake, processed_csv=cleaned)
+    for table, df in Layer(spark, lake, "silver").tables(schemas.TABLES).items():
+        assert sorted(map(repr, df.collect())) == direct[table], table
+
+
+def test_command_line(spark, source, tmp_path, monkeypatch, capsys):
+    from fleetlake.__main__ import main
+
     lake = str(tmp_path / "lake")
-    jobs.clean_all(spark, str(source), lake, run_ts=datetime(2026, 1, 1))
-    cleaned = tmp_path / "cleaned"
-    cleaned.mkdir()
-    for table, df in Layer(spark, lake, "processed").tables(schemas.TABLES).items():
-        df.toPandas().to_csv(cleaned / f"{table}.csv", index=False)
-    text = (cleaned / "rentals.csv").read_text().replace("2.0\n", "2\n")  # a whole late_days
-    (cleaned / "rentals.csv").write_text(text)
-    jobs.load_silver(spark, lake, processed_csv=str(cleaned))
-    rental = Layer(spark, lake, "silver").table("rentals").where("rental_id = 1").first()
-    assert (rental["is_late_return"], rental["late_days"], rental["notes"]) == (True, 2, None)
+    for arguments in (["clean", "--source", str(source)], ["load-silver"]):
+        monkeypatch.setattr("sys.argv", ["fleetlake", *arguments, "--lake", lake])
+        main()
+    printed = capsys.readouterr().out
+    assert "rentals              2" in printed and "total" in printed and "unique_keys" in printed
+    monkeypatch.setattr("sys.argv", ["fleetlake", "clean", "--lake", lake])
+    with pytest.raises(SystemExit):
+        main()
 
 
 def test_broken_references_stop_the_silver_layer(spark, source, tmp_path):

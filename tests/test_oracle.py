@@ -40,6 +40,9 @@ def test_query(spark, duck, key):
     names = [d[0] for d in expected.description]
     assert sorted(df.columns) == sorted(names)
     assert canonical(df.columns, df.collect()) == canonical(names, expected.fetchall())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert node not in plan
 
 
 def test_flagship(spark):
