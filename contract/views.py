@@ -94,11 +94,14 @@ VIEWS = {
           as payment_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
           l_returnflag, l_linestatus, l_shipdate
         from {lineitem}""",
+    # Line number and key in one integer (40 bits for the key): the least one gives the
+    # lowest part or supplier of the first line, the greatest one that of the last line.
     "order_lines": """
-        select l_orderkey, min_by(l_partkey, payment_id) as first_part,
-          min_by(l_suppkey, payment_id) as first_supplier,
-          max_by(l_suppkey, payment_id) as last_supplier
-        from {payment_lines} group by l_orderkey""",
+        select l_orderkey,
+          min(l_linenumber * 1099511627776 + l_partkey) % 1099511627776 as first_part,
+          min(l_linenumber * 1099511627776 + l_suppkey) % 1099511627776 as first_supplier,
+          max(l_linenumber * 1099511627776 + l_suppkey) % 1099511627776 as last_supplier
+        from {lineitem} group by l_orderkey""",
     # Some rentals have no tariff; orders without lines have no car, employee or location.
     "rentals": """
         select o_orderkey as rental_id, first_part as car_id, o_custkey as customer_id,
@@ -227,7 +230,7 @@ VIEWS = {
         select cast(payment_id as string) as payment_id, cast(rental_id as string) as rental_id,
           case when payment_id % 97 = 0 then '' else cast(payment_date as string) end as payment_date,
           case when payment_id % 31 = 0 then null else payment_method end as payment_method,
-          case when payment_id % 100 = 1 and rental_id % 29 = 0 then null
+          case when rental_id % 29 = 0 and payment_type = 'Deposit' then null
             when rental_id % 37 = 0 then concat('-', cast(amount as string))
             when rental_id % 41 = 0 then '0' else cast(amount as string) end as amount,
           case when payment_id % 23 = 0 then null else payment_type end as payment_type,
