@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR names the directory of driver tables, BENCH_CPUS the local cores.
 Every query is planned anew and its full result is produced (no rows are
-skipped), after one warm-up of the session.
+skipped). The JVM is warmed up by one cleaning job and one build of the star
+schema; ``gold_build`` is a second build, and the reports read that one.
 """
 
 from __future__ import annotations
@@ -74,6 +75,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session()
     consume(registry.QUERIES["clean_employees"](spark, sf_dir))
+    model.gold(spark, sf_dir)
     seconds = {"gold_build": timed(lambda: model.gold(spark, sf_dir, fresh=True))}
     for key in HEADLINE:
         seconds[key] = timed(lambda: consume(registry.QUERIES[key](spark, sf_dir)))

@@ -36,7 +36,7 @@ def hot_keys(df: DataFrame, columns: list[str]) -> dict[str, list]:
 def spread_lookup(
     df: DataFrame, lookup: DataFrame, fk: str, pk: str, row_id: str, hot: list
 ) -> DataFrame:
-    """Left join in which rows with a hot or a null key go to all tasks instead of one.
+    """Inner join in which rows with a hot key go to all tasks instead of one.
 
     Such rows are cut into slices, four per task, so that the hash of key and
     slice fills the tasks evenly. The lookup rows of the hot keys are repeated
@@ -44,15 +44,12 @@ def spread_lookup(
     """
     slices = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_slice = F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int")
-    is_hot = F.col(fk).isNull() | F.col(fk).isin(hot)
-    left = df.withColumn("_slice", F.when(is_hot, any_slice).otherwise(F.lit(0)))
+    left = df.withColumn("_slice", F.when(F.col(fk).isin(hot), any_slice).otherwise(F.lit(0)))
 
     copies = F.when(F.col(pk).isin(hot), F.sequence(F.lit(0), F.lit(slices - 1)))
-    right = lookup.withColumn(
-        "_lookup_slice", F.explode(F.coalesce(copies, F.array(F.lit(0))))
-    )
+    right = lookup.withColumn("_lookup_slice", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     matched = (F.col(fk) == F.col(pk)) & (F.col("_slice") == F.col("_lookup_slice"))
-    return left.join(right, matched, "left").drop("_slice", "_lookup_slice", pk)
+    return left.join(right, matched).drop("_slice", "_lookup_slice", fk, pk)
 
 
 def lookup_all(
@@ -63,17 +60,23 @@ def lookup_all(
 ) -> DataFrame:
     """Left join each ``(fk, lookup)``; the first column of a lookup is its unique key.
 
-    A lookup is broadcast if its counted size allows it. The others are joined
-    by shuffle with their hot keys spread over the tasks.
+    A lookup is broadcast if its counted size allows it. For the others, only
+    ``(row_id, fk)`` is shuffled by key, and what was found is joined back by
+    ``row_id``, which must be unique. So the wide rows are shuffled once, by
+    ``row_id``, however many large lookups there are, and null keys not at all.
     """
     rows = row_counts({str(i): table for i, (_, table) in enumerate(lookups)})
     large = [fk for i, (fk, _) in enumerate(lookups) if rows[str(i)] > broadcast_rows]
     hot = hot_keys(df, large) if large else {}
+    result = df
     for fk, table in lookups:
         key = f"_key_of_{fk}"
         renamed = table.withColumnRenamed(table.columns[0], key)
         if fk in hot:
-            df = spread_lookup(df, renamed, fk, key, row_id, hot[fk])
+            keys = df.select(row_id, fk).where(F.col(fk).isNotNull())
+            found = spread_lookup(keys, renamed, fk, key, row_id, hot[fk])
+            result = result.join(found, row_id, "left")
         else:
-            df = df.join(F.broadcast(renamed), F.col(fk) == F.col(key), "left").drop(key)
-    return df
+            small = F.broadcast(renamed)
+            result = result.join(small, F.col(fk) == F.col(key), "left").drop(key)
+    return result.select(*df.columns, *(c for _, t in lookups for c in t.columns[1:]))

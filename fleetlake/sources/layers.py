@@ -41,10 +41,12 @@ class IntegrityError(Exception):
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name in the folder that the cluster shares for such data.
 
-    Only where no folder is configured (as in tests) is a local one made.
+    Only a local session without such a folder (as in tests) makes one of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="fleetlake-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/fleetlake-{uuid.uuid4().hex}"

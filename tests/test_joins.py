@@ -43,8 +43,24 @@ def test_both_ways_agree(skewed, lookup, shuffled_joins):
     assert small == large and len(small) == 9000
 
 
-def test_hot_and_null_keys_reach_all_tasks(skewed, lookup, shuffled_joins):
-    joined = spread_lookup(skewed, lookup, "fk", "pk", "row_id", hot_keys(skewed, ["fk"])["fk"])
-    hot = joined.where("fk = 7 OR fk IS NULL")
+def test_hot_keys_reach_all_tasks(skewed, lookup, shuffled_joins):
+    found = spread_lookup(
+        skewed.where("fk IS NOT NULL"), lookup, "fk", "pk", "row_id", hot_keys(skewed, ["fk"])["fk"]
+    )
+    hot = found.where("found = 70")
     sizes = [r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(sizes) > 6000 and len(sizes) == 8 and max(sizes) < 1500
+    assert sum(sizes) > 3000 and len(sizes) == 8 and max(sizes) < 750
+
+
+def test_wide_rows_are_shuffled_once(spark, skewed, lookup, shuffled_joins):
+    """Two large lookups: keys are shuffled for each, the other columns only by row id."""
+    wide = skewed.withColumns({"fk2": F.col("fk"), "wide": F.repeat(F.lit("x"), 3)})
+    second = lookup.select("pk", F.col("found").alias("found2"))
+    joined = lookup_all(wide, [("fk", lookup), ("fk2", second)], "row_id", broadcast_rows=10)
+    assert joined.columns == ["row_id", "fk", "fk2", "wide", "found", "found2"]
+    assert joined.count() == 9000
+    assert joined.where("found IS DISTINCT FROM found2").count() == 0
+    plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert len([line for line in shuffles if "hashpartitioning(row_id" in line]) == 3
+    assert len(shuffles) == 7

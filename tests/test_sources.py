@@ -131,8 +131,8 @@ def test_large_partition_value_is_split(spark, tmp_path):
 class Session:
     """The parts of a session that name the shared folder."""
 
-    def __init__(self, configured=None):
-        self.configured, self.made = configured, None
+    def __init__(self, configured=None, master="local[8]"):
+        self.configured, self.made, self.master = configured, None, master
         self.conf = self.sparkContext = self
 
     def get(self, name, default):
@@ -151,3 +151,5 @@ def test_scratch_dir_follows_the_session():
     assert shared.made is None and scratch_dir(shared) != scratch_dir(shared)
     alone = Session()
     assert scratch_dir(alone).startswith(f"{alone.made}/fleetlake-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(master="yarn"))
