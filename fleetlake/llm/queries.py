@@ -8,6 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.llm.bpe_automaton import bpe_digests
+from fleetlake.llm.fingerprints import edit_likeness
+from fleetlake.llm.packing import pack
+from fleetlake.llm.simhash import simhash_components
+from fleetlake.llm.tables import ship
 from fleetlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +26,22 @@ def query(function: Query) -> Query:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness."""
+    return edit_likeness(documents(spark, sf_dir))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, by the word-end vocabulary; over_limit beyond 2048."""
@@ -32,6 +49,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), path, limit=2048)
 
 
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked within three bits."""
+    return simhash_components(documents(spark, sf_dir), width=3, most=3)
+
+
 @query
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the automaton and decoded again, as digests."""
