@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.llm.bpe_automaton import bpe_digests
+from fleetlake.llm.embeddings import near_vectors
 from fleetlake.llm.fingerprints import edit_likeness
 from fleetlake.llm.packing import pack
+from fleetlake.llm.secret_scans import BASE, MORE, secrets
+from fleetlake.llm.sharding import shards
 from fleetlake.llm.simhash import simhash_components
 from fleetlake.llm.tables import ship
 from fleetlake.llm.token_counts import token_counts
+from fleetlake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +34,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of at most a mebibyte of text."""
+    return shards(documents(spark, sf_dir), SHARD_BYTES)
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all kinds in every text."""
+    return secrets(documents(spark, sf_dir))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The severity of every text, by a model of the labelled ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity(documents(spark, sf_dir), labels)
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
@@ -59,3 +85,75 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the automaton and decoded again, as digests."""
     return bpe_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label linked from a cosine of 0.93, and their components."""
+    ship(spark)
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
+
+
+def _secrets_sql() -> str:
+    """Each rule's matches and what is between them give places; all texts, whole."""
+    finds = " UNION ALL ".join(
+        f"""SELECT doc_id, t, {order} AS kind_order, '{r.kind}' AS kind, {r.least} AS least,
+        regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', {r.group}) AS vs,
+        string_split_regex(t, '{p}') AS gaps FROM d"""
+        for order, r in enumerate((*BASE, *MORE))
+        for p in [r.pattern.replace("'", "''")]
+    )
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    m AS ({finds}),
+    s AS (
+        SELECT doc_id, kind_order, kind, least, length(vs[i]) AS n_value,
+            list_sum([length(x) for x in gaps[1:i]])
+                + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) AS start_at,
+            length(ms[i]) AS n
+        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m WHERE len(ms) > 0)
+    ),
+    k AS (
+        SELECT doc_id, kind_order, kind, start_at,
+            concat(kind, ':', start_at::BIGINT, ':', (start_at + n)::BIGINT) AS span
+        FROM s WHERE n_value >= least
+    )
+    SELECT d.doc_id,
+        count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+        count(*) FILTER (WHERE kind = 'access') AS n_access,
+        count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+        sha256(coalesce(string_agg(span, ',' ORDER BY start_at, kind_order)
+            FILTER (WHERE kind_order < {len(BASE)}), '')) AS base_sha256,
+        coalesce(string_agg(span, ',' ORDER BY start_at, kind_order), '') AS spans
+    FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+    GROUP BY d.doc_id
+    """
+
+
+ORACLES["op3_secrets"] = _secrets_sql()
+
+ORACLES["op2_sharding"] = f"""
+WITH named AS (
+    SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS name, md5(coalesce(text, '')) AS text_md5,
+        strlen(coalesce(text, '')) AS n_bytes FROM documents
+),
+copies AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, text_md5, n_bytes) AS copy FROM named
+),
+d AS (
+    SELECT doc_id, text_md5, copy, n_bytes,
+        ('0x' || substr(md5(concat_ws(':', name, text_md5, copy)), 1, 15))::BIGINT AS hash
+    FROM copies
+),
+p AS (
+    SELECT d.*, depth, hash >> (60 - depth) AS prefix
+    FROM d, (SELECT unnest(range(0, 61))::INTEGER AS depth)
+),
+nodes AS (
+    SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+    FROM p GROUP BY depth, prefix HAVING sum(n_bytes) <= {SHARD_BYTES} OR count(*) = 1
+)
+SELECT doc_id, text_md5, copy, n_bytes, depth, prefix, shard_bytes, shard_rows
+FROM p JOIN nodes USING (depth, prefix)
+QUALIFY row_number() OVER (PARTITION BY doc_id, text_md5, copy ORDER BY depth) = 1
+"""
