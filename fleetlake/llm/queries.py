@@ -14,6 +14,7 @@ from fleetlake.llm.packing import pack
 from fleetlake.llm.secret_scans import BASE, MORE, secrets
 from fleetlake.llm.sharding import shards
 from fleetlake.llm.simhash import simhash_components
+from fleetlake.llm.suffix_dedup import suffix_dedup
 from fleetlake.llm.tables import ship
 from fleetlake.llm.token_counts import token_counts
 from fleetlake.llm.toxicity import toxicity
@@ -34,6 +35,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 400-byte strings that also start elsewhere, removed from every text."""
+    return suffix_dedup(documents(spark, sf_dir), window=400)
+
+
 SHARD_BYTES = 1 << 20
 
 
