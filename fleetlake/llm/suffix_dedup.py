@@ -313,8 +313,8 @@ def repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     far = F.lit(window - gram)
     columns = ["g", "r", "u1", "u2", "base", "at", F.lit(0).alias("x"), far.alias("y"), "n"]
     cut_out = texts.join(wanted.hint("shuffle_hash"), ["u1", "u2"])
-    # equal rows have one name; each region is wanted once
-    rows = stored(cut_out.select(*columns, cut.alias("bytes")).dropDuplicates(["g", "r"]))
+    # equal rows share a name, so their regions come more than once: none of those is single
+    rows = stored(cut_out.select(*columns, cut.alias("bytes")))
     while True:
         kinds = stored(_kinds(rows).withColumn("weight", F.col("kinds")))
         grouped = spread_join(rows, kinds, ["g"], "weight")
