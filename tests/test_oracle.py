@@ -12,7 +12,9 @@ TABLES = (
 ).split()
 
 entry = importlib.import_module("__spark_entry__")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+registry = importlib.import_module("contract.registry")
+QUERIES = {key: query for key, query in entry.queries().items() if key in registry.QUERIES}
+ORACLES = {key: sql for key, sql in entry.oracle_sql().items() if key in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
