@@ -40,21 +40,22 @@ def fingerprint(text: bytes, width: int) -> bytes:
     return np.packbits(2 * ones > len(each)).tobytes()
 
 
-def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp): the fingerprint as a signed 64-bit number; a null text counts as empty."""
-    slim = docs.select(
-        F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
-    )
+def fingerprints(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
+    """The other columns of ``docs`` and fp: the fingerprint as a signed 64-bit number.
+
+    A null text counts as empty.
+    """
+    others = [c for c in docs.columns if c != text]
+    slim = docs.select(*others, F.coalesce(F.col(text), F.lit("")).cast("binary").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in_pieces(batches):
-            made = b"".join([fingerprint(t, width) for t in batch.column("text").to_pylist()])
+            made = b"".join([fingerprint(t, width) for t in batch.column(text).to_pylist()])
             numbers = np.frombuffer(made, ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(numbers)], ["key", "fp"]
-            )
+            columns = [batch.column(c) for c in others]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers)], [*others, "fp"])
 
-    return slim.mapInArrow(run, f"key {slim.schema['key'].dataType.simpleString()}, fp long")
+    return slim.mapInArrow(run, slim.select(*others, F.lit(0).cast("long").alias("fp")).schema)
 
 
 def _lists(most: int) -> list[tuple[int, ...]]:
@@ -161,33 +162,69 @@ def links(classes: DataFrame, most: int) -> DataFrame:
     return short.unionByName(_links(paired, ["list", "low", "high"], most))
 
 
-def simhash_components(
-    docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(key, fingerprint, component_id) of every row.
+def _firsts(rows: DataFrame, most: int) -> DataFrame:
+    """(fp, n, first): per fingerprint, its rows and the least ``order`` that links can reach.
 
-    Fingerprints link at ``most`` or fewer differing bits; the component is the
-    smallest key reachable by links. Texts without words (null and empty too)
-    have fingerprint zero and link like any other. Equal fingerprints are one
-    class and are compared once. A null key never is a component's name unless
-    all its keys are null. An empty table gives an empty one; other columns of
-    ``docs`` are not looked at.
+    Equal fingerprints are one class, which is compared once.
     """
-    rows = stored(fingerprints(docs, width, key, text))
     classes = stored(
-        rows.groupBy("fp").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+        rows.groupBy("fp").agg(F.min("order").alias("first"), F.count("*").alias("n"))
     )
     reach = stored(components(stored(links(classes, most))))
     named = reach.join(classes.select(F.col("fp").alias("node"), "first"), "node")
     lowest = named.groupBy("component").agg(F.min("first").alias("lowest"))
     of_class = reach.join(lowest, "component").select(F.col("node").alias("fp"), "lowest")
-    answers = stored(
+    return stored(
         classes.join(of_class, "fp", "left").select(
-            "fp", "n", F.coalesce("lowest", "first").alias("component_id")
+            "fp", "n", F.coalesce("lowest", "first").alias("first")
         )
     )
+
+
+def simhash_components(
+    docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(key, fingerprint, component_id) of every row.
+
+    Fingerprints link at ``most`` or fewer differing bits; the component is the
+    smallest key reachable by links. Texts without words (null and empty too)
+    have fingerprint zero and link like any other. A null key never is a
+    component's name unless all its keys are null. An empty table gives an empty
+    one; other columns of ``docs`` are not looked at.
+    """
+    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = stored(fingerprints(slim, width))
+    order = F.struct(F.col("key").isNull().alias("none"), "key").alias("order")
+    firsts = _firsts(rows.select("fp", order), most)
+    answers = firsts.select("fp", "n", F.col("first.key").alias("component_id"))
     return spread_join(rows, answers, ["fp"], "n").select(
         F.col("key").alias(key),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_first(
+    docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` (all columns) of each component: that with the smallest key.
+
+    Null keys come last; of rows with one key, one is taken by the hash of its
+    text, and of rows that are equal in both, any one.
+    """
+    named = docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(key, text).alias("u1"),
+        F.hash(text, key).alias("u2"),
+        F.col(key).alias("key"),
+        F.col(text).alias("text"),
+    )
+    rows = stored(fingerprints(named.select("u1", "u2", "key", "text"), width))
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "u1", "u2").alias("order")
+    firsts = _firsts(rows.select("fp", order), most)
+    chosen = stored(firsts.select("first.u1", "first.u2").distinct())
+    kept = named.join(chosen.hint("shuffle_hash"), ["u1", "u2"], "left_semi")
+    again = rows.groupBy("u1", "u2").count().where("count > 1")
+    if not again.isEmpty():
+        kept = kept.dropDuplicates(["u1", "u2"])
+    return kept.select("row.*")

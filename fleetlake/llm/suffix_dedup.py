@@ -431,15 +431,19 @@ def keep_unique(
     def clean(texts: pd.Series, lows: pd.Series, highs: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                without(t, merged(list(low), list(high))).decode(errors="ignore")
+                None
+                if t is None
+                else without(t, merged(list(low), list(high))).decode(errors="ignore")
                 for t, low, high in zip(texts, lows, highs, strict=True)
-            ]
+            ],
+            dtype="object",
         )
 
     joined = _with_ranges(docs, key, text, window, gram)
-    changed = F.when(
-        F.col("ranges").isNotNull(), clean("text", F.col("ranges.low"), F.col("ranges.high"))
-    ).otherwise(F.col(f"row.{text}"))
+    has = F.col("ranges").isNotNull()
+    # a function in Python sees every row, so texts that stay are not given to it
+    cleaned = clean(F.when(has, F.col("text")), F.col("ranges.low"), F.col("ranges.high"))
+    changed = F.when(has, cleaned).otherwise(F.col(f"row.{text}"))
     return joined.select(
         *(changed.alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns)
     )
