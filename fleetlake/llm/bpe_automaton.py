@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.bpe import Merges, load
-from fleetlake.llm.words import LOWER_WORDS, Memo, lower_normal, rows_in_pieces, splitter
+from fleetlake.llm.words import Memo, lower_words, rows_in_pieces
 
 _NEVER = 1 << 62
 _END = -1
@@ -145,10 +145,10 @@ def coder(path: str):
         return struct.pack(f"<{len(ids)}I", *ids), decode(merges, ids)
 
     memo = Memo(make, limit=300_000)
-    split, special = splitter(LOWER_WORDS), merges.special_pattern()
+    split, special = lower_words(path), merges.special_pattern()
 
     def words(text: str) -> list[tuple[bytes, str]]:
-        return list(map(memo.__getitem__, split(lower_normal(text))))
+        return list(map(memo.__getitem__, split(text)))
 
     def code(text: str) -> tuple[bytes, str]:
         if special is None or "<" not in text or not special.search(text):

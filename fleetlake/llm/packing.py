@@ -20,9 +20,10 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from fleetlake.llm.tables import partitions, stored
-from fleetlake.llm.words import BYTE_WORDS, byte_characters, rows_in_pieces
+from fleetlake.llm.words import BYTE_WORDS, Agreement, byte_characters, rows_in_pieces
 
 LAYOUT = (
     "length int, low long, high long, each long, sequence long, offset long, place long"
@@ -48,7 +49,16 @@ def tokenizer(path: str):
     encoding = tiktoken.Encoding(
         "own", pat_str=BYTE_WORDS, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+    library = Tokenizer.from_file(path)
+
+    def own(text: str) -> np.ndarray:
+        return encoding.encode_to_numpy(text, allowed_special="all")
+
+    def by_library(text: str) -> np.ndarray:
+        return np.array(library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    agree = Agreement(lambda text: own(text).tolist(), lambda text: by_library(text).tolist())
+    return lambda text: own(text) if agree(text) else by_library(text)
 
 
 def tokenized(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.llm.bpe import Merges, load
-from fleetlake.llm.words import LOWER_WORDS, Memo, lower_normal, rows_in_pieces, splitter
+from fleetlake.llm.words import Memo, lower_words, rows_in_pieces
 
 
 def count_word(merges: Merges, word: str) -> int:
@@ -60,14 +60,14 @@ def counter(path: str):
     """A function from a text to its number of tokens; one memo per process."""
     merges = load(path)
     memo = Memo(lambda word: count_word(merges, word))
-    split, special = splitter(LOWER_WORDS), merges.special_pattern()
+    split, special = lower_words(path), merges.special_pattern()
 
     def count(text: str) -> int:
         if special is None or "<" not in text or not special.search(text):
-            return sum(map(memo.__getitem__, split(lower_normal(text))))
+            return sum(map(memo.__getitem__, split(text)))
         parts = special.split(text)  # every second part is a special string
         return len(parts) // 2 + sum(
-            sum(map(memo.__getitem__, split(lower_normal(part)))) for part in parts[::2]
+            sum(map(memo.__getitem__, split(part))) for part in parts[::2]
         )
 
     return count

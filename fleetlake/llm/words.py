@@ -11,6 +11,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import regex
+from tokenizers import Tokenizer
 
 # The split patterns of the two public vocabularies.
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,16 +44,61 @@ def _narrow(pattern: str) -> re.Pattern:
     return re.compile(inside.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]"))
 
 
+_wide = re.compile(f"[^\x00-{chr(_NARROW_END - 1)}]").search
+
+
+def is_wide(text: str) -> bool:
+    """Whether a text has characters beyond the Latin ones."""
+    return not text.isascii() and bool(_wide(text))
+
+
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     """A function from a text to its words."""
     general = regex.compile(pattern).findall
     narrow = _narrow(pattern).findall
-    wide = re.compile(f"[^\x00-{chr(_NARROW_END - 1)}]").search
+    return lambda text: general(text) if is_wide(text) else narrow(text)
+
+
+class Agreement:
+    """Whether two functions of texts agree on all characters of a text.
+
+    Libraries know different versions of Unicode, and so may disagree on what is
+    a letter. Each character is tried once, next to a letter, a sign and a digit.
+    """
+
+    def __init__(self, own: Callable, library: Callable):
+        self.own, self.library = own, library
+        self.known: dict[str, bool] = {}
+
+    def __call__(self, text: str) -> bool:
+        if not is_wide(text):
+            return True
+        return all([self._try(c) for c in set(text)])
+
+    def _try(self, character: str) -> bool:
+        found = self.known.get(character)
+        if found is None:
+            tries = [f"{x}{character}{x}" for x in ("a", "!", "1", " ", "")]
+            found = all(self.own(t) == self.library(t) for t in tries)
+            self.known[character] = found
+        return found
+
+
+def lower_words(path: str) -> Callable[[str], list[str]]:
+    """A function from a text to its lower-cased words, as the file's own library splits it."""
+    split, library = splitter(LOWER_WORDS), Tokenizer.from_file(path)
+    byte_of = {c: b for b, c in enumerate(byte_characters())}
+
+    def own(text: str) -> list[str]:
+        return split(lower_normal(text))
 
-    def split(text: str) -> list[str]:
-        return narrow(text) if text.isascii() or not wide(text) else general(text)
+    def by_library(text: str) -> list[str]:
+        normal = library.normalizer.normalize_str(text)
+        pieces = library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(map(byte_of.__getitem__, piece)).decode() for piece, _ in pieces]
 
-    return split
+    agree = Agreement(own, by_library)
+    return lambda text: own(text) if agree(text) else by_library(text)
 
 
 def lower_normal(text: str) -> str:
