@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,14 @@ def main() -> None:
     parser.add_argument(
         "--multi-line", action="store_true", help="quoted text may hold line breaks"
     )
+    parser.add_argument(
+        "--on-missing",
+        choices=["error", "empty"],
+        default="error",
+        help="what an absent CSV file is to load-raw and load-silver",
+    )
+    parser.add_argument("--as-of", type=date.fromisoformat, help="the day that clean counts ages to")
+    parser.add_argument("--run-ts", type=datetime.fromisoformat, help="the time that clean records")
     args = parser.parse_args()
     if args.job in ("load-raw", "clean") and not args.source:
         parser.error(f"{args.job} needs --source")
@@ -25,12 +34,20 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"fleetlake {args.job}").getOrCreate()
     multi = {"multi_line": args.multi_line}
     rows = {
-        "load-raw": lambda: jobs.load_raw(spark, args.source, args.lake, **multi),
+        "load-raw": lambda: jobs.load_raw(
+            spark, args.source, args.lake, on_missing=args.on_missing, **multi
+        ),
         "clean": lambda: jobs.clean_all(
-            spark, args.source, args.lake, csv_to=args.csv, **multi
+            spark,
+            args.source,
+            args.lake,
+            csv_to=args.csv,
+            as_of=args.as_of,
+            run_ts=args.run_ts,
+            **multi,
         ),
         "load-silver": lambda: jobs.load_silver(
-            spark, args.lake, processed_csv=args.source, **multi
+            spark, args.lake, processed_csv=args.source, on_missing=args.on_missing, **multi
         ),
         "build-gold": lambda: jobs.build_gold(spark, args.lake),
         "report": lambda: jobs.store_reports(spark, args.lake),

@@ -29,6 +29,10 @@ _DATE = rf"^{_YEAR}-\d\d-\d\d([ T]\d\d:\d\d(:\d\d(\.\d+)?)?)?$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+# What a database takes as a date, a time or a number; any year of four digits.
+_ANY_DATE = r"^\s*\d{4}-\d\d-\d\d([ T]\d\d:\d\d(:\d\d(\.\d+)?)?)?\s*$"
+
+
 def na_to_null(c: Column) -> Column:
     return F.when(~c.isin(NA_TOKENS), c)
 
@@ -48,6 +52,13 @@ def number(c: Column) -> Column:
     return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
+def strict(c: Column, kind: str) -> Column:
+    """Text to a date, timestamp or decimal; text of any other form ('2024', '1,234.5') raises."""
+    form = _NUMBER if kind.startswith("decimal") else _ANY_DATE
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind}: "), c)).cast(kind)
+    return F.when(c.isNull(), F.lit(None).cast(kind)).when(c.rlike(form), c.cast(kind)).otherwise(bad)
+
+
 def clip(c: Column, low=None, high=None) -> Column:
     """Bound a column by constants; null stays null."""
     bounded = c

@@ -1,8 +1,8 @@
 """The jobs as a user runs them, each a full refresh of one layer.
 
-    python -m fleetlake load-raw    --source DIR --lake DIR
-    python -m fleetlake clean       --source DIR --lake DIR [--csv DIR]
-    python -m fleetlake load-silver --lake DIR [--source DIR]
+    python -m fleetlake load-raw    --source DIR --lake DIR [--on-missing empty]
+    python -m fleetlake clean       --source DIR --lake DIR [--csv DIR] [--as-of DATE] [--run-ts TIME]
+    python -m fleetlake load-silver --lake DIR [--source DIR] [--on-missing empty]
     python -m fleetlake build-gold  --lake DIR
     python -m fleetlake report      --lake DIR
 
@@ -88,18 +88,32 @@ def clean_all(
     return rows
 
 
+def _silver_schema(table: str) -> str:
+    return ", ".join(f"{c} {kind}" for c, kind in schemas.silver_types(table).items())
+
+
 def _silver_check(tables) -> DataFrame:
     return integrity_report(tables, schemas.PRIMARY_KEYS, schemas.FOREIGN_KEYS)
 
 
 def load_silver(
-    spark: SparkSession, lake: str, *, processed_csv: str | None = None, multi_line=False
+    spark: SparkSession,
+    lake: str,
+    *,
+    processed_csv: str | None = None,
+    on_missing: str = "error",
+    multi_line: bool = False,
 ) -> dict[str, int]:
-    """Cleaned tables (or a directory of cleaned CSV files) to the checked silver layer."""
+    """Cleaned tables (or a directory of cleaned CSV files) to the checked silver layer.
+
+    ``on_missing="empty"`` allows absent CSV files; their tables are empty.
+    """
     if processed_csv:
-        csv.check_sources(spark, processed_csv)
+        found = csv.check_sources(spark, processed_csv, need_all=on_missing == "error")
         cleaned = {
             t: csv.read_text(spark, csv.table_path(processed_csv, t), multi_line=multi_line)
+            if t in found
+            else spark.createDataFrame([], _silver_schema(t))
             for t in schemas.TABLES
         }
     else:
@@ -137,7 +151,11 @@ def run_reports(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
 
 
 def store_reports(spark: SparkSession, lake: str) -> dict[str, int]:
-    """Write the reports as tables of their own."""
+    """Write the reports as tables of their own; ``position`` rises in the report's order.
+
+    A report is sorted over all tasks; the positions have gaps between them.
+    """
     made = run_reports(spark, lake)
-    stage = {name: lambda _stored, df=df: df for name, df in made.items()}
+    position = F.monotonically_increasing_id().alias("position")
+    stage = {name: lambda _stored, df=df: df.select(position, "*") for name, df in made.items()}
     return Layer(spark, lake, "reports").refresh([stage])

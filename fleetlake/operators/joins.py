@@ -36,7 +36,7 @@ def hot_keys(df: DataFrame, columns: list[str]) -> dict[str, list]:
 def spread_lookup(
     df: DataFrame, lookup: DataFrame, fk: str, pk: str, row_id: str, hot: list
 ) -> DataFrame:
-    """Inner join in which rows with a hot key go to all tasks instead of one.
+    """Inner join in which rows with a hot key go to all tasks instead of one; keeps ``fk``.
 
     Such rows are cut into slices, four per task, so that the hash of key and
     slice fills the tasks evenly. The lookup rows of the hot keys are repeated
@@ -49,7 +49,7 @@ def spread_lookup(
     copies = F.when(F.col(pk).isin(hot), F.sequence(F.lit(0), F.lit(slices - 1)))
     right = lookup.withColumn("_lookup_slice", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     matched = (F.col(fk) == F.col(pk)) & (F.col("_slice") == F.col("_lookup_slice"))
-    return left.join(right, matched).drop("_slice", "_lookup_slice", fk, pk)
+    return left.join(right, matched).drop("_slice", "_lookup_slice", pk)
 
 
 def lookup_all(
@@ -60,23 +60,34 @@ def lookup_all(
 ) -> DataFrame:
     """Left join each ``(fk, lookup)``; the first column of a lookup is its unique key.
 
-    A lookup is broadcast if its counted size allows it. For the others, only
-    ``(row_id, fk)`` is shuffled by key, and what was found is joined back by
-    ``row_id``, which must be unique. So the wide rows are shuffled once, by
-    ``row_id``, however many large lookups there are, and null keys not at all.
+    A lookup is broadcast if its counted size allows it. For the others, only the
+    different pairs of ``(row_id, fk)`` are shuffled by key, and what was found is
+    joined back by row id and compared by key, so the rows are those of a left join
+    for either size: ids that repeat or are null neither add rows nor lose a
+    key. Rows with an id, which should mostly be unique, are shuffled once by it,
+    however many large lookups there are; rows without one meet each lookup by its key.
     """
     rows = row_counts({str(i): table for i, (_, table) in enumerate(lookups)})
     large = [fk for i, (fk, _) in enumerate(lookups) if rows[str(i)] > broadcast_rows]
     hot = hot_keys(df, large) if large else {}
-    result = df
+    result = df.where(F.col(row_id).isNotNull()) if large else df
+    nameless = df.where(F.col(row_id).isNull())
     for fk, table in lookups:
         key = f"_key_of_{fk}"
         renamed = table.withColumnRenamed(table.columns[0], key)
         if fk in hot:
-            keys = df.select(row_id, fk).where(F.col(fk).isNotNull())
-            found = spread_lookup(keys, renamed, fk, key, row_id, hot[fk])
-            result = result.join(found, row_id, "left")
+            pairs = df.select(F.col(row_id).alias("_row"), F.col(fk).alias("_fk"))
+            pairs = pairs.where("_row IS NOT NULL AND _fk IS NOT NULL").distinct()
+            found = spread_lookup(pairs, renamed, "_fk", key, "_row", hot[fk])
+            # not a join key, so that rows stay where their id has put them
+            same = F.when(F.col(fk) == F.col("_fk"), True).otherwise(False)
+            by_id = (F.col(row_id) == F.col("_row")) & same
+            result = result.join(found, by_id, "left").drop("_row", "_fk")
+            nameless = nameless.join(renamed, F.col(fk) == F.col(key), "left").drop(key)
         else:
-            small = F.broadcast(renamed)
-            result = result.join(small, F.col(fk) == F.col(key), "left").drop(key)
-    return result.select(*df.columns, *(c for _, t in lookups for c in t.columns[1:]))
+            matched = F.col(fk) == F.col(key)
+            result = result.join(F.broadcast(renamed), matched, "left").drop(key)
+            nameless = nameless.join(F.broadcast(renamed), matched, "left").drop(key)
+    columns = [*df.columns, *(c for _, t in lookups for c in t.columns[1:])]
+    result = result.select(*columns)
+    return result.unionByName(nameless.select(*columns)) if large else result

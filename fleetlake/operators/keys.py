@@ -6,7 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_MOST_BUCKETS = 8192
+# Bounds the constants of a plan. It drops nothing: beyond it, buckets hold more rows.
+MOST_BUCKETS = 8192
 
 
 def _cut_points(df: DataFrame, id_column: str, buckets: int) -> list[float]:
@@ -18,9 +19,13 @@ def _cut_points(df: DataFrame, id_column: str, buckets: int) -> list[float]:
 
 
 def surrogate_key(
-    df: DataFrame, id_column: str, key: str, buckets: int | None = None
+    df: DataFrame,
+    id_column: str,
+    key: str,
+    buckets: int | None = None,
+    most_buckets: int = MOST_BUCKETS,
 ) -> DataFrame:
-    """Number the rows 1..n in order of a unique numeric id.
+    """Number the rows 1..n in order of a numeric id, nulls last; rows of one id in any order.
 
     ``row_number`` over the whole table would sort it in one task. The ids are
     cut at their own quantiles instead, so that the buckets hold about equally
@@ -28,11 +33,12 @@ def surrogate_key(
     from the count of rows in the buckets before it. The cut points (at most
     ``buckets`` numbers) are fetched once and are constants of the plan, so a
     recomputed task puts every row in the same bucket as before. By default there
-    are four buckets per shuffle partition.
+    are four buckets per shuffle partition. Rows without an id have buckets of
+    their own behind the others, by the hash of their other columns.
     """
     if buckets is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(4 * partitions, _MOST_BUCKETS)
+        buckets = min(4 * partitions, most_buckets)
     # an empty table still needs a valid bucketing
     cuts = _cut_points(df, id_column, buckets) or [0.0]
     splits = [float("-inf"), *cuts, float("inf")]
@@ -43,6 +49,10 @@ def surrogate_key(
         .transform(df.withColumn("_id", F.col(id_column).cast("double")))
         .drop("_id")
     )
+    others = [c for c in df.columns if c != id_column]
+    slice_ = F.pmod(F.xxhash64(*others), F.lit(buckets)) if others else F.lit(0)
+    # behind the buckets of the numbers and the one of NaN
+    bucketed = bucketed.withColumn("_bucket", F.coalesce("_bucket", slice_ + float(len(splits))))
 
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -3,7 +3,7 @@
 Spark's ``median`` merges every distinct value into a single buffer. Here a
 first pass counts the rows per narrow slice of values, which combines map-side
 to almost nothing, and finds the slice that holds the middle rank. A second
-pass counts and orders the values of that slice only.
+pass counts the values of that slice only, and orders those of a small part of it.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _SLICES_PER_OCTAVE = 256
 _ZERO_SLICE = 1 << 20  # above the number of slices that doubles of one sign can fall in
+_PARTS = 65536  # of the slice that holds the middle
 _LARGEST = sys.float_info.max
 
 
@@ -66,12 +67,28 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     # At most two slices per column hold the middle ranks, so `middle` is a handful of rows.
     slice_of = ["c", "s", "before", "low_rank", "high_rank"]
-    upto = F.sum("n").over(Window.partitionBy("c", "s").orderBy("v"))
-    ranked = (
+    counted = (
         values.join(F.broadcast(middle), ["c", "s"])
         .groupBy(*slice_of, "v")
         .agg(F.count("*").alias("n"))
-        .select("c", "v", "low_rank", "high_rank", "n", (F.col("before") + upto).alias("last"))
+    )
+    # A slice may hold many values, so it is cut again, evenly between its least and its
+    # greatest one; only the values of the part that holds the middle are put in order.
+    ends = counted.groupBy("c", "s").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    share = (F.col("v") - F.col("least")) / (F.col("most") - F.col("least"))
+    part = F.when(F.col("most") > F.col("least"), F.floor(share * _PARTS)).otherwise(F.lit(0))
+    cut = counted.join(F.broadcast(ends), ["c", "s"]).withColumn("p", part)
+    sooner = Window.partitionBy("c", "s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    middle_parts = (
+        cut.groupBy(*slice_of, "p")
+        .agg(F.sum("n").alias("in_part"))
+        .withColumn("before", F.col("before") + F.coalesce(F.sum("in_part").over(sooner), F.lit(0)))
+        .where("before < high_rank AND before + in_part >= low_rank")
+        .select("c", "s", "p", F.col("before").alias("before_part"))
+    )
+    upto = F.sum("n").over(Window.partitionBy("c", "s", "p").orderBy("v"))
+    ranked = cut.join(F.broadcast(middle_parts), ["c", "s", "p"]).select(
+        "c", "v", "low_rank", "high_rank", "n", (F.col("before_part") + upto).alias("last")
     )
 
     def at(rank: str) -> Column:

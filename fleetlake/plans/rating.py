@@ -26,7 +26,8 @@ def rate_rentals(
         "tariff_id", "base_price_per_day", "km_included_per_day", "additional_km_price"
     )
     priced = lookup_all(rentals, [("tariff_id", prices)], "rental_id", broadcast_rows)
-    included = F.col("km_included_per_day") * F.col("rental_days")
+    # wide enough for any two of the columns' values
+    included = F.col("km_included_per_day").cast("bigint") * F.col("rental_days")
     extra_km = C.clip(F.col("km_driven") - included, low=0)
     base = F.round(F.col("base_price_per_day") * F.col("rental_days"), 2)
     extra = F.round(F.col("expected_additional_km") * F.col("additional_km_price"), 2)
@@ -52,30 +53,33 @@ def rate_rentals(
 def classify_payments(payments: DataFrame, rentals: DataFrame) -> DataFrame:
     """'Deposit' for a rental's first payment if it covers 80 % of the deposit, else 'Rental'.
 
-    The first payment is the one with the lowest id. It is found by an
-    aggregate, and payments are matched to it by their own id, so the payments
-    of a busy rental are never gathered or ordered.
+    The first payment is the one with the lowest id; payments that share an id
+    and a rental (a broken key) are classified alike. It is found with its amount
+    by an aggregate, and only those that cover the share are matched to the payments
+    again, so the payments of a busy rental are never gathered or ordered.
     """
-    first = payments.groupBy("rental_id").agg(F.min("payment_id").alias("payment_id"))
+    first = (
+        payments.where(F.col("payment_id").isNotNull())
+        .groupBy("rental_id")
+        .agg(F.min(F.struct("payment_id", "amount")).alias("first"))
+    )
     deposits = rentals.where(F.col("deposit_amount").isNotNull()).select(
         "rental_id", "deposit_amount"
     )
-    due = first.join(deposits, "rental_id").select(
-        "payment_id",
-        F.col("rental_id").alias("_rental"),
-        (F.col("deposit_amount") * F.lit(DEPOSIT_SHARE).cast("decimal(2,1)")).alias("_least"),
+    least = F.col("deposit_amount") * F.lit(DEPOSIT_SHARE).cast("decimal(2,1)")
+    covering = (
+        first.join(deposits, "rental_id")
+        .where(F.col("first.amount") >= least)
+        .select(F.col("rental_id").alias("_rental"), F.col("first.payment_id").alias("_payment"))
     )
-    covers = F.col("amount") >= F.col("_least")
-    return (
-        payments.join(due, "payment_id", "left")
-        .withColumn("declared_type", F.col("payment_type"))
-        .withColumn(
-            "payment_type",
-            F.when(covers & (F.col("rental_id") == F.col("_rental")), "Deposit").otherwise(
-                "Rental"
-            ),
-        )
-        .select("payment_id", "rental_id", "amount", "payment_type", "declared_type")
+    matched = (F.col("payment_id") == F.col("_payment")) & (F.col("rental_id") == F.col("_rental"))
+    kind = F.when(F.col("_payment").isNotNull(), "Deposit").otherwise("Rental")
+    return payments.join(covering, matched, "left").select(
+        "payment_id",
+        "rental_id",
+        "amount",
+        kind.alias("payment_type"),
+        F.col("payment_type").alias("declared_type"),
     )
 
 

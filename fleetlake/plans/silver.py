@@ -16,6 +16,8 @@ def cast_silver(table: str, df: DataFrame) -> DataFrame:
     for name, kind in schemas.silver_types(table).items():
         if kind == "boolean" and name in from_text:
             value = C.boolean_word(F.col(name), schemas.BOOLEAN_ELSE.get((table, name)))
+        elif kind in ("date", "timestamp_ntz") and name in from_text:
+            value = C.strict(F.col(name), kind)
         else:
             value = F.col(name).cast(kind)
         typed.append(value.alias(name))

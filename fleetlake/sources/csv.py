@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions import columns as C
@@ -11,6 +12,7 @@ from fleetlake.functions import columns as C
 # Quotes are doubled inside quoted text. An unquoted empty field is null and a
 # quoted one is empty text; the marker below stands for the former while parsing.
 _UNQUOTED_EMPTY = "\u0001"
+_BEYOND, _ROW = "_beyond_the_header", "_short_row"
 _FORMAT = {
     "header": True,
     "quote": '"',
@@ -18,6 +20,8 @@ _FORMAT = {
     "encoding": "UTF-8",
     "nullValue": _UNQUOTED_EMPTY,
     "emptyValue": "",
+    # every field of a row is parsed, whatever is selected: a malformed row can't pass a count
+    "columnPruning": False,
 }
 
 
@@ -50,19 +54,42 @@ def check_sources(
     return found
 
 
+def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
+    return spark.read.options(**_FORMAT, multiLine=multi_line).csv(path).columns
+
+
+def _schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
 def read_text(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    """All columns as text, named by the header row.
+    """All columns as text, named by the header row; a row with more or fewer fields raises.
 
     Files are split among tasks; only text with line breaks inside quotes needs
     ``multi_line``, which reads each file in one task.
     """
-    return spark.read.options(**_FORMAT, multiLine=multi_line).csv(path)
+    schema = _schema(_header(spark, path, multi_line))
+    reader = spark.read.schema(schema).options(**_FORMAT, multiLine=multi_line, mode="FAILFAST")
+    return reader.csv(path)
 
 
 def read_source(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    """Text columns as the cleaning jobs take them: every spelling of "no value" is null."""
-    df = read_text(spark, path, multi_line=multi_line)
-    return df.select(*(C.na_to_null(F.col(c)).alias(c) for c in df.columns))
+    """Text columns as the cleaning jobs take them: every spelling of "no value" is null.
+
+    A short row is filled with nulls; a row with a field too many raises.
+    """
+    columns = _header(spark, path, multi_line)
+    # with one column more than the header, every good row is short, and a long one is not
+    schema = _schema([*columns, _BEYOND, _ROW])
+    df = (
+        spark.read.schema(schema)
+        .options(**_FORMAT, multiLine=multi_line, columnNameOfCorruptRecord=_ROW)
+        .csv(path)
+    )
+    long = F.col(_BEYOND).isNotNull() | F.col(_ROW).isNull()
+    error = F.raise_error(F.lit(f"a row of {path} has more fields than its header"))
+    sound = df.where(F.when(long, error.cast("boolean")).otherwise(F.lit(True)))
+    return sound.select(*(C.na_to_null(F.col(c)).alias(c) for c in columns))
 
 
 def read_raw(
@@ -71,22 +98,39 @@ def read_raw(
     """A raw table with its declared types.
 
     A malformed row, a value of another type or text over its length fails the
-    load. Columns are taken by position, as the header row is only skipped.
+    load, whatever is selected from it. Columns are taken by position, as the
+    header row is only skipped. Decimals are plain numbers, without groups.
     """
+    declared = schemas.raw_schema(table)
+    kinds = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(declared)}
+    decimals = {c: k for c, k in kinds.items() if k.startswith("decimal")}
+    as_text = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name in decimals else f.dataType)
+            for f in T.StructType.fromDDL(declared)
+        ]
+    )
     df = (
-        spark.read.schema(schemas.raw_schema(table))
+        spark.read.schema(as_text)
         .options(**_FORMAT, multiLine=multi_line, mode="FAILFAST")
         .csv(path)
     )
-    checked = {}
+    # in a filter, so that checks stay whatever columns are taken
+    checks = [C.strict(F.col(c), k).isNotNull() | F.col(c).isNull() for c, k in decimals.items()]
     for name, length in schemas.max_lengths(table).items():
         too_long = F.concat(
             F.lit(f"value too long for {table}.{name} ({length} characters): "), F.col(name)
         )
-        checked[name] = F.when(F.length(name) > length, F.raise_error(too_long)).otherwise(
-            F.col(name)
+        checks.append(
+            F.when(F.length(name) > length, F.raise_error(too_long).cast("boolean")).otherwise(
+                F.lit(True)
+            )
         )
-    return df.withColumns(checked)
+    # true of every row, but it needs all columns, so that none is read without its type
+    checks.append(F.hash(*kinds) >= F.lit(-(1 << 31)))
+    for check in checks:
+        df = df.where(check)
+    return df.select(*(C.strict(F.col(c), k).alias(c) if c in decimals else c for c, k in kinds.items()))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ readers see all tables of the old version or all of the new one.
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -16,9 +17,12 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.sources.csv import path_exists, remove
 
+_local_scratch: dict[str, str] = {}
+
 Build = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
@@ -41,17 +45,28 @@ class IntegrityError(Exception):
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name in the folder that the cluster shares for such data.
 
-    Only a local session without such a folder (as in tests) makes one of its own.
+    Only a local session without such a folder (as in tests) makes one of its
+    own, for all that it stores. On a cluster, a folder on a machine's own disk is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="fleetlake-")
-        spark.sparkContext.setCheckpointDir(base)
+    local = spark.sparkContext.master.startswith("local")
+    if not base and local:
+        application = spark.sparkContext.applicationId
+        if application not in _local_scratch:
+            _local_scratch[application] = tempfile.mkdtemp(prefix="fleetlake-")
+        base = f"file://{_local_scratch[application]}"
+    if not base or not (local or _is_shared(spark, base)):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/fleetlake-{uuid.uuid4().hex}"
 
 
+def _is_shared(spark: SparkSession, path: str) -> bool:
+    """Whether a path is in a file system that is not a machine's own."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getUri().getScheme() != "file"
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, sort_by: list[str] | None = None
 ) -> int:
@@ -71,10 +86,19 @@ def write_table(
     return seen.get["rows"]
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop_path)
+
+
 class Layer:
     """One layer (raw, processed, silver or gold) under a root directory.
 
-    One job at a time may refresh a layer; any number may read it.
+    Any number of jobs may read it. Refreshes never share a directory: each claims
+    a version of its own, and of those that are published the highest is read.
+    Tables are read with the schema that they were written with, so that an empty
+    table, or a partition column that is always null, keeps its types.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
@@ -82,20 +106,36 @@ class Layer:
         self.path = f"{root.rstrip('/')}/{name}"
         self._versions = f"{self.path}/_published_versions"
 
-    def version(self) -> int:
-        """The published version, 0 if there is none."""
+    def _published(self) -> list[int]:
         if not path_exists(self.spark, self._versions):
-            return 0
+            return []
         listed = self.spark.read.schema("version bigint").parquet(self._versions)
-        return listed.agg(F.max("version")).first()[0] or 0
+        return sorted(row["version"] for row in listed.collect())
+
+    def version(self) -> int:
+        """The published version, 0 if there is none."""
+        return max(self._published(), default=0)
+
+    def _at(self, version: int, name: str) -> str:
+        return f"{self.path}/version={version}/{name}"
+
+    def schemas(self, version: int) -> dict[str, T.StructType]:
+        stored = self.spark.read.schema("name string, fields string")
+        rows = stored.parquet(self._at(version, "_schemas")).collect()
+        return {r["name"]: T.StructType.fromJson(json.loads(r["fields"])) for r in rows}
 
     def table(self, name: str, version: int | None = None) -> DataFrame:
         version = self.version() if version is None else version
-        return self.spark.read.parquet(f"{self.path}/version={version}/{name}")
+        schema = self.schemas(version)[name]
+        return self.spark.read.schema(schema).parquet(self._at(version, name))
 
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
         version = self.version()
-        return {name: self.table(name, version) for name in names}
+        schemas = self.schemas(version)
+        return {
+            name: self.spark.read.schema(schemas[name]).parquet(self._at(version, name))
+            for name in names
+        }
 
     def refresh(
         self,
@@ -108,33 +148,53 @@ class Layer:
         The tables of a stage are written side by side. A table is made by a
         function of the tables that earlier stages stored. Any failure, or any
         row of the report that ``check`` gives for the stored tables, leaves the
-        published version as it was.
+        published version as it was. The whole report of a refused version is
+        stored beside its tables, and the error names its place and counts.
         """
-        version = self.version() + 1
+        published = self._published()
+        version = max(published, default=0) + 1
+        while not _claim(self.spark, f"{self.path}/_claims/{version}"):
+            version += 1
         rows: dict[str, int] = {}
         stored: dict[str, DataFrame] = {}
+        kinds: dict[str, T.StructType] = {}
 
         def write(name: str, build: Build) -> int:
             partition_by, sort_by = (layout or {}).get(name, (None, None))
-            path = f"{self.path}/version={version}/{name}"
-            return write_table(build(stored), path, partition_by, sort_by)
+            df = build(stored)
+            kinds[name] = df.schema
+            return write_table(df, self._at(version, name), partition_by, sort_by)
 
         for stage in stages:
             rows |= side_by_side(
                 self.spark, {name: partial(write, name, build) for name, build in stage.items()}
             )
-            stored |= {name: self.table(name, version) for name in stage}
+            stored |= {
+                name: self.spark.read.schema(kinds[name]).parquet(self._at(version, name))
+                for name in stage
+            }
+        written = [(name, json.dumps(kinds[name].jsonValue())) for name in rows]
+        fields = self.spark.createDataFrame(written, "name string, fields string").coalesce(1)
+        fields.write.mode("overwrite").parquet(self._at(version, "_schemas"))
         if check is not None:
-            found = check(stored).limit(20).collect()
-            if found:
-                raise IntegrityError(
-                    f"{self.path} version {version} is not published: "
-                    + "; ".join(str(row.asDict()) for row in found)
-                )
-        published = self.spark.range(version, version + 1, 1, 1).select(
-            F.col("id").alias("version")
-        )
-        published.write.mode("append").parquet(self._versions)
+            self._refuse_if_any(check(stored), version)
+        one = self.spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version"))
+        one.write.mode("append").parquet(self._versions)
         # readers that began on the version before may still need it
-        remove(self.spark, f"{self.path}/version={version - 2}")
+        for old in published[:-1]:
+            remove(self.spark, f"{self.path}/version={old}")
         return rows
+
+    def _refuse_if_any(self, found: DataFrame, version: int) -> None:
+        place = self._at(version, "_violations")
+        if not write_table(found, place):
+            return
+        report = self.spark.read.schema(found.schema).parquet(place)
+        by = [c for c in ("table_name", "rule") if c in report.columns]
+        # a row per rule of the layer
+        counted = report.groupBy(*by).count().orderBy(*by).collect()
+        total = sum(r["count"] for r in counted)
+        raise IntegrityError(
+            f"{self.path} version {version} is not published: {total} violations, all in {place}: "
+            + "; ".join(f"{', '.join(r[c] for c in by)}: {r['count']}" for r in counted)
+        )

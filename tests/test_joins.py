@@ -62,5 +62,20 @@ def test_wide_rows_are_shuffled_once(spark, skewed, lookup, shuffled_joins):
     assert joined.where("found IS DISTINCT FROM found2").count() == 0
     plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
     shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
-    assert len([line for line in shuffles if "hashpartitioning(row_id" in line]) == 3
-    assert len(shuffles) == 7
+    assert len([line for line in shuffles if "hashpartitioning(row_id" in line]) == 1
+
+
+def test_large_lookups_give_what_small_ones_give(spark, shuffled_joins):
+    """Repeated and null ids, null and hot keys."""
+    rows = [(None if i % 7 == 0 else i % 40, None if i % 5 == 0 else (1 if i % 3 else i % 30)) for i in range(900)]
+    df = spark.createDataFrame(rows, "row_id long, fk long")
+    lookup = spark.range(1, 25).selectExpr("id AS key", "id * 10 AS found")
+    second = spark.range(1, 9).selectExpr("id AS key", "id * 100 AS other")
+    lookups = [("fk", lookup)]
+    small = sorted(map(repr, lookup_all(df, lookups, "row_id").collect()))
+    large = sorted(map(repr, lookup_all(df, lookups, "row_id", broadcast_rows=0).collect()))
+    assert small == large and len(large) == 900
+    both = [("fk", lookup), ("row_id", second)]
+    small = sorted(map(repr, lookup_all(df, both, "row_id").collect()))
+    assert small == sorted(map(repr, lookup_all(df, both, "row_id", broadcast_rows=10).collect()))
+    assert small == sorted(map(repr, lookup_all(df, both, "row_id", broadcast_rows=0).collect()))

@@ -36,6 +36,7 @@ def test_typed_read(spark, tmp_path):
     [
         "x,2,2024-05-01,Card,1.0,Rental,Completed",
         "1,2,2024-05-01,Card,abc,Rental,Completed",
+        '1,2,2024-05-01,Card,"1,234.5",Rental,Completed',
         "1,2,2024-05-01,Card,123456789012.0,Rental,Completed",
         "1,2,2024-05-01,Card,1.0",
         "1,2,2024-05-01,Card,1.0,Rental,Completed,more",
@@ -44,8 +45,12 @@ def test_typed_read(spark, tmp_path):
 )
 def test_bad_rows_fail_the_load(spark, tmp_path, line):
     path = put(tmp_path, "payments", PAYMENTS + line + "\n")
-    with pytest.raises(Exception, match="(?i)malformed|too long"):
+    with pytest.raises(Exception, match="(?i)malformed|too long|not a decimal|out of range|cannot be represented"):
         csv.read_raw(spark, path, "payments").collect()
+    with pytest.raises(Exception):  # noqa: B017  (whatever is taken)
+        csv.read_raw(spark, path, "payments").select("payment_id").collect()
+    with pytest.raises(Exception):  # noqa: B017
+        csv.read_raw(spark, path, "payments").count()
 
 
 def test_text_read_follows_the_header(spark, tmp_path):
@@ -56,6 +61,21 @@ def test_text_read_follows_the_header(spark, tmp_path):
     assert [tuple(r) for r in csv.read_source(spark, path).collect()] == [("1.50", None), (None, None)]
 
 
+@pytest.mark.parametrize("line", ["1,2,3", "1", "1,2,", "1,2,3,4"])
+def test_rows_unlike_the_header(spark, tmp_path, line):
+    path = put(tmp_path, "x", f"a,b\n5,6\n{line}\n")
+    for use in (lambda df: df.collect(), lambda df: df.select("a").collect(), lambda df: df.count()):
+        with pytest.raises(Exception):  # noqa: B017
+            use(csv.read_text(spark, path))
+        if line == "1":
+            assert use(csv.read_source(spark, path)) is not None
+        else:
+            with pytest.raises(Exception, match="more fields"):
+                use(csv.read_source(spark, path))
+    if line == "1":
+        assert [tuple(r) for r in csv.read_source(spark, path).collect()] == [("5", "6"), ("1", None)]
+
+
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = put(tmp_path, "x", 'a,b\n"one\ntwo",3\n')
     assert [tuple(r) for r in csv.read_text(spark, path, multi_line=True).collect()] == [("one\ntwo", "3")]
@@ -134,6 +154,7 @@ class Session:
     def __init__(self, configured=None, master="local[8]"):
         self.configured, self.made, self.master = configured, None, master
         self.conf = self.sparkContext = self
+        self.applicationId = f"{master}-{configured}"
 
     def get(self, name, default):
         return self.configured if name == "spark.checkpoint.dir" else default
@@ -150,6 +171,18 @@ def test_scratch_dir_follows_the_session():
     assert scratch_dir(shared).startswith("hdfs://shared/checkpoints/fleetlake-")
     assert shared.made is None and scratch_dir(shared) != scratch_dir(shared)
     alone = Session()
-    assert scratch_dir(alone).startswith(f"{alone.made}/fleetlake-")
+    first, second = scratch_dir(alone), scratch_dir(alone)
+    assert first != second and first.rpartition("/")[0] == second.rpartition("/")[0]
+    assert alone.made is None  # the session's own setting stays as it is
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(master="yarn"))
+
+
+def test_machines_own_folders_are_refused_on_a_cluster(spark, tmp_path):
+    class Cluster(Session):
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    assert scratch_dir(Cluster(f"file://{tmp_path}")).startswith("file:/")
+    for path in (f"file://{tmp_path}", str(tmp_path)):
+        with pytest.raises(ValueError, match="share"):
+            scratch_dir(Cluster(path, master="yarn"))
