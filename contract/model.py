@@ -17,8 +17,7 @@ from fleetlake.sources.layers import Layer, scratch_dir
 RUN_TS = datetime(2026, 1, 1)
 
 # The driver writes a table as one file, often of one row group, which one task reads.
-# Rows of a larger table are spread by these columns if its scan has fewer splits than
-# there are cores, that is, only while it is small.
+# Rows of the larger tables are spread by these columns, whatever their size.
 SPREAD_BY = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
     "orders": ["o_orderkey"],
@@ -31,9 +30,8 @@ _gold: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *SPREAD_BY[name])
+    if name in SPREAD_BY:
+        df = df.repartition(*SPREAD_BY[name])
     return df
 
 

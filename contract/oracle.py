@@ -28,6 +28,11 @@ def _date(c: str) -> str:
     return f"case when regexp_matches({c}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') then try_cast({c} as date) end"
 
 
+def _stamp(c: str) -> str:
+    form = "^\\d{4}-\\d{2}-\\d{2}([ T]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?$"
+    return f"case when regexp_matches({c}, '{form}') then try_cast({c} as timestamp) end"
+
+
 def _flag(c: str, default: str) -> str:
     return f"case lower({c}) when 'true' then true when 'false' then false else {default} end"
 
@@ -161,8 +166,9 @@ RELATIONS = {
           coalesce(payment_type, 'Rental') as payment_type, coalesce(status, 'Completed') as status,
           {_STAMP} from t_payments_dirty""",
     "q_car_condition": f"""
-        select * replace ({_date('entry_date')} as entry_date,
-          case when {_date('repair_date')} < {_date('entry_date')} then {_date('entry_date')} + 1
+        select * replace ({_stamp('entry_date')} as entry_date,
+          case when {_date('repair_date')} < {_stamp('entry_date')}
+            then cast({_stamp('entry_date')} + interval 1 day as date)
             else {_date('repair_date')} end as repair_date)
         from t_car_condition_dirty""",
     "c_car_condition": f"""
@@ -277,6 +283,10 @@ RELATIONS = {
           from t_payments_broken
         union all select 'car_condition', 'fk_car_condition_car', car_id,
           car_id in (select car_id from t_cars_broken) from t_car_condition""",
+    "broken_fact": """
+        select * replace (case when rental_id % 7 = 0 then -1 else car_key end as car_key)
+        from fact_rentals
+        union all select * from fact_rentals where rental_id % 11 = 0""",
     "fk_violations": """
         select table_name, rule, key, count(*) as n from broken_references
         where key is not null and not known group by all""",
@@ -308,6 +318,24 @@ def _gold_checks() -> str:
     return " union all ".join(primary + foreign)
 
 
+def _raw_lines() -> str:
+    """Every raw table's rows as (table, id, all columns joined as text)."""
+
+    def text(table: str, name: str, kind: str) -> str:
+        value = f"cast({name} as {kind})" if kind.startswith("decimal") else name
+        if name == "entry_date":
+            value = f"date_trunc('second', {name})"
+        return f"coalesce(cast({value} as varchar), '-')"
+
+    parts = []
+    for table in schemas.TABLES:
+        kinds = schemas.raw_types(table)
+        line = " || '|' || ".join(text(table, n, k) for n, k in kinds.items())
+        key = schemas.PRIMARY_KEYS[table]
+        parts.append(f"select '{table}' as table_name, {key} as id, {line} as line from t_{table}")
+    return " union all ".join(parts)
+
+
 def _counts(prefix: str) -> str:
     parts = " union all ".join(
         f"select '{t}' as table_name, count(*) as row_count from {prefix}{t}"
@@ -333,6 +361,7 @@ QUERIES = {
         select * replace (cast(rental_date as varchar) as rental_date,
           cast(scheduled_return_date as varchar) as scheduled_return_date,
           cast(actual_return_date as varchar) as actual_return_date) from t_rentals""",
+    "load_raw_all": _raw_lines(),
     "load_raw_counts": _counts("t_"),
     "load_silver_text": "select * from t_car_condition_dirty",
     "silver_bool_parse": f"""
@@ -354,6 +383,9 @@ QUERIES = {
     "surrogate_key": """
         select cast(row_number() over (order by o_orderkey) as bigint) as order_key, o_orderkey,
           o_custkey from orders""",
+    "surrogate_key_nulls": """
+        select cast(row_number() over (order by id nulls last) as bigint) as number, id
+        from (select case when o_orderkey % 10 <> 0 then o_orderkey // 3 end as id from orders)""",
     "insert_if_absent": """
         with loaded as (select customer_id, city, loyalty_level from t_customers
             where loyalty_level <> 'Bronze'),
@@ -366,6 +398,19 @@ QUERIES = {
     "fact_dim_lookup": """
         select rental_id, car_key, client_key, employee_key, tariff_key, pickup_location_key,
           return_location_key from fact_rentals""",
+    "fact_dim_lookup_large": """
+        select rental_id, car_key, client_key, employee_key, tariff_key, pickup_location_key,
+          return_location_key from fact_rentals""",
+    "fact_date_keys_outside": """
+        with moved as (select rental_id,
+            rental_date + cast((rental_id % 3 - 1) * 3653 as int) as rental_date,
+            actual_return_date + cast((rental_id % 3 - 1) * 3653 as int) as actual_return_date
+          from t_rentals)
+        select rental_id, rental_date, actual_return_date,
+          (select date_key from dim_date where full_date = rental_date) as rental_date_key,
+          (select date_key from dim_date where full_date = actual_return_date)
+            as actual_return_date_key
+        from moved""",
     "fact_date_keys": """
         select rental_id, rental_date, actual_return_date, rental_date_key, actual_return_date_key
         from fact_rentals""",
@@ -376,6 +421,7 @@ QUERIES = {
           cast(date_diff('day', rental_date, actual_return_date) as int) as duration_days
         from t_rentals""",
     "check_gold_keys": _gold_checks(),
+    "check_gold_keys_broken": _gold_checks().replace("from fact_rentals", "from broken_fact"),
     "report_tariffs": f"""
         select tariff_name, base_price_per_day, count(*) as rentals_count,
           {_money('sum(total_cost)')} as total_revenue, {_money('sum(total_paid)')} as received_payments
@@ -403,6 +449,9 @@ QUERIES = {
     "report_revenue_by_month": f"""
         select cast(date_trunc('month', rental_date) as date) as month,
           {_money('sum(total_cost)')} as total_revenue from t_rentals group by 1""",
+    "report_revenue_null_dates": f"""
+        select cast(date_trunc('month', case when rental_id % 4 <> 0 then rental_date end) as date)
+          as month, {_money('sum(total_cost)')} as total_revenue from t_rentals group by 1""",
     "report_employees": f"""
         select full_name as employee_name, count(*) as rentals_count,
           {_money('sum(total_cost)')} as total_revenue,
@@ -427,7 +476,7 @@ QUERIES = {
           y as (select *, cast(expected_additional_km * additional_km_price as decimal(18,2))
             as expected_additional_km_cost from x)
         select rental_id, tariff_id, expected_base_cost,
-          cast(expected_additional_km as int) as expected_additional_km,
+          cast(expected_additional_km as bigint) as expected_additional_km,
           expected_additional_km_cost,
           cast(expected_base_cost + expected_additional_km_cost as decimal(18,2)) as expected_total_cost,
           total_cost,
@@ -468,6 +517,8 @@ QUERIES = {
         from c_rentals group by 1""",
 }
 
+QUERIES["rate_rentals_large"] = QUERIES["rate_rentals"]
+
 _ALL = {f"t_{v}": views.duckdb_sql(v) for v in views.VIEWS} | RELATIONS
 _NAMES = re.compile(r"\b(" + "|".join(sorted(_ALL, key=len, reverse=True)) + r")\b")
 

@@ -11,6 +11,7 @@ from contract import model
 from fleetlake import jobs, schemas
 from fleetlake.functions import columns as C
 from fleetlake.operators import keys, quality
+from fleetlake.operators.joins import BROADCAST_ROWS
 from fleetlake.plans import gold, rating, reports
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
@@ -36,8 +37,8 @@ def _raw_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
 
     def write(table: str) -> None:
         df = model.dirty(spark, sf_dir, table) if dirty else model.view(spark, sf_dir, table)
-        if table == "car_condition":  # a raw date is at most 20 characters long
-            df = df.withColumn("entry_date", F.col("entry_date").cast("date"))
+        if table == "car_condition" and not dirty:  # a raw time is at most 20 characters long
+            df = df.withColumn("entry_date", F.date_trunc("second", "entry_date").cast("string"))
         csv.write_csv(df, csv.table_path(directory, table))
 
     side_by_side(spark, {table: partial(write, table) for table in schemas.TABLES})
@@ -50,6 +51,23 @@ def load_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_count_report(Layer(spark, lake, "raw").tables(schemas.TABLES))
 
 
+def load_raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of all eight raw tables, its columns joined as text."""
+    lake = scratch_dir(spark)
+    jobs.load_raw(spark, _raw_files(spark, sf_dir, dirty=False), lake)
+    tables = Layer(spark, lake, "raw").tables(schemas.TABLES)
+    lines = None
+    for table, df in tables.items():
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]
+        part = df.select(
+            F.lit(table).alias("table_name"),
+            F.col(schemas.PRIMARY_KEYS[table]).alias("id"),
+            F.concat_ws("|", *text).alias("line"),
+        )
+        lines = part if lines is None else lines.unionByName(part)
+    return lines
+
+
 def load_silver_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = csv.table_path(scratch_dir(spark), "car_condition")
     csv.write_csv(model.dirty(spark, sf_dir, "car_condition"), path)
@@ -136,6 +154,14 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.surrogate_key(orders, "o_orderkey", "order_key")
 
 
+def surrogate_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that repeat, and every tenth row without one."""
+    ids = model.view(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey div 3 END AS id"
+    )
+    return keys.surrogate_key(ids, "id", "number")
+
+
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base holds customers above Bronze; a batch brings every customer twice."""
     customers = model.view(spark, sf_dir, "customers").select(
@@ -151,10 +177,12 @@ def payment_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.payment_rollup(model.silver(spark, sf_dir, "payments"))
 
 
-def fact_dim_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_dim_lookup(
+    spark: SparkSession, sf_dir: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Rentals against the stored dimensions."""
     rentals = gold.with_dim_keys(
-        model.silver(spark, sf_dir, "rentals"), model.gold(spark, sf_dir)
+        model.silver(spark, sf_dir, "rentals"), model.gold(spark, sf_dir), broadcast_rows
     )
     return rentals.select(
         "rental_id", "car_key", "client_key", "employee_key", "tariff_key",
@@ -170,6 +198,19 @@ def fact_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_date_keys_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the rentals are moved by ten years, most of them out of the calendar."""
+    moved = {
+        c: F.date_add(c, ((F.col("rental_id") % 3 - 1) * 3653).cast("int"))
+        for c in ("rental_date", "actual_return_date")
+    }
+    rentals = model.silver(spark, sf_dir, "rentals").withColumns(moved)
+    return gold.with_date_keys(rentals, gold.dim_date(spark)).select(
+        "rental_id", "rental_date", "actual_return_date", "rental_date_key",
+        "actual_return_date_key",
+    )
+
+
 def fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rentals = model.silver(spark, sf_dir, "rentals").select("rental_id")
     return gold.with_payments(rentals, model.silver(spark, sf_dir, "payments"))
@@ -197,14 +238,39 @@ def check_gold_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def check_gold_keys_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that point to no car, and facts that come twice."""
+    tables = model.gold(spark, sf_dir)
+    fact = tables["fact_rentals"]
+    astray = F.when(F.col("rental_id") % 7 == 0, F.lit(-1)).otherwise(F.col("car_key"))
+    broken = fact.withColumn("car_key", astray).unionByName(fact.where("rental_id % 11 = 0"))
+    return quality.constraint_summary(
+        tables | {"fact_rentals": broken}, schemas.GOLD_PRIMARY_KEYS, schemas.GOLD_FOREIGN_KEYS
+    )
+
+
+def report_revenue_null_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month report of a star schema in which every fourth rental has no date."""
+    silver = model.silver_tables(spark, sf_dir)
+    dated = F.when(F.col("rental_id") % 4 != 0, F.col("rental_date"))
+    rentals = silver["rentals"].withColumn("rental_date", dated)
+    layer = Layer(spark, scratch_dir(spark), "gold")
+    jobs.refresh_gold(silver | {"rentals": rentals}, layer)
+    return reports.revenue_by_month(layer.table("fact_rentals"))
+
+
 def report(build, dims: tuple[str, ...], spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = model.gold(spark, sf_dir)
     return build(tables["fact_rentals"], *(tables[d] for d in dims))
 
 
-def rate_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_rentals(
+    spark: SparkSession, sf_dir: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     return rating.rate_rentals(
-        model.silver(spark, sf_dir, "rentals"), model.silver(spark, sf_dir, "tariffs")
+        model.silver(spark, sf_dir, "rentals"),
+        model.silver(spark, sf_dir, "tariffs"),
+        broadcast_rows,
     )
 
 
@@ -228,6 +294,7 @@ def anomaly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     **{f"clean_{t}": partial(clean, t) for t in schemas.TABLES},
     "load_raw": load_raw,
+    "load_raw_all": load_raw_all,
     "load_raw_counts": load_raw_counts,
     "load_silver_text": load_silver_text,
     "silver_types": partial(silver_types, "rentals"),
@@ -246,14 +313,19 @@ QUERIES = {
     "dim_location": partial(dimension, gold.dim_location, "locations"),
     "dim_tariff": partial(dimension, gold.dim_tariff, "tariffs"),
     "surrogate_key": surrogate_key,
+    "surrogate_key_nulls": surrogate_key_nulls,
     "insert_if_absent": insert_if_absent,
     "payment_rollup": payment_rollup,
     "fact_dim_lookup": fact_dim_lookup,
+    # no lookup is broadcast: what tables beyond the limit take
+    "fact_dim_lookup_large": partial(fact_dim_lookup, broadcast_rows=0),
     "fact_date_keys": fact_date_keys,
+    "fact_date_keys_outside": fact_date_keys_outside,
     "fact_payments": fact_payments,
     "fact_duration": fact_duration,
     "fact_rentals": fact_rentals,
     "check_gold_keys": check_gold_keys,
+    "check_gold_keys_broken": check_gold_keys_broken,
     "report_tariffs": partial(report, reports.tariffs, ("dim_tariff",)),
     "report_top_cars": partial(report, reports.top_cars, ("dim_car",)),
     "report_brands": partial(report, reports.brands, ("dim_car",)),
@@ -261,9 +333,11 @@ QUERIES = {
     "report_client_cities": partial(report, reports.client_cities, ("dim_client",)),
     "report_rentals_by_month": partial(report, reports.rentals_by_month, ()),
     "report_revenue_by_month": partial(report, reports.revenue_by_month, ()),
+    "report_revenue_null_dates": report_revenue_null_dates,
     "report_employees": partial(report, reports.employees, ("dim_employee",)),
     "report_month_year_pivot": partial(report, reports.month_year_comparison, ()),
     "rate_rentals": rate_rentals,
+    "rate_rentals_large": partial(rate_rentals, broadcast_rows=0),
     "classify_payments": classify_payments,
     "rental_balance": rental_balance,
     "anomaly_counts": anomaly_counts,

@@ -238,7 +238,7 @@ VIEWS = {
         from {payments}""",
     "car_condition_dirty": """
         select cast(condition_id as string) as condition_id, cast(car_id as string) as car_id,
-          cast(cast(entry_date as date) as string) as entry_date,
+          cast(date_trunc('second', entry_date) as string) as entry_date,
           case when condition_id % 13 = 0 then null else entry_type end as entry_type,
           case when condition_id % 17 = 0 then null else description end as description,
           case when condition_id % 19 = 0 then null
