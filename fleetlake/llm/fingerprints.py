@@ -25,7 +25,7 @@ from xxhash import xxh3_64_intdigest
 from fleetlake.llm.tables import partitions
 from fleetlake.llm.words import rows_in_pieces
 
-SAMPLES = 64
+SAMPLES = 128
 _POOL_BITS, _NAME_BITS = 16, 12
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _PART, _PORTION = 256, 4096  # terms drawn at once, and terms of a text taken at once
