@@ -8,6 +8,7 @@ these probabilities.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 GRADES = 3  # above 0, the grade of a text that is not toxic
-SAMPLE = 8000  # labelled texts that a model is fitted on, at most
+SAMPLE = 4000  # labelled texts that a model is fitted on, at most
 _WORD = re.compile(r"\w+")
 
 
@@ -138,16 +139,15 @@ def fit(
     counts = Counter(w for words in found for w in words)
     vocabulary = sorted(w for w, n in counts.items() if n >= least)
     number = {w: i for i, w in enumerate(vocabulary)}
-    entries = [
-        (row, number[w], x)
-        for row, words in enumerate(found)
-        for w, x in words.items()
-        if w in number
-    ]
-    columns = zip(*entries, strict=True) if entries else ([], [], [])
-    row, column, value = (np.array(c) for c in columns)
-    row, column = row.astype(int), column.astype(int)
+    row, column, value = array("l"), array("l"), array("d")
+    for i, words in enumerate(found):
+        for w in words.keys() & number.keys():
+            row.append(i)
+            column.append(number[w])
+            value.append(words[w])
+    row, column, value = (np.array(x) for x in (row, column, value))
     n, m = len(found), len(vocabulary)
+    del found, counts, number
     reached = grades[:, None] >= np.arange(1, GRADES + 1)
     start = np.log((1 - reached.mean(axis=0) + 1e-3) / (reached.mean(axis=0) + 1e-3))
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
