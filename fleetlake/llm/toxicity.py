@@ -141,7 +141,7 @@ def fit(
     number = {w: i for i, w in enumerate(vocabulary)}
     row, column, value = array("l"), array("l"), array("d")
     for i, words in enumerate(found):
-        for w in words.keys() & number.keys():
+        for w in sorted(words.keys() & number.keys()):
             row.append(i)
             column.append(number[w])
             value.append(words[w])
