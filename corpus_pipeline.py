@@ -59,7 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written before the next one reads them."""
+    """All stages over the documents; a stage's rows are written before the next one reads them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -104,11 +104,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def _learn(classes: DataFrame, sample: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """A quantiser for each length of vectors in a bounded sample by hash."""
-    rows = classes.select("vector").orderBy(F.xxhash64("vector")).limit(sample).collect()
-    by_length: dict[int, list] = {}
-    for row in rows:
-        by_length.setdefault(len(row["vector"]), []).append(row["vector"])
-    return {n: quantiser(_unit(np.array(v, np.float64))) for n, v in by_length.items()}
+    chosen = classes.select("vector").orderBy(F.xxhash64("vector")).limit(sample).toArrow()
+    column = chosen.column("vector").combine_chunks()
+    lengths = np.array([len(v) for v in column], np.int64)
+    return {
+        int(n): quantiser(_unit(_matrix(column.take(pa.array(np.flatnonzero(lengths == n))))))
+        for n in np.unique(lengths)
+    }
 
 
 def _coded(classes: DataFrame, learned: dict) -> DataFrame:
@@ -182,7 +184,8 @@ def _compare(cosine: float, tables: Tables):
                     i, j = some[i], columns[j]
                     new = (names[i] != names[j]) & ~met_before(codes[i] ^ codes[j], number[a])
                     i, j = i[new], j[new]
-                    links += np.bincount(i, weights=weight[j], minlength=len(links)).astype(np.int64)
+                    more = np.bincount(i, weights=weight[j], minlength=len(links))
+                    links += more.astype(np.int64)
                     forest.link(i, j)
             node, to = forest.links()
             some = np.flatnonzero(links)
@@ -241,7 +244,9 @@ def _met(coded: DataFrame, tables: Tables, cosine: float) -> DataFrame:
         F.lit(True).alias("probing"),
     )
     indexed = cut.where("indexed").select(
-        F.xxhash64("list", "other", "block").alias("group"), *columns[1:], F.lit(False).alias("probing")
+        F.xxhash64("list", "other", "block").alias("group"),
+        *columns[1:],
+        F.lit(False).alias("probing"),
     )
     parts = partitions(coded.sparkSession)
 

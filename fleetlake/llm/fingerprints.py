@@ -57,7 +57,8 @@ class Sampler:
     def __init__(self, samples: int, kept: int = 150_000, drawn: int = 16_384):
         self.samples, self.kept, self.drawn = samples, kept, drawn
         numbers = np.arange(5 << _POOL_BITS, dtype=np.uint64).reshape(5, -1)
-        u = ((_mix(numbers * _GOLDEN + _GOLDEN) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        mixed = _mix(numbers * _GOLDEN + _GOLDEN) >> np.uint64(11)
+        u = (mixed.astype(np.float64) + 0.5) * 2.0**-53
         r = -np.log(u[0] * u[1])
         log_c = np.log(-np.log(u[2] * u[3]))
         self.r, self.log_c, self.beta = (x.astype(np.float32) for x in (r, log_c, u[4]))
@@ -86,7 +87,8 @@ class Sampler:
                 t = np.floor(np.log(weights[part][more])[:, None] / r + beta)
                 order[more] = _order(self.log_c[at] - r * (t - beta + np.float32(1)))
                 renamed = mixed[more] + t.astype(np.uint32) * np.uint32(0x9E3779B1)
-                name[more] = np.where(t > 0, (renamed * np.uint32(0x85EBCA6B)) >> np.uint32(20), name[more])
+                renamed = (renamed * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _NAME_BITS)
+                name[more] = np.where(t > 0, renamed, name[more])
             into = slice(self.kept + part.start, self.kept + part.stop)
             self.numbers[into] = order << _NAME_BITS | name.view(np.int32)
 
@@ -190,27 +192,31 @@ def _in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     shares = ", ".join(f"{i / (8 * parts)!r}D" for i in range(1, 8 * parts))
     found = slim.agg(F.expr(f"percentile_approx(key, array({shares}), {80 * parts})")).first()[0]
     cuts = sorted({float(c) for c in found or [0.0]})
-    placed = (
-        Bucketizer(
-            splits=[float("-inf"), *cuts, float("inf")], inputCol="number", outputCol="up",
-            handleInvalid="keep",
-        )
-        .transform(slim.withColumn("number", F.coalesce(F.col("key").cast("double"), F.lit(float("-inf")))))
-        .select("key", "text", (-F.col("up")).cast("int").alias("bucket"))
-        .withColumn("bucket", F.when(F.col("key").isNull(), F.lit(1)).otherwise(F.col("bucket")))
-    )
-    firsts = {r["bucket"]: r["first"] for r in placed.groupBy("bucket").agg(F.max("key").alias("first")).collect()}
+    splits = [float("-inf"), *cuts, float("inf")]
+    cutter = Bucketizer(splits=splits, inputCol="number", outputCol="up", handleInvalid="keep")
+    numbered = slim.withColumn("number", F.coalesce(F.col("key").cast("double"), F.lit(splits[0])))
+    # falling, and null keys behind all others
+    bucket = F.when(F.col("key").isNull(), F.lit(1)).otherwise(-F.col("up").cast("int"))
+    placed = cutter.transform(numbered).select("key", "text", bucket.alias("bucket"))
+    found = placed.groupBy("bucket").agg(F.max("key").alias("first")).collect()
+    firsts = {r["bucket"]: r["first"] for r in found}
     order = sorted(firsts)
     # the first row of each bucket is the guest of the one before it, and of the last one
     of = [(order[i - 1], firsts[b], b) for i, b in enumerate(order)]
-    wanted = docs.sparkSession.createDataFrame(of, "target int, first " + slim.schema["key"].dataType.simpleString() + ", bucket int")
+    kind = slim.schema["key"].dataType
+    schema = f"target int, first {kind.simpleString()}, bucket int"
+    wanted = docs.sparkSession.createDataFrame(of, schema)
     guests = (
         placed.join(F.broadcast(wanted), "bucket")
         .where(F.col("key").eqNullSafe(F.col("first")))
         .groupBy("target")
         .agg(F.min("text").alias("text"))
-        .select(F.lit(None).cast(slim.schema["key"].dataType).alias("key"), "text",
-                F.col("target").alias("bucket"), F.lit(True).alias("guest"))
+        .select(
+            F.lit(None).cast(kind).alias("key"),
+            "text",
+            F.col("target").alias("bucket"),
+            F.lit(True).alias("guest"),
+        )
     )
     return (
         placed.withColumn("guest", F.lit(False))

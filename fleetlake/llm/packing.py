@@ -45,7 +45,9 @@ def tokenizer(path: str):
     for number, (left, right) in enumerate(found["model"]["merges"]):
         if vocabulary[left + right] != 256 + number:
             raise ValueError(f"ids of {path} aren't in the order of its merges")
-    ranks = {bytes(map(byte_of.__getitem__, s)): i for s, i in vocabulary.items() if s not in special}
+    ranks = {
+        bytes(map(byte_of.__getitem__, s)): i for s, i in vocabulary.items() if s not in special
+    }
     encoding = tiktoken.Encoding(
         "own", pat_str=BYTE_WORDS, mergeable_ranks=ranks, special_tokens=special
     )
@@ -236,8 +238,10 @@ def _ranked(pieces: DataFrame) -> DataFrame:
     the slices before; a length that many pieces share has many slices.
     """
     slices = 4 * partitions(pieces.sparkSession)
-    dealt = pieces.withColumn("slice", F.pmod(F.xxhash64("row", "start"), F.lit(slices)).cast("int"))
-    before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slice_ = F.pmod(F.xxhash64("row", "start"), F.lit(slices)).cast("int")
+    dealt = pieces.withColumn("slice", slice_)
+    of_length = Window.partitionBy("length").orderBy("slice")
+    before = of_length.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dealt.groupBy("length", "slice")
         .agg(F.count("*").alias("n"))
@@ -292,11 +296,11 @@ def pack(
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     layout = lay_out(counts, size, tolerance, rounds)
     # at most a row for each place of a pattern and one for each length: bounded by size
-    ranges = F.broadcast(spark.createDataFrame(layout.rows, LAYOUT))
+    ranges = spark.createDataFrame(layout.rows, LAYOUT).withColumnRenamed("length", "_length")
     in_range = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     dealt = stored(
-        _ranked(pieces).alias("p").join(ranges.withColumnRenamed("length", "_length"),
-            (F.col("length") == F.col("_length")) & in_range)
+        _ranked(pieces)
+        .join(F.broadcast(ranges), (F.col("length") == F.col("_length")) & in_range)
         .withColumn("rank", F.col("rank") - F.col("low"))
         .drop("_length", "low", "high")
     )
@@ -306,7 +310,7 @@ def pack(
         F.col("length").cast("long").alias("length"),
         "crc",
         "tokens",
-        (F.col("sequence") + F.floor(F.col("rank") / F.col("each"))).alias("sequence_id"),
+        F.expr("sequence + rank div each").alias("sequence_id"),
         (F.col("offset") + F.pmod("rank", "each") * F.col("length")).alias("offset"),
     )
     streamed = (
@@ -334,8 +338,15 @@ def pack(
             start, n, crc, sequence, offset = (pa.array(c, pa.int64()) for c in columns)
             at = pa.array(taken, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(at), start, n, crc, batch.column("tokens").take(at),
-                 sequence, offset],
+                [
+                    batch.column("key").take(at),
+                    start,
+                    n,
+                    crc,
+                    batch.column("tokens").take(at),
+                    sequence,
+                    offset,
+                ],
                 ["key", "start", "length", "crc", "tokens", "sequence_id", "offset"],
             )
 

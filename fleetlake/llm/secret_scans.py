@@ -26,7 +26,8 @@ class Rule:
 BASE = (
     Rule(
         "assign",
-        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*"""
+        r"""["']?([A-Za-z0-9+/_.=-]+)""",
         2,
         8,
     ),
@@ -42,6 +43,8 @@ MORE = (
 )
 RULES = BASE + MORE
 
+_SPANS = "array<struct<start:int,kind_order:int,end:int,kind:string>>"
+
 
 def postings(docs: DataFrame, words: list[str], key: str, text: str) -> DataFrame:
     """The inverted index of the given trigrams: (trigram's number, key), once for each text."""
@@ -78,22 +81,19 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: str) ->
     return held.select("key", reduce(Column.__add__, bits).alias("may")).where("may <> 0")
 
 
+def _all(pattern: str, group: int) -> Column:
+    return F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))
+
+
 def _spans(rule: Rule, order: int, text: str, matches: str, values: str) -> Column:
     """Spans of the leftmost non-overlapping matches, from the lengths of what is between them."""
     between = F.split(text, rule.found_by or rule.pattern, -1)
-    lengths = F.zip_with(
-        F.zip_with(
-            between,
-            matches,
-            lambda b, m: F.struct(F.char_length(b).alias("gap"), F.char_length(m).alias("n")),
-        ),
-        values,
-        lambda p, v: F.struct(p["gap"].alias("gap"), p["n"].alias("n"), F.char_length(v).alias("of")),
-    )
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,kind_order:int,end:int,kind:string>>").alias("found"),
-    )
+    sizes = [
+        F.transform(c, F.char_length).alias(name)
+        for c, name in ((between, "gap"), (F.col(matches), "n"), (values, "of"))
+    ]
+    lengths = F.arrays_zip(*sizes)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
 
     def step(acc: Column, one: Column) -> Column:
         begin = acc["at"] + one["gap"]
@@ -105,10 +105,9 @@ def _spans(rule: Rule, order: int, text: str, matches: str, values: str) -> Colu
             F.lit(rule.kind).alias("kind"),
         )
         keep = one["of"] >= rule.least
-        return F.struct(
-            F.coalesce(end, begin).alias("at"),
-            F.when(keep, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"),
-        )
+        longer = F.concat(acc["found"], F.array(span))
+        found = F.when(keep, longer).otherwise(acc["found"])
+        return F.struct(F.coalesce(end, begin).alias("at"), found.alias("found"))
 
     return F.aggregate(lengths, start, step, lambda acc: acc["found"])
 
@@ -129,9 +128,16 @@ def secret_spans(
     Empty tables give empty ones.
     """
     may = candidates(docs, rules, key, text).select(F.col("key").alias("_key"), "may")
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(key).alias("_own"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+    )
     # the candidates are built into each task's hash table: only texts are moved, none are sorted
-    joined = rows.join(may.hint("shuffle_hash"), F.col("_own").eqNullSafe(F.col("_key")), "left").select("row", "_text", F.coalesce("may", F.lit(0)).alias("_may"))
+    same = F.col("_own").eqNullSafe(F.col("_key"))
+    joined = rows.join(may.hint("shuffle_hash"), same, "left").select(
+        "row", "_text", F.coalesce("may", F.lit(0)).alias("_may")
+    )
     none = F.array().cast("array<string>")
     indexed = [trigram_query(r.pattern) is not True for r in rules]
     run = [
@@ -141,22 +147,18 @@ def secret_spans(
     found = joined.select(
         "*",
         *(
-            F.when(run[i], F.regexp_extract_all("_text", F.lit(r.found_by or r.pattern), F.lit(0)))
-            .otherwise(none)
-            .alias(f"_m{i}")
+            F.when(run[i], _all(r.found_by or r.pattern, 0)).otherwise(none).alias(f"_m{i}")
             for i, r in enumerate(rules)
         ),
     )
-    empty = F.array().cast("array<struct<start:int,kind_order:int,end:int,kind:string>>")
+    empty = F.array().cast(_SPANS)
     spans = []
     for i, r in enumerate(rules):
-        values = (
-            F.regexp_extract_all("_text", F.lit(r.pattern), F.lit(r.group)) if r.group else F.col(f"_m{i}")
-        )
-        spans.append(
-            F.when(F.size(f"_m{i}") > 0, _spans(r, i, "_text", f"_m{i}", values)).otherwise(empty)
-        )
-    return found.select("row", F.col("_text").alias("text"), F.array_sort(F.concat(*spans)).alias("spans"))
+        values = _all(r.pattern, r.group) if r.group else F.col(f"_m{i}")
+        some = _spans(r, i, "_text", f"_m{i}", values)
+        spans.append(F.when(F.size(f"_m{i}") > 0, some).otherwise(empty))
+    every = F.array_sort(F.concat(*spans))
+    return found.select("row", F.col("_text").alias("text"), every.alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -208,11 +210,10 @@ def redact(
             F.when(after, marked).otherwise(acc["out"]).alias("out"),
         )
 
-    clean = F.aggregate(
-        "spans",
-        start,
-        step,
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))),
-    )
+    def finish(acc: Column) -> Column:
+        rest = F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))
+        return F.concat(acc["out"], rest)
+
+    clean = F.aggregate("spans", start, step, finish)
     changed = F.when(F.size("spans") > 0, clean).otherwise(F.col(f"row.{text}")).alias(text)
     return found.select(*(changed if c == text else F.col(f"row.{c}") for c in docs.columns))

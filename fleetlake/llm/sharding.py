@@ -88,7 +88,8 @@ def shards(
     done, open_rows = None, rows
     while True:
         leaves = stored(_leaves(open_rows, limit, low, high))
-        dealt = open_rows.withColumn("cell", F.shiftright("hash", HASH_BITS - high)).join(leaves, "cell")
+        in_cells = open_rows.withColumn("cell", F.shiftright("hash", HASH_BITS - high))
+        dealt = in_cells.join(leaves, "cell")
         part = dealt.where("shard IS NOT NULL").select(*rows.columns, "shard.*")
         done = part if done is None else done.unionByName(part)
         if high == HASH_BITS or leaves.where("shard IS NULL").isEmpty():

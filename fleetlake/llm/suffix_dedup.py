@@ -282,7 +282,8 @@ def _kinds(different: DataFrame) -> DataFrame:
 
 
 def _whole(window: int) -> list[Column | str]:
-    return ["u1", "u2", F.col("base").alias("low"), F.expr(f"base + starts + {window - 1}").alias("high")]
+    high = F.expr(f"base + starts + {window - 1}")
+    return ["u1", "u2", F.col("base").alias("low"), high.alias("high")]
 
 
 def repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -328,9 +329,8 @@ def repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
         different = stored(_once_each(halves, ["at", "x", "y", "bytes"]))
         several = different.where("n > 1").select("g", "r", "weight")
         ends = spread_join(halves.where("n = 1"), several, ["g", "r"], "weight")
-        ranges.append(
-            ends.select("u1", "u2", F.col("base").alias("low"), F.expr("base + octet_length(bytes)").alias("high"))
-        )
+        high = F.expr("base + octet_length(bytes)")
+        ranges.append(ends.select("u1", "u2", F.col("base").alias("low"), high.alias("high")))
         rows = different.drop("weight")
     whole = ranges[0]
     for more in ranges[1:]:

@@ -22,6 +22,7 @@ from xxhash import xxh3_64_intdigest
 
 GRADES = 3  # above 0, the grade of a text that is not toxic
 SAMPLE = 4000  # labelled texts that a model is fitted on, at most
+LONGEST = 1 << 15  # bytes of a text of that sample, so that it fits into the driver's memory
 _WORD = re.compile(r"\w+")
 
 
@@ -55,7 +56,8 @@ def labelled_sample(
 ) -> pd.DataFrame:
     """(text, toxic) of at most ``rows`` labelled documents, chosen by the hash of their key.
 
-    Each different text comes once; texts with both labels count as toxic.
+    Each different text comes once; texts with both labels count as toxic. Texts
+    of over LONGEST bytes are left out of the sample (all texts are scored).
     """
     chosen = (
         labels.select(F.col(key).alias("key"), F.col("toxic").cast("int").alias("toxic"))
@@ -67,7 +69,8 @@ def labelled_sample(
     )
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # at most `rows` keys and labels are broadcast
-    found = texts.join(F.broadcast(chosen), "key").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    found = texts.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen), "key")
+    found = found.groupBy("text").agg(F.max("toxic").alias("toxic"))
     # keys that many rows share could bring more texts than keys
     return found.orderBy(F.xxhash64("text"), "text").limit(rows).toPandas()
 
@@ -123,8 +126,9 @@ def fit(
     """Fit weights and thresholds on a bounded sample (columns text and toxic), on the driver.
 
     Words in fewer than ten texts, or a smaller share than ``least``, are left
-    out, so that single documents aren't learnt by heart. Gradient steps with momentum and scaling (Adam); the
-    thresholds are kept in order by fitting their differences' logarithms.
+    out, so that single documents aren't learnt by heart. Gradient steps with
+    momentum and scaling (Adam); the thresholds are kept in order by fitting
+    their differences' logarithms.
     Without texts of both kinds there is nothing to fit.
     """
     toxic = sample["toxic"].to_numpy(int) if len(sample) else np.zeros(0, int)
@@ -155,7 +159,8 @@ def fit(
     mean, square = np.zeros_like(parameters), np.zeros_like(parameters)
     for step in range(1, steps + 1):
         weights = parameters[:m]
-        thresholds = np.cumsum(np.concatenate((parameters[m : m + 1], np.exp(parameters[m + 1 :]))))
+        gaps = np.exp(parameters[m + 1 :])
+        thresholds = np.cumsum(np.concatenate((parameters[m : m + 1], gaps)))
         score = np.bincount(row, weights[column] * value, minlength=n)
         # the likelihood of all "at least j" answers, which share the weights
         error = (1 / (1 + np.exp(thresholds - score[:, None])) - reached) / n
