@@ -41,17 +41,22 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     values = (
         df.select(F.inline(pairs))
         .where(F.col("v").isNotNull())
-        .select("c", "v", _slice(F.col("v")).alias("s"))
+        # never null, so that no join adds a filter to one use of the counts only
+        .select("c", "v", F.coalesce(_slice(F.col("v")), F.lit(0)).alias("s"))
     )
 
     column = Window.partitionBy("c")
     earlier = column.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     middle = (
         values.groupBy("c", "s")
-        .agg(F.count("*").alias("in_slice"))
+        .agg(
+            F.count("*").alias("in_slice"), F.min("v").alias("least"), F.max("v").alias("most")
+        )
         .select(
             "c",
             "s",
+            "least",
+            "most",
             "in_slice",
             F.coalesce(F.sum("in_slice").over(earlier), F.lit(0)).alias("before"),
             F.sum("in_slice").over(column).alias("total"),
@@ -62,11 +67,11 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
             F.expr("total div 2 + 1").alias("high_rank"),
         )
         .where("before < high_rank AND before + in_slice >= low_rank")
-        .select("c", "s", "before", "low_rank", "high_rank")
+        .select("c", "s", "least", "most", "before", "low_rank", "high_rank")
     )
 
     # At most two slices per column hold the middle ranks, so `middle` is a handful of rows.
-    slice_of = ["c", "s", "before", "low_rank", "high_rank"]
+    slice_of = ["c", "s", "least", "most", "before", "low_rank", "high_rank"]
     counted = (
         values.join(F.broadcast(middle), ["c", "s"])
         .groupBy(*slice_of, "v")
@@ -74,10 +79,9 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     )
     # A slice may hold many values, so it is cut again, evenly between its least and its
     # greatest one; only the values of the part that holds the middle are put in order.
-    ends = counted.groupBy("c", "s").agg(F.min("v").alias("least"), F.max("v").alias("most"))
     share = (F.col("v") - F.col("least")) / (F.col("most") - F.col("least"))
     part = F.when(F.col("most") > F.col("least"), F.floor(share * _PARTS)).otherwise(F.lit(0))
-    cut = counted.join(F.broadcast(ends), ["c", "s"]).withColumn("p", part)
+    cut = counted.withColumn("p", F.coalesce(part, F.lit(0)))
     sooner = Window.partitionBy("c", "s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     middle_parts = (
         cut.groupBy(*slice_of, "p")
