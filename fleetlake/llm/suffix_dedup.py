@@ -81,13 +81,13 @@ def anchors(text: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
     return first, count, at, hashes[at]
 
 
-_REGION = "g long, r long, u1 long, u2 int, base int, starts int, at int"
+_REGION = "g long, r long, u1 long, u2 int, n long, base int, starts int, at int"
 
 
 def regions(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """All regions of rows (u1, u2, text as bytes): grams, digests and places.
+    """All regions of rows (u1, u2, n, text as bytes): grams, digests and places.
 
-    g is the gram's hash and r the region's; base is the first start, ``at`` the
+    n is the number of equal rows that a row stands for. g is the gram's hash and r the region's; base is the first start, ``at`` the
     anchor's distance from it.
     """
 
@@ -118,12 +118,13 @@ def regions(rows: DataFrame, window: int, gram: int) -> DataFrame:
                     pa.array(r.view(np.int64)),
                     batch.column("u1").take(row),
                     batch.column("u2").take(row),
+                    batch.column("n").take(row),
                     *(pa.array(x.astype(np.int32)) for x in (base, starts, at)),
                 ],
-                ["g", "r", "u1", "u2", "base", "starts", "at"],
+                ["g", "r", "u1", "u2", "n", "base", "starts", "at"],
             )
 
-    return rows.select("u1", "u2", "text").mapInArrow(run, _REGION)
+    return rows.select("u1", "u2", "n", "text").mapInArrow(run, _REGION)
 
 
 def equal_neighbours(
@@ -289,8 +290,9 @@ def _whole(window: int) -> list[Column | str]:
 def repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(u1, u2, low, high): byte ranges made up of strings that also start elsewhere.
 
-    ``texts`` has u1, u2 (together the row's name) and text as bytes. Ranges of a
-    row may overlap. Equal regions are aggregated before they meet, so copies
+    ``texts`` has u1, u2 (together the row's name, of one row only), n (the number
+    of equal rows that the row stands for) and text as bytes. Ranges of a row may
+    overlap. Equal regions are aggregated before they meet, so copies
     cost no comparison. Groups of over GROUP different regions are split by what
     else their strings have in common, level by level, until they are smaller.
     """
@@ -298,23 +300,28 @@ def repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     found = stored(regions(texts, window, gram))
     grams = stored(
         found.groupBy("g")
-        .agg(F.count("*").alias("weight"), (F.min("r") != F.max("r")).alias("mixed"))
-        .where("weight > 1")
+        .agg(
+            F.count("*").alias("weight"),
+            F.sum("n").alias("n"),
+            (F.min("r") != F.max("r")).alias("mixed"),
+        )
+        .where("n > 1")
+        .drop("n")
     )
     shared = stored(spread_join(found, grams, ["g"], "weight"))
     ranges = [shared.where("NOT mixed").select(*_whole(window))]
 
     mixed = shared.where("mixed").drop("mixed")
-    different = stored(_once_each(mixed.withColumn("n", F.lit(1).cast("long")), ["starts", "at"]))
+    different = stored(_once_each(mixed, ["starts", "at"]))
     several = different.where("n > 1").select("g", "r", "weight")
     ranges.append(spread_join(mixed, several, ["g", "r"], "weight").select(*_whole(window)))
     kinds = stored(_kinds(different))
     wanted = spread_join(different.drop("weight"), kinds, ["g"], "kinds")
+    names = texts.select("u1", "u2", "text")
     cut = F.expr(f"substring(text, base + 1, starts + {window - 1})")
     far = F.lit(window - gram)
     columns = ["g", "r", "u1", "u2", "base", "at", F.lit(0).alias("x"), far.alias("y"), "n"]
-    cut_out = texts.join(wanted.hint("shuffle_hash"), ["u1", "u2"])
-    # equal rows share a name, so their regions come more than once: none of those is single
+    cut_out = names.join(wanted.hint("shuffle_hash"), ["u1", "u2"])
     rows = stored(cut_out.select(*columns, cut.alias("bytes")))
     while True:
         kinds = stored(_kinds(rows).withColumn("weight", F.col("kinds")))
@@ -354,11 +361,33 @@ def without(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(ends, [*(low for low, _ in runs), len(text)]))
 
 
+def _copied(rows: DataFrame, window: int) -> DataFrame:
+    """(u1, u2, n): names that several rows share, and their number."""
+    long = rows.where(F.octet_length("text") >= window)
+    return long.groupBy("u1", "u2").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def _one_each(rows: DataFrame, copied: DataFrame, window: int) -> DataFrame:
+    """(u1, u2, n, text): one row of each name with as many bytes as a string, and its number.
+
+    Only rows of copied names are shuffled, after each task has kept one of each.
+    """
+    long = rows.select("u1", "u2", "text").where(F.octet_length("text") >= window)
+    single = long.join(copied, ["u1", "u2"], "left_anti").withColumn("n", F.lit(1).cast("long"))
+    firsts = (
+        long.join(copied, ["u1", "u2"])
+        .groupBy("u1", "u2")
+        .agg(F.first("n").alias("n"), F.first("text").alias("text"))
+    )
+    return single.unionByName(stored(firsts))
+
+
 def _with_ranges(docs: DataFrame, key: str, text: str, window: int, gram: int) -> DataFrame:
     """All columns of ``docs`` in a struct, its text as bytes, and its ranges (null: none).
 
     Rows are named by two hashes of key and text; equal rows share a name, and
-    with it their ranges.
+    with it their ranges, which are found once. A name that many rows share is
+    broadcast, so that no task holds all of its rows.
     """
     rows = docs.select(
         F.struct("*").alias("row"),
@@ -366,12 +395,16 @@ def _with_ranges(docs: DataFrame, key: str, text: str, window: int, gram: int) -
         F.hash(text, key).alias("u2"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
-    found = stored(repeats(rows.select("u1", "u2", "text"), window, gram))
+    copied = stored(_copied(rows, window))
+    found = stored(repeats(_one_each(rows, copied, window), window, gram))
     ranges = found.groupBy("u1", "u2").agg(
-        F.collect_list(F.struct("low", "high")).alias("ranges")
+        F.collect_set(F.struct("low", "high")).alias("ranges")
+    )
+    counted = ranges.join(copied, ["u1", "u2"], "left").withColumn(
+        "n", F.coalesce("n", F.lit(1))
     )
     # ranges go into each task's hash table, texts are not sorted
-    return rows.join(ranges.hint("shuffle_hash"), ["u1", "u2"], "left")
+    return spread_join(rows, stored(counted), ["u1", "u2"], "n", "left", "shuffle_hash")
 
 
 def suffix_dedup(

@@ -50,20 +50,27 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def spread_join(
-    rows: DataFrame, table: DataFrame, keys: list[str], weight: str, how: str = "inner"
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    weight: str,
+    how: str = "inner",
+    hint: str | None = None,
 ) -> DataFrame:
     """Join rows with a table of unique keys, however many rows one key has.
 
     ``weight`` is the table's count of the rows with that key (it is dropped).
     Keys with over a quarter of a partition's share of all rows are broadcast;
     there are at most four per partition, whatever the data. Both inputs should
-    be stored tables, as they are read twice. Keys must not be null.
+    be stored tables, as they are read twice. Keys must not be null. ``hint`` says
+    how the other keys are joined.
     """
     parts = partitions(rows.sparkSession)
     total = table.agg(F.sum(weight)).first()[0] or 0
     hot_from = total / (4 * parts)
     hot = F.broadcast(table.where(F.col(weight) > hot_from).drop(weight))
     cold = table.where(F.col(weight) <= hot_from).drop(weight)
+    cold = cold.hint(hint) if hint else cold
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
     return rows.join(hot, keys).unionByName(rest)
 

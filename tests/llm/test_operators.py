@@ -151,6 +151,26 @@ def test_repeated_strings_of_large_groups(docs, monkeypatch):
     )
 
 
+def test_repeated_strings_of_thousands_of_equal_rows(docs):
+    """Equal rows are looked at once: their ranges don't grow with the number of copies."""
+    rng = random.Random(11)
+    copied, near = prose(rng, 600), prose(rng, 300)
+    rows = [(7, copied)] * 3000 + [(None, near)] * 500 + [(8, near + "!"), (9, copied[:900])]
+    rows += [(10 + i, prose(rng, 100)) for i in range(20)] + [(40, copied[500:1000] + near[50:])]
+    made = docs(rows)
+    joined = suffix_dedup._with_ranges(made.select("doc_id", "text"), "doc_id", "text", 400, 150)
+    assert joined.selectExpr("max(size(ranges))").first()[0] < 200
+    got = Counter(map(tuple, suffix_dedup.suffix_dedup(made).collect()))
+    # three copies of a row repeat as many bytes as thousands
+    few = [r for r in dict.fromkeys(rows) for _ in range(min(3, rows.count(r)))]
+    expected = repeats_by_force([t.encode() for _, t in few], 400)
+    number = {(k, *e): rows.count((k, t)) for (k, t), e in zip(few, expected, strict=True)}
+    assert got == Counter(number)
+    kept = suffix_dedup.keep_unique(made).where("doc_id = 7 OR doc_id IS NULL")
+    assert [r["text"] for r in kept.select("text").distinct().collect()] == [""]
+    assert kept.count() == 3500
+
+
 def test_regions_of_a_text_cut_into_segments(monkeypatch):
     rng = np.random.default_rng(0)
     text = rng.integers(0, 3, 5000).astype(np.uint8)
