@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.tables import stored
 
-HASH_BITS = 60  # the first 15 hex digits of an MD5 digest
+HASH_BITS = 60  # the first of an MD5 digest, at most 15 hex digits
 SLACK_BITS = 4  # cells are so many bits finer than equal shards at the limit
 STEP_BITS = 8  # further bits at once, for cells that are still over the limit
 
@@ -23,7 +23,8 @@ def hashed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(key, text_md5, copy, n_bytes, hash) of every row.
 
     The hash is of the key, the text and the number of the copy, so that rows
-    with one key, or even equal rows, part at some bit. Equal rows are counted
+    with one key, or even equal rows, part at some bit. An empty key is marked, as
+    a null one has the same name. Equal rows are counted
     before they are numbered: no task numbers all copies of a row it has to hold.
     """
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -35,13 +36,16 @@ def hashed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         F.octet_length(value).cast("long").alias("n_bytes"),
     )
     copies = slim.groupBy("key", "name", "text_md5", "n_bytes").count()
-    digest = F.md5(F.concat_ws(":", "name", "text_md5", "copy").cast("binary"))
+    # all other names end with a number, and nulls are skipped
+    mark = F.when(F.col("key").isNotNull() & (F.col("name") == ""), F.lit("empty"))
+    digest = F.md5(F.concat_ws(":", "name", "text_md5", "copy", mark).cast("binary"))
+    bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     return copies.withColumn("copy", F.explode(F.expr("sequence(1L, count)"))).select(
         "key",
         "text_md5",
         "copy",
         "n_bytes",
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("hash"),
+        F.shiftright(bits, 60 - HASH_BITS).alias("hash"),
     )
 
 
@@ -49,7 +53,8 @@ def _leaves(rows: DataFrame, limit: int, low: int, high: int) -> DataFrame:
     """For each cell of ``high`` bits: its shard's depth and sizes, null if it needs more bits.
 
     A cell's shard is the shortest of its prefixes, from ``low`` bits on, whose
-    rows are within the limit (or one row, which can't be split).
+    rows are within the limit (or one row, which can't be split). Rows that differ in
+    no bit stay together.
     """
     cells = rows.groupBy(F.shiftright("hash", HASH_BITS - high).alias("cell")).agg(
         F.sum("n_bytes").alias("bytes"), F.count("*").alias("rows")
@@ -59,7 +64,11 @@ def _leaves(rows: DataFrame, limit: int, low: int, high: int) -> DataFrame:
     nodes = (
         above.groupBy("depth", prefix)
         .agg(F.sum("bytes").alias("shard_bytes"), F.sum("rows").alias("shard_rows"))
-        .where((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1))
+        .where(
+            (F.col("shard_bytes") <= limit)
+            | (F.col("shard_rows") == 1)
+            | (F.col("depth") == HASH_BITS)
+        )
     )
     found = (
         above.select("cell", "depth", prefix)
@@ -77,7 +86,8 @@ def shards(
 
     A shard is a depth and the hash prefix of that many bits. Every shard's texts
     have ``limit`` bytes or fewer in UTF-8, unless it is a single longer text
-    (null counts as empty). Repeated rows and keys, null keys and one key on most
+    (null counts as empty), or rows whose hashes are equal in all bits: these are
+    a shard of that depth, whose bytes show it. Repeated rows and keys, null keys and one key on most
     rows make no difference: hashes differ by text and copy. An empty table
     gives an empty one. The first round looks at as many bits as equal shards
     would need and four more; further rounds look at the rows of larger cells only.
@@ -92,7 +102,7 @@ def shards(
         dealt = in_cells.join(leaves, "cell")
         part = dealt.where("shard IS NOT NULL").select(*rows.columns, "shard.*")
         done = part if done is None else done.unionByName(part)
-        if high == HASH_BITS or leaves.where("shard IS NULL").isEmpty():
+        if leaves.where("shard IS NULL").isEmpty():
             break
         open_rows = stored(dealt.where("shard IS NULL").select(*rows.columns))
         low, high = high + 1, min(HASH_BITS, high + STEP_BITS)

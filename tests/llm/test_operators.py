@@ -227,6 +227,44 @@ def test_shards(docs, awkward, limit):
     assert sharding.shards(docs([]), limit).collect() == []
 
 
+def test_shards_of_null_and_empty_keys(spark):
+    """A null key and an empty one have hashes of their own, so that no row is lost."""
+    text = "x" * 60
+    rows = [(None, text), ("", text), ("", text), (None, text), ("a", text), ("", None), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sharding.shards(table, 100).collect()
+    assert Counter((r["doc_id"], r["n_bytes"]) for r in got) == Counter(
+        (k, len(t or "")) for k, t in rows
+    )
+    assert all(r["shard_bytes"] <= 100 for r in got)
+
+
+@pytest.mark.parametrize("bits", [3, 60])
+def test_shards_of_equal_hashes(docs, monkeypatch, bits):
+    """Rows that differ in no bit are one shard of the full depth; none is left out."""
+    monkeypatch.setattr(sharding, "HASH_BITS", bits)
+    whole = sharding.hashed
+
+    def three_bits(*arguments):
+        return whole(*arguments).selectExpr(
+            "key", "text_md5", "copy", "n_bytes", f"hash >> {bits - 3} << {bits - 3} AS hash"
+        )
+
+    monkeypatch.setattr(sharding, "hashed", three_bits)
+    rows = [(i, f"text {i}") for i in range(100)] + [(1, "text 1"), (None, None)]
+    got = sharding.shards(docs(rows), 10).collect()
+    assert Counter((r["doc_id"], r["text_md5"]) for r in got) == Counter(
+        (k, md5((t or "").encode()).hexdigest()) for k, t in rows
+    )
+    shards = {}
+    for r in got:
+        shards.setdefault((r["depth"], r["prefix"]), []).append(r)
+    for (depth, _), held in shards.items():
+        size = sum(r["n_bytes"] for r in held)
+        assert {(r["shard_bytes"], r["shard_rows"]) for r in held} == {(size, len(held))}
+        assert size <= 10 or len(held) == 1 or depth == bits
+
+
 def test_written_shards(spark, docs, tmp_path):
     rows = [(i, f"text {i}") for i in range(50)] + [(1, "text 1"), (None, None)]
     sharding.write_shards(docs(rows), f"file://{tmp_path}/shards", 100)
