@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from fleetlake.llm.tables import stored
+
 GRADES = 3  # above 0, the grade of a text that is not toxic
 SAMPLE = 4000  # labelled texts that a model is fitted on, at most
 LONGEST = 1 << 15  # bytes of a text of that sample, so that it fits into the driver's memory
+RARE = 0.1  # the share that a rarer label has in the sample and in the fit, at least
 _WORD = re.compile(r"\w+")
 
 
@@ -51,28 +54,52 @@ def features(text: str) -> dict[str, float]:
     return {w: log1p(n * share) for w, n in Counter(found).items()}
 
 
+def _per_label(labelled: DataFrame, name: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows by the hash of their name, a tenth or more of the rarer label's.
+
+    Otherwise labels have their own shares, and what one label lacks the other gets.
+    """
+    counts = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    total = max(1, sum(counts.values()))
+    found = []
+    for toxic, count in counts.items():
+        share = min(max(count / total, RARE), 1 - RARE)
+        others = total - count
+        most = max(round(rows * share), rows - others)
+        some = labelled.where(F.col("toxic") == toxic)
+        found.append(some.orderBy(F.xxhash64(name), name).limit(most))
+    if not found:
+        return labelled
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, rows: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int,
+    key: str = "doc_id",
+    text: str = "text",
+    longest: int = LONGEST,
 ) -> pd.DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents, chosen by the hash of their key.
+    """(text, toxic) of at most ``rows`` labelled documents, by the hash of their key per label.
 
     Each different text comes once; texts with both labels count as toxic. Texts
-    of over LONGEST bytes are left out of the sample (all texts are scored).
+    of over ``longest`` bytes are left out of the sample (all texts are scored).
     """
-    chosen = (
+    known = (
         labels.select(F.col(key).alias("key"), F.col("toxic").cast("int").alias("toxic"))
         .where("key IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("key")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(rows)
     )
+    chosen = _per_label(stored(known), "key", rows)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # at most `rows` keys and labels are broadcast
-    found = texts.where(F.octet_length("text") <= LONGEST).join(F.broadcast(chosen), "key")
+    found = texts.where(F.octet_length("text") <= longest).join(F.broadcast(chosen), "key")
     found = found.groupBy("text").agg(F.max("toxic").alias("toxic"))
     # keys that many rows share could bring more texts than keys
-    return found.orderBy(F.xxhash64("text"), "text").limit(rows).toPandas()
+    sample = _per_label(stored(found), "text", rows)
+    return sample.orderBy(F.xxhash64("text"), "text").toPandas()
 
 
 def one_each(found: list[dict[str, float]], toxic: np.ndarray) -> list[tuple[int, int]]:
@@ -125,8 +152,10 @@ def fit(
 ) -> Model:
     """Fit weights and thresholds on a bounded sample (columns text and toxic), on the driver.
 
-    Words in fewer than ten texts, or a smaller share than ``least``, are left
-    out, so that single documents aren't learnt by heart. Gradient steps with
+    Words are left out that are in fewer than ten texts of each label, or a smaller
+    share than ``least`` of them, so that single documents aren't learnt by heart; of
+    a label with few texts a quarter of them, three at least, is enough. A rarer label
+    weighs as if it had a tenth of the texts. Gradient steps with
     momentum and scaling (Adam); the thresholds are kept in order by fitting
     their differences' logarithms.
     Without texts of both kinds there is nothing to fit.
@@ -138,10 +167,16 @@ def fit(
     families = one_each(found, toxic)
     found = [found[i] for i, _ in families]
     toxic = np.array([label for _, label in families])
-    least = max(10, int(least * len(found)))
-    grades = grade(found, toxic, least)
-    counts = Counter(w for words in found for w in words)
-    vocabulary = sorted(w for w, n in counts.items() if n >= least)
+    counts, totals = [Counter(), Counter()], [int((toxic == k).sum()) for k in (0, 1)]
+    if not min(totals):
+        return Model({}, ())
+    for words, k in zip(found, toxic.tolist(), strict=True):
+        counts[k].update(words.keys())
+    floors = [max(int(least * n), min(10, max(3, n // 4))) for n in totals]
+    grades = grade(found, toxic, floors[1])
+    vocabulary = sorted({w for k in (0, 1) for w, n in counts[k].items() if n >= floors[k]})
+    shares = np.array(totals) / len(found)
+    weight = (np.clip(shares, RARE, 1 - RARE) / shares)[toxic][:, None]
     number = {w: i for i, w in enumerate(vocabulary)}
     row, column, value = array("l"), array("l"), array("d")
     for i, words in enumerate(found):
@@ -153,7 +188,8 @@ def fit(
     n, m = len(found), len(vocabulary)
     del found, counts, number
     reached = grades[:, None] >= np.arange(1, GRADES + 1)
-    start = np.log((1 - reached.mean(axis=0) + 1e-3) / (reached.mean(axis=0) + 1e-3))
+    share = (weight * reached).mean(axis=0)
+    start = np.log((1 - share + 1e-3) / (share + 1e-3))
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
     parameters = np.concatenate((np.zeros(m), start[:1], gaps))
     mean, square = np.zeros_like(parameters), np.zeros_like(parameters)
@@ -163,7 +199,7 @@ def fit(
         thresholds = np.cumsum(np.concatenate((parameters[m : m + 1], gaps)))
         score = np.bincount(row, weights[column] * value, minlength=n)
         # the likelihood of all "at least j" answers, which share the weights
-        error = (1 / (1 + np.exp(thresholds - score[:, None])) - reached) / n
+        error = weight * (1 / (1 + np.exp(thresholds - score[:, None])) - reached) / n
         slope = np.bincount(column, error.sum(axis=1)[row] * value, minlength=m) + decay * weights
         by_threshold = -error.sum(axis=0)
         tail = np.cumsum(by_threshold[::-1])[::-1]
@@ -195,16 +231,17 @@ def toxicity(
     sample: int = SAMPLE,
     key: str = "doc_id",
     text: str = "text",
+    longest: int = LONGEST,
 ) -> DataFrame:
     """(key, severity, rejected) of every row; rejected from a severity of ``reject_from``.
 
-    The model is fitted on at most ``sample`` labelled texts; every row is
-    scored where it is read. Null and empty texts have no features and the
+    The model is fitted on at most ``sample`` labelled texts of at most
+    ``longest`` bytes; every row is scored where it is read. Null and empty texts have no features and the
     severity of the thresholds alone. Without labels of both kinds every severity is
     0. Null keys, repeated rows and other columns make no difference; an empty
     table gives an empty one.
     """
-    model = fit(labelled_sample(docs, labels, sample, key, text))
+    model = fit(labelled_sample(docs, labels, sample, key, text, longest))
     scored = docs.select(F.col(key).alias("key"), severity(model, F.col(text)).alias("severity"))
     return scored.select(
         F.col("key").alias(key), "severity", (F.col("severity") >= reject_from).alias("rejected")
@@ -212,8 +249,12 @@ def toxicity(
 
 
 def keep_clean(
-    docs: DataFrame, labels: DataFrame, reject_from: float = 0.5, sample: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    reject_from: float = 0.5,
+    sample: int = SAMPLE,
+    longest: int = LONGEST,
 ) -> DataFrame:
     """The rows of ``docs`` (all columns) that ``toxicity`` does not reject."""
-    model = fit(labelled_sample(docs, labels, sample))
+    model = fit(labelled_sample(docs, labels, sample, longest=longest))
     return docs.where(severity(model, F.col("text")) < reject_from)

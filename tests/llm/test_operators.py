@@ -394,6 +394,27 @@ def test_toxicity_on_held_out_texts(spark, docs, awkward):
     assert kept.count() == sum(not r["rejected"] for r in got if (r["doc_id"] or -1) >= 0 or r["doc_id"] == 0)
 
 
+def test_toxicity_of_a_rare_label(spark, docs):
+    """Of 4000 labelled texts eight are toxic; most of those held out are found, and few others."""
+    rng = random.Random(12)
+    bad = [f"bad{i}" for i in range(3)]
+    rows = [(i, prose(rng, rng.randrange(40, 120))) for i in range(4200)]
+    toxic = {*range(0, 4000, 500), *range(4000, 4200, 10)}
+    rows = [
+        (i, " ".join([t, *rng.choices(bad, k=8)])) if i in toxic else (i, t) for i, t in rows
+    ]
+    labels = [(i, 1, int(i in toxic)) for i in range(4000)]
+    shown = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for sample in (4000, 500):
+        got = toxicity.toxicity(docs(rows), shown, sample=sample).collect()
+        rejected = {r["doc_id"] for r in got if r["rejected"]}
+        assert len({i for i in toxic if i >= 4000} & rejected) >= 12
+        assert len(rejected - toxic) <= 20
+    long = spark.createDataFrame(shown.collect()[:500], shown.schema)
+    none = toxicity.toxicity(docs(rows), long, longest=10).collect()
+    assert not any(r["rejected"] for r in none)
+
+
 def test_toxicity_without_labels(spark, docs, awkward):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(docs(awkward), none).collect()
