@@ -7,9 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlake.llm.alignment import alignment
 from fleetlake.llm.bpe_automaton import bpe_digests
+from fleetlake.llm.collocations import collocations
 from fleetlake.llm.embeddings import near_vectors
 from fleetlake.llm.fingerprints import edit_likeness
+from fleetlake.llm.language_id import language_id
 from fleetlake.llm.packing import pack
 from fleetlake.llm.secret_scans import BASE, MORE, secrets
 from fleetlake.llm.sharding import shards
@@ -101,6 +104,25 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two and three words of each language."""
+    return collocations(documents(spark, sf_dir), most=2000, least=10, share=50)
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned by bytes, with the counts of linked pairs."""
+    paths = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment(documents(spark, sf_dir), *paths)
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, by a network of those that are not held out."""
+    return language_id(documents(spark, sf_dir))
+
+
 def _secrets_sql() -> str:
     """Each rule's matches and what is between them give places; all texts, whole."""
     finds = " UNION ALL ".join(
@@ -164,3 +186,50 @@ SELECT doc_id, text_md5, copy, n_bytes, depth, prefix, shard_bytes, shard_rows
 FROM p JOIN nodes USING (depth, prefix)
 QUALIFY row_number() OVER (PARTITION BY doc_id, text_md5, copy ORDER BY depth) = 1
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+pieces AS (
+    SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists WHERE len(w) > 0),
+phrases AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM starts, (SELECT unnest([1, 2, 3]) AS size)
+    WHERE i + size - 1 <= len(w)
+    GROUP BY ALL
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang),
+cuts AS (
+    SELECT lang, phrase, size, f AS a, unnest(range(1, size)) AS k,
+        string_split(phrase, ' ') AS w
+    FROM phrases WHERE size > 1 AND f >= 10
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r,
+        ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c
+    JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')
+),
+candidates AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a
+    FROM (SELECT DISTINCT lang, w, a FROM cuts WHERE size = 3)
+),
+longest AS (SELECT lang, phrase, max(a) AS longer FROM inside GROUP BY lang, phrase),
+ranked AS (
+    SELECT c.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM candidates c LEFT JOIN longest USING (lang, phrase)
+    WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
