@@ -3,19 +3,20 @@
 Both vocabularies cut a text into bytes' ranges. Where ranges of both end, a
 group ends; tokens of both whose ranges overlap are linked. No token goes on
 across a space that follows another character than white space, so texts are
-cut there and what a piece becomes is remembered.
+cut there and different pieces are aligned once in a chunk of rows.
 
-A first pass over the documents gives the pairs of ids of each chunk of rows,
-with the number of documents. They are dealt to slices by the first id; the pairs
+A first pass over the documents encodes them and gives the pairs of ids of each chunk of
+rows, with the number of documents. They are dealt to slices by the first id; the pairs
 of a slice have a minimal perfect hash, under which the chunks' counts are dense
-vectors that are summed as a tree. A second pass aligns the documents again
-and looks the counts up. Chunks ask slices for the counts of their pairs only, so
+vectors that are summed as a tree. A second pass aligns the documents again,
+from the ids that the first one stored, and looks the counts up. Chunks ask slices for the counts of their pairs only, so
 nothing is broadcast, however many pairs there are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,95 +34,199 @@ from tokenizers import Tokenizer
 
 from fleetlake.llm.perfect_hash import CountTable, PerfectHash
 from fleetlake.llm.tables import partitions, stored
-from fleetlake.llm.words import Memo, byte_characters, rows_in_pieces
+from fleetlake.llm.words import BYTE_WORDS, Agreement, byte_characters, rows_in_pieces
 
 CHUNK = 8 << 20  # bytes of text whose pairs are looked up together
+KEPT = 500_000  # pieces of texts that a worker remembers
 SLICES = 1024
 BRANCHES = 16  # parts of a slice that are summed on their own first
 _cut = regex.compile(r"(?<=\S)(?= )").split
 
 
-@dataclass(frozen=True)
-class Aligned:
-    """What a piece of text becomes; None in place of it if tokens don't give back its bytes."""
+class _Numbers(dict):
+    """Pieces numbered as they come."""
 
-    n_first: int
-    n_second: int
-    groups: tuple[str, ...]
-    pairs: np.ndarray  # first id << 32 | second id, a row per linked occurrence
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
 
 
-def align(
-    first: list[tuple[int, int]], second: list[tuple[int, int]]
-) -> tuple[tuple[str, ...], list[tuple[int, int]]]:
-    """Groups as text and linked pairs, of (id, bytes) lists over the same bytes."""
-    groups, pairs, i, j = [], [], 0, 0
-    while i < len(first):
-        a, b = i, j
-        end_first, end_second = first[i][1], second[j][1]
-        pairs.append((first[i][0], second[j][0]))
-        while end_first != end_second:
-            # the token that ends earlier gives way to the next one, which meets the other
-            if end_first < end_second:
-                i += 1
-                end_first += first[i][1]
-            else:
-                j += 1
-                end_second += second[j][1]
-            pairs.append((first[i][0], second[j][0]))
-        i, j = i + 1, j + 1
-        groups.append(
-            ",".join(str(x) for x, _ in first[a:i]) + "|" + ",".join(str(x) for x, _ in second[b:j])
+@dataclass
+class Tokens:
+    """Both kinds of ids of pieces of texts, one piece after another.
+
+    A piece has tokens of both kinds, or none if they don't give back its bytes.
+    """
+
+    first: np.ndarray
+    n_first: np.ndarray
+    second: np.ndarray
+    n_second: np.ndarray
+
+    @classmethod
+    def of(cls, pairs: list[tuple[list[int], list[int]]]) -> Tokens:
+        return cls(
+            np.array([i for a, _ in pairs for i in a], np.int64),
+            np.array([len(a) for a, _ in pairs], np.int64),
+            np.array([i for _, b in pairs for i in b], np.int64),
+            np.array([len(b) for _, b in pairs], np.int64),
         )
-    return tuple(groups), pairs
+
+    def then(self, other: Tokens) -> Tokens:
+        return Tokens(*(np.concatenate(x) for x in zip(self.arrays(), other.arrays(), strict=True)))
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.first, self.n_first, self.second, self.n_second
+
+    def take(self, at: np.ndarray) -> Tokens:
+        found = []
+        for ids, n in ((self.first, self.n_first), (self.second, self.n_second)):
+            found += [ids[ragged((np.cumsum(n) - n)[at], n[at])], n[at]]
+        return Tokens(*found)
+
+
+@dataclass
+class Pieces:
+    """What pieces of texts become, a row each."""
+
+    numbers: np.ndarray  # tokens of both kinds, groups, linked pairs
+    starts: np.ndarray  # of the linked pairs' places, and their end
+    pairs: np.ndarray  # first id << 32 | second id, one for each linked occurrence
+    groups: list[str]  # if asked for
+
+
+def align(
+    tokens: Tokens, first_sizes: np.ndarray, second_sizes: np.ndarray, with_groups: bool = False
+) -> Pieces:
+    """Groups and links of all pieces at once, by the places of their bytes in a row."""
+    sizes_a, sizes_b = first_sizes[tokens.first], second_sizes[tokens.second]
+    ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    low = np.searchsorted(ends_b, ends_a - sizes_a, side="right")
+    high = np.searchsorted(ends_b - sizes_b, ends_a, side="left")
+    met = high - low
+    pairs = np.repeat(tokens.first, met) << 32 | tokens.second[ragged(low, met)]
+    upto_a, upto_b = np.cumsum(tokens.n_first), np.cumsum(tokens.n_second)
+    end = np.concatenate([[0], ends_a])[upto_a]
+    upto = np.searchsorted(both, end, side="right")
+    starts = np.concatenate([[0], np.cumsum(met)])[np.concatenate([[0], upto_a])]
+    numbers = np.diff(np.stack((upto_a, upto_b, upto, starts[1:]), axis=1), axis=0, prepend=0)
+    groups: list[str] = []
+    if with_groups:
+        # ids as text, group by group, each followed by its sign
+        side = np.concatenate((np.zeros(len(ends_a), np.int64), np.ones(len(ends_b), np.int64)))
+        part = 2 * np.searchsorted(both, np.concatenate((ends_a, ends_b))) + side
+        order = np.argsort(part, kind="stable")
+        last = np.append(np.diff(part[order]) != 0, True)[: len(part)]
+        sign = np.where(last, np.where(side[order] == 0, "|", ";"), ",").tolist()
+        ids = map(str, np.concatenate((tokens.first, tokens.second))[order].tolist())
+        signed = [i + s for i, s in zip(ids, sign, strict=True)]
+        cuts = [0, *(upto_a + upto_b).tolist()]
+        groups = ["".join(signed[a:b])[:-1] for a, b in zip(cuts, cuts[1:], strict=False)]
+    return Pieces(numbers, starts, pairs.astype(np.uint64), groups)
 
 
 class Aligner:
-    """Texts to the numbers of their pieces, and to what each piece becomes."""
+    """The two vocabularies, and pieces of texts aligned by both."""
 
     def __init__(self, first_path: str, second_path: str):
-        self.first = Tokenizer.from_file(first_path)
-        self.first.encode_special_tokens = True  # their strings are plain text
+        self.library = Tokenizer.from_file(first_path)
+        self.library.encode_special_tokens = True  # their strings are plain text
         byte_of = {c: b for b, c in enumerate(byte_characters())}
-        self.first_bytes = {
-            i: bytes(byte_of[c] for c in t) for t, i in self.first.get_vocab(False).items()
-        }
+        words = {bytes(byte_of[c] for c in t): i for t, i in self._words(first_path)}
+        self.encoding = tiktoken.Encoding(
+            "own", pat_str=BYTE_WORDS, mergeable_ranks=words, special_tokens={}
+        )
+        self.agree = Agreement(lambda t: self.encoding.encode_ordinary(t), self._by_library)
+        self.first_bytes = {i: w for w, i in words.items()}
         self.second = sentencepiece.SentencePieceProcessor(model_file=second_path)
-        size = self.second.get_piece_size()
-        names = [self.second.id_to_piece(i) for i in range(size)]
+        names = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.second_bytes = [
             bytes([int(n[3:5], 16)]) if self.second.is_byte(i) else n.replace("▁", " ").encode()
             for i, n in enumerate(names)
         ]
         self.space = self.second.piece_to_id("▁")
-        self.memo = Memo(self._make, limit=200_000)
-
-    def _make(self, piece: str) -> Aligned | None:
-        """Of a piece that begins with the space that both vocabularies see before a text."""
-        first = self.first.encode(piece, add_special_tokens=False).ids
-        # the second library puts that space there by itself, but before an empty text
+        self.first_sizes = np.zeros(max(self.first_bytes) + 1, np.int64)
+        for i, w in self.first_bytes.items():
+            self.first_sizes[i] = len(w)
+        self.second_sizes = np.array([len(w) for w in self.second_bytes])
+        self.known: dict[str, int] = {}
+        self.kept = Tokens.of([])
+
+    @staticmethod
+    def _words(path: str) -> list[tuple[str, int]]:
+        """The vocabulary without its special strings; ids must follow the order of merges."""
+        with open(path, encoding="utf-8") as file:
+            found = json.load(file)
+        special = {t["content"] for t in found["added_tokens"]}
+        vocabulary = found["model"]["vocab"]
+        for number, (left, right) in enumerate(found["model"]["merges"]):
+            if vocabulary[left + right] != 256 + number:
+                raise ValueError(f"ids of {path} aren't in the order of its merges")
+        return [(t, i) for t, i in vocabulary.items() if t not in special]
+
+    def _by_library(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _one(self, piece: str) -> tuple[list[int], list[int]]:
+        """Tokens of a piece on its own, by the libraries; none if they don't give back its bytes."""
+        first = self._by_library(piece)
+        # the second library puts a space before a text by itself, but not before an empty one
         second = self.second.encode(piece[1:]) if len(piece) > 1 else [self.space]
-        data = piece.encode()
-        a = [self.first_bytes.get(i, b"") for i in first]
-        b = [self.second_bytes[i] for i in second]
-        if b"".join(a) != data or b"".join(b) != data:
-            return None
-        groups, pairs = align(
-            [(i, len(x)) for i, x in zip(first, a, strict=True)],
-            [(i, len(x)) for i, x in zip(second, b, strict=True)],
-        )
-        keys = np.array([x << 32 | y for x, y in pairs], np.uint64)
-        return Aligned(len(first), len(second), (";".join(groups), len(groups)), keys)
-
-    def pieces(self, text: str) -> list[str] | None:
-        """A text with a space before it, cut; None of a text without tokens."""
-        if not text:
-            return None
-        cut = text.split(" ")
-        for word in cut:
-            if not word or word[-1].isspace():  # white space in a row stays in one piece
-                return _cut(f" {text}")
-        return [f" {word}" for word in cut]
+        a = b"".join([self.first_bytes.get(i, b"") for i in first])
+        b = b"".join([self.second_bytes[i] for i in second])
+        return (first, second) if a == b == piece.encode() else ([], [])
+
+    def _together(self, pieces: list[str]) -> Tokens:
+        """Pieces that begin with a space and end with a letter or sign, as one long text.
+
+        No token of either kind crosses from one piece to the next, so the text's
+        tokens are theirs.
+        """
+        if not pieces:
+            return Tokens.of([])
+        text = "".join(pieces)
+        data = text.encode()
+        first, second = self.encoding.encode_ordinary(text), self.second.encode(text[1:])
+        if not (
+            b"".join(map(self.first_bytes.__getitem__, first)) == data
+            and b"".join(map(self.second_bytes.__getitem__, second)) == data
+        ):
+            return Tokens.of([self._one(p) for p in pieces])  # one of them is not given back
+        first, second = np.array(first, np.int64), np.array(second, np.int64)
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])
+        upto_a = np.searchsorted(np.cumsum(self.first_sizes[first]), ends) + 1
+        upto_b = np.searchsorted(np.cumsum(self.second_sizes[second]), ends) + 1
+        return Tokens(first, np.diff(upto_a, prepend=0), second, np.diff(upto_b, prepend=0))
+
+    def tokens(self, pieces: list[str]) -> Tokens:
+        """Of different pieces, in their order; those of earlier chunks are known.
+
+        At most KEPT pieces are kept, and the given ones: beyond it, earlier ones are forgotten.
+        """
+        if len(self.known) > KEPT:
+            self.known, self.kept = {}, Tokens.of([])
+        new = [p for p in pieces if p not in self.known]
+        plain = [not p[-1].isspace() and "▁" not in p and self.agree(p) for p in new]
+        some = [p for p, x in zip(new, plain, strict=True) if x]
+        rest = [p for p, x in zip(new, plain, strict=True) if not x]
+        for piece in (*some, *rest):
+            self.known[piece] = len(self.known)
+        self.kept = self.kept.then(self._together(some)).then(Tokens.of([self._one(p) for p in rest]))
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return self.kept.take(at)
+
+    def align(self, tokens: Tokens, with_groups: bool = False) -> Pieces:
+        return align(tokens, self.first_sizes, self.second_sizes, with_groups)
+
+
+def pieces_of(text: str) -> list[str]:
+    """A text with a space before it, cut before spaces that follow no white space."""
+    cut = text.split(" ")
+    for word in cut[:-1]:
+        if not word or word[-1].isspace():  # white space in a row stays in one piece
+            return _cut(f" {text}")
+    return [f" {word}" for word in cut] if cut[-1] else _cut(f" {text}")
 
 
 @lru_cache(maxsize=2)
@@ -128,80 +234,53 @@ def _aligner(first_path: str, second_path: str) -> Aligner:
     return Aligner(first_path, second_path)
 
 
-class Chunk:
-    """Aligned documents: their pieces' numbers, and the chunk's different pieces and pairs."""
-
-    def __init__(self, aligner: Aligner, slices: int):
-        self.aligner, self.slices = aligner, slices
-        self.number: dict[str, int] = {}
-        self.found: list[Aligned | None] = []
-        self.bad: list[int] = []
-        self.rows: list[np.ndarray | None] = []
-        self.bytes = 0
-
-    def add(self, text: str | None) -> None:
-        """A row without tokens is None."""
-        self.bytes += len(text or "")
-        pieces = self.aligner.pieces(text) if text else None
-        if pieces is None:
-            self.rows.append(None)
-            return
-        number, memo = self.number, self.aligner.memo
-        for piece in set(pieces) - number.keys():
-            aligned = memo[piece]
-            if aligned is None:
-                self.bad.append(len(self.found))
-            number[piece] = len(self.found)
-            self.found.append(aligned)
-        ids = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
-        self.rows.append(None if self.bad and np.isin(ids, self.bad).any() else ids)
-
-    def finish(self) -> None:
-        """Lay the pieces' pairs side by side, and number the different ones by slice and pair."""
-        none = np.zeros(0, np.uint64)
-        lists = [none if x is None else x.pairs for x in self.found]
-        self.sizes = np.array([len(x) for x in lists], np.int64)
-        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
-        laid = np.concatenate([none, *lists])
-        keys, place = np.unique(laid, return_inverse=True)
-        slice_ = slice_of(keys, self.slices)
-        order = np.argsort(slice_, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.keys, self.slice, self.laid = keys[order], slice_[order], rank[place]
-
-    def documents_per_pair(self) -> np.ndarray:
-        counts = np.zeros(len(self.keys), np.int64)
-        for ids in self.rows:
-            if ids is not None:
-                some = np.unique(ids)
-                counts[np.unique(self.laid[ragged(self.starts[some], self.sizes[some])])] += 1
-        return counts
-
-    def parts(self) -> Iterator[tuple[int, int, int]]:
-        """(slice, first place, end) of the pairs of each slice."""
-        first = np.flatnonzero(np.concatenate(([True], self.slice[1:] != self.slice[:-1])))
-        if len(self.keys):
-            ends = [*first[1:].tolist(), len(self.keys)]
-            yield from zip(self.slice[first].tolist(), first.tolist(), ends, strict=True)
-
-    def rows_with(self, counts: np.ndarray, best: np.ndarray) -> Iterator[tuple]:
-        """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups' digest) of each row."""
-        of_links = np.stack((counts[self.laid], best[self.laid].astype(np.int64)))
-        total = np.concatenate((np.zeros((2, 1), np.int64), np.cumsum(of_links, axis=1)), axis=1)
-        sums = total[:, self.starts[1:]] - total[:, self.starts[:-1]]
-        numbers = np.array(
-            [(0, 0, 0) if x is None else (x.n_first, x.n_second, x.groups[1]) for x in self.found],
-            np.int64,
-        ).reshape(-1, 3)
-        whole = np.concatenate((numbers, self.sizes[:, None], sums[::-1].T), axis=1)
-        for ids in self.rows:
-            if ids is None:
-                yield (0, 0, 0, 0, 0, 0, "")
-            else:
-                text = ";".join([self.found[i].groups[0] for i in ids.tolist()])
-                digest = hashlib.sha256(text.encode()).hexdigest()
-                yield (*whole[ids].sum(axis=0).tolist(), digest)
+def aligned_pairs(found: Pieces, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs by slice, their slices, and the place there of each linked occurrence."""
+    keys, place = np.unique(found.pairs, return_inverse=True)
+    slice_ = slice_of(keys, slices)
+    order = np.argsort(slice_, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return keys[order], slice_[order], rank[place]
+
+
+def documents_per_pair(found: Pieces, laid: np.ndarray, n: int, rows: list) -> np.ndarray:
+    """How many rows (pieces' numbers, None for no tokens) hold each of n pairs linked."""
+    counts = np.zeros(n, np.int64)
+    sizes, some_fail = np.diff(found.starts), not found.numbers[:, 0].all()
+    for ids in rows:
+        if ids is None or some_fail and not found.numbers[ids, 0].all():
+            continue
+        some = np.unique(ids)
+        counts[np.unique(laid[ragged(found.starts[some], sizes[some])])] += 1
+    return counts
+
+
+def digest_rows(
+    found: Pieces, laid: np.ndarray, counts: np.ndarray, best: np.ndarray, rows: list
+) -> Iterator[tuple]:
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups' digest) of each row."""
+    of_links = np.stack((best[laid].astype(np.int64), counts[laid]))
+    total = np.concatenate((np.zeros((2, 1), np.int64), np.cumsum(of_links, axis=1)), axis=1)
+    sums = total[:, found.starts[1:]] - total[:, found.starts[:-1]]
+    whole = np.concatenate((found.numbers, sums.T), axis=1)
+    some_fail = not found.numbers[:, 0].all()
+    for ids in rows:
+        if ids is None or some_fail and not found.numbers[ids, 0].all():
+            yield (0, 0, 0, 0, 0, 0, "")
+        else:
+            text = ";".join([found.groups[i] for i in ids.tolist()])
+            yield (*whole[ids].sum(axis=0).tolist(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest one needs, and how many before them."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -216,63 +295,72 @@ def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) % np.uint64(slices)).astype(np.int64)
 
 
-def _first_pass(rows: DataFrame, make: Callable[[], Aligner], chunk_bytes: int, slices: int) -> DataFrame:
-    """Rows with the number of their chunk, and for each chunk and slice its pairs and counts."""
-    kind = rows.schema["key"].dataType
+_DATA = ("d1", "d2", "d3", "d4")
+_ANSWER, _TOKENS, _ROW, _PAIRS = range(4)  # kinds of rows of the passes' tables
+
+
+def _batch(chunk: int, kind: int, places: list[int], keys: pa.Array, data: list) -> pa.RecordBatch:
+    n = len(places)
+    empty = [pa.nulls(n, pa.binary())] * (len(_DATA) - len(data))
+    columns = [
+        pa.array([chunk] * n, pa.int64()),
+        pa.array([kind] * n, pa.int32()),
+        pa.array(places, pa.int32()),
+        keys,
+        *(pa.array(d, pa.binary()) for d in data),
+        *empty,
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "place", "key", *_DATA])
+
+
+def _schema(key: str) -> str:
+    return f"chunk long, kind int, place int, key {key}, d1 binary, d2 binary, d3 binary, d4 binary"
+
+
+def _first_pass(
+    rows: DataFrame, make: Callable[[], Aligner], chunk_bytes: int, slices: int
+) -> DataFrame:
+    """Three kinds of rows for each chunk: its texts as numbers of pieces, the pieces' tokens, and
+    by slice its pairs with the number of texts that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, number = make(), TaskContext.get().partitionId() << 32
-        chunk = Chunk(aligner, slices)
-        type_ = None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            chunk.finish()
-            counts = chunk.documents_per_pair()
-            parts = list(chunk.parts())
-            if not parts:
+        aligner, chunk = make(), TaskContext.get().partitionId() << 32
+        number, texts, size = _Numbers(), [], 0
+
+        def flush(kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+            tokens = aligner.tokens(list(number))
+            whole = [[packed(x)] for x in tokens.arrays()]
+            yield _batch(chunk, _TOKENS, [0], pa.nulls(1, kind), whole)
+            found = aligner.align(tokens)
+            pairs, slice_, laid = aligned_pairs(found, slices)
+            counts = documents_per_pair(found, laid, len(pairs), texts)
+            if not len(pairs):
                 return
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number] * len(parts), pa.int64()),
-                    pa.nulls(len(parts), pa.int32()),
-                    pa.nulls(len(parts), type_),
-                    pa.nulls(len(parts), pa.string()),
-                    pa.array([s for s, _, _ in parts], pa.int32()),
-                    pa.array([chunk.keys[a:b].tobytes() for _, a, b in parts], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for _, a, b in parts], pa.binary()),
-                ],
-                names,
-            )
+            cuts = np.flatnonzero(np.diff(slice_, prepend=-1)).tolist()
+            ranges = list(zip(cuts, [*cuts[1:], len(pairs)], strict=True))
+            parts = [[x[a:b].tobytes() for a, b in ranges] for x in (pairs, counts)]
+            yield _batch(chunk, _PAIRS, slice_[cuts].tolist(), pa.nulls(len(cuts), kind), parts)
 
-        names = ["chunk", "row", "key", "text", "slice", "keys", "counts"]
         for batch in rows_in_pieces(batches):
-            type_ = batch.column("key").type
+            first = len(texts)
             for text in batch.column("text").to_pylist():
-                chunk.add(text)
-            n, done = batch.num_rows, len(chunk.rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number] * n, pa.int64()),
-                    pa.array(range(done - n, done), pa.int32()),
-                    batch.column("key"),
-                    batch.column("text"),
-                    pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.binary()),
-                    pa.nulls(n, pa.binary()),
-                ],
-                names,
-            )
-            if chunk.bytes >= chunk_bytes:
-                yield from flush()
-                chunk, number = Chunk(aligner, slices), number + 1
-        if chunk.rows:
-            yield from flush()
-
-    schema = (
-        f"chunk long, row int, key {kind.simpleString()}, text string, "
-        "slice int, keys binary, counts binary"
-    )
-    return rows.mapInArrow(run, schema)
+                size += len(text or "")
+                pieces = pieces_of(text) if text else None
+                texts.append(
+                    None
+                    if pieces is None
+                    else np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+                )
+            new = [None if t is None else packed(t) for t in texts[first:]]
+            places = list(range(first, len(texts)))
+            yield _batch(chunk, _ROW, places, batch.column("key"), [new])
+            if size >= chunk_bytes:
+                yield from flush(batch.column("key").type)
+                chunk, number, texts, size = chunk + 1, _Numbers(), [], 0
+        if texts:
+            yield from flush(batch.column("key").type)
+
+    return rows.mapInArrow(run, _schema(rows.schema["key"].dataType.simpleString()))
 
 
 def _arrays(data: bytes, kind=np.uint64) -> np.ndarray:
@@ -372,7 +460,7 @@ def _tables(branches: DataFrame) -> DataFrame:
 
 
 def _answers(parts: DataFrame, tables: DataFrame, branches: int) -> DataFrame:
-    """(chunk, slice, counts, best) of every chunk's pairs, in their order.
+    """(chunk, place, d1, d2): slices, counts and marks of every chunk's pairs, in their order.
 
     A slice's table is given to each of its branches, and meets the chunks there.
     """
@@ -415,7 +503,7 @@ def _answers(parts: DataFrame, tables: DataFrame, branches: int) -> DataFrame:
                 kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
-                    ["chunk", "slice", "counts", "best"],
+                    ["chunk", "place", "d1", "d2"],
                 )
 
     dealt = (
@@ -423,7 +511,7 @@ def _answers(parts: DataFrame, tables: DataFrame, branches: int) -> DataFrame:
         .repartition(partitions(parts.sparkSession), "slice", "branch")
         .sortWithinPartitions("slice", "branch", F.col("chunk").asc_nulls_first())
     )
-    return dealt.mapInArrow(run, "chunk long, slice int, counts binary, best binary")
+    return dealt.mapInArrow(run, "chunk long, place int, d1 binary, d2 binary")
 
 
 _DIGEST = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -454,80 +542,61 @@ def alignment(
         return _aligner(first_path, second_path)
 
     first = stored(_first_pass(rows, make, chunk_bytes, slices))
-    parts = first.where("slice IS NOT NULL").select("chunk", "slice", "keys", "counts")
-    merged = stored(_branches(parts, branches))
-    tables = stored(_tables(merged))
+    named = [F.col("place").alias("slice"), F.col("d1").alias("keys"), F.col("d2").alias("counts")]
+    parts = first.where(F.col("kind") == _PAIRS).select("chunk", *named)
+    tables = stored(_tables(stored(_branches(parts, branches))))
     answers = _answers(parts.drop("counts"), tables, branches)
+    kind = rows.schema["key"].dataType.simpleString()
     none = F.lit(None)
-    kind = rows.schema["key"].dataType
-    met = answers.select(
+    answers = answers.select(
         "chunk",
-        none.cast("int").alias("row"),
+        F.lit(_ANSWER).alias("kind"),
+        "place",
         none.cast(kind).alias("key"),
-        none.cast("string").alias("text"),
-        "slice",
-        "counts",
-        "best",
-    ).unionByName(
-        first.where("slice IS NULL").select(
-            "chunk",
-            "row",
-            "key",
-            "text",
-            none.cast("int").alias("slice"),
-            none.cast("binary").alias("counts"),
-            none.cast("binary").alias("best"),
-        )
+        "d1",
+        "d2",
+        *(none.cast("binary").alias(d) for d in _DATA[2:]),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, now = make(), None
-        counts, best, chunk, keys = [], [], None, []
+        counts, best, tokens, keys, texts = [], [], None, [], []
 
         def emit() -> Iterator[pa.RecordBatch]:
-            chunk.finish()
-            none = np.zeros(0, np.int64)
-            found = chunk.rows_with(
-                np.concatenate([none, *counts]), np.concatenate([none.astype(np.uint8), *best])
-            )
-            *numbers, digests = zip(*found, strict=True)
+            found = aligner.align(tokens, with_groups=True)
+            laid = aligned_pairs(found, slices)[2]
+            whole = np.concatenate([np.zeros(0, np.int64), *counts])
+            marks = np.concatenate([np.zeros(0, np.uint8), *best])
+            *numbers, digests = zip(*digest_rows(found, laid, whole, marks, texts), strict=True)
             names = ["key", *_DIGEST, "groups_sha256"]
             columns = [pa.concat_arrays(keys), *(pa.array(n, pa.int64()) for n in numbers)]
-            whole = pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.string())], names)
-            yield from rows_in_pieces([whole], 10_000)
+            made = pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.string())], names)
+            yield from rows_in_pieces([made], 10_000)
 
         for batch in rows_in_pieces(batches):
-            ids = batch.column("chunk").to_numpy()
-            ends = np.flatnonzero(np.diff(ids)) + 1
-            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(ids)], strict=True):
-                part = batch.slice(a, b - a)
-                if now != ids[a]:
-                    if keys:
+            # a chunk's counts by slice, then its pieces, then its texts
+            columns = (batch.column(c).to_pylist() for c in ("chunk", "kind", *_DATA))
+            for i, (chunk, kind_, d1, d2, d3, d4) in enumerate(zip(*columns, strict=True)):
+                if chunk != now:
+                    if texts:
                         yield from emit()
-                    now, chunk = ids[a], Chunk(aligner, slices)
-                    counts, best, keys = [], [], []
-                is_row = part.column("slice").is_null()
-                of_counts = part.filter(pc.invert(is_row))
-                for data, marks in zip(
-                    of_counts.column("counts").to_pylist(),
-                    of_counts.column("best").to_pylist(),
-                    strict=True,
-                ):
-                    counts.append(_arrays(data, np.int64))
-                    best.append(_arrays(marks, np.uint8))
-                of_rows = part.filter(is_row)
-                if of_rows.num_rows:
-                    keys.append(of_rows.column("key"))
-                    for value in of_rows.column("text").to_pylist():
-                        chunk.add(value)
-        if keys:
+                    now, counts, best, tokens, keys, texts = chunk, [], [], None, [], []
+                if kind_ == _ANSWER:
+                    counts.append(_arrays(d1, np.int64))
+                    best.append(_arrays(d2, np.uint8))
+                elif kind_ == _TOKENS:
+                    tokens = Tokens(*map(unpacked, (d1, d2, d3, d4)))
+                else:
+                    keys.append(batch.column("key").slice(i, 1))
+                    texts.append(None if d1 is None else unpacked(d1))
+        if texts:
             yield from emit()
 
-    schema = f"key {kind.simpleString()}, {', '.join(f'{c} long' for c in _DIGEST)}, groups_sha256 string"
+    schema = f"key {kind}, {', '.join(f'{c} long' for c in _DIGEST)}, groups_sha256 string"
     return (
-        met.repartition(partitions(docs.sparkSession), "chunk")
-        # a chunk's counts by slice, then its rows in their order
-        .sortWithinPartitions("chunk", F.col("slice").asc_nulls_last(), "row")
+        answers.unionByName(first.where(F.col("kind") != _PAIRS))
+        .repartition(partitions(docs.sparkSession), "chunk")
+        .sortWithinPartitions("chunk", "kind", "place")
         .mapInArrow(run, schema)
         .withColumnRenamed("key", key)
     )

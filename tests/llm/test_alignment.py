@@ -121,9 +121,24 @@ def test_null_and_repeated_keys_and_no_rows(spark, docs):
 
 
 def test_groups_and_links_of_overlapping_tokens():
-    groups, pairs = A.align([(1, 2), (2, 3), (3, 1)], [(7, 1), (8, 3), (9, 1), (5, 1)])
-    assert groups == ("1,2|7,8,9", "3|5")
-    assert pairs == [(1, 7), (1, 8), (2, 8), (2, 9), (3, 5)]
+    """Three pieces, of which the second has no tokens."""
+    first, second = np.zeros(10, np.int64), np.zeros(10, np.int64)
+    first[[1, 2, 3]] = 2, 3, 1
+    second[[7, 8, 9, 5]] = 1, 3, 1, 1
+    tokens = A.Tokens.of([([1, 2, 3], [7, 8, 9, 5]), ([], []), ([3], [5])])
+    found = A.align(tokens, first, second, with_groups=True)
+    assert found.groups == ["1,2|7,8,9;3|5", "", "3|5"]
+    pairs = [(int(p) >> 32, int(p) & 0xFFFF) for p in found.pairs]
+    assert pairs == [(1, 7), (1, 8), (2, 8), (2, 9), (3, 5), (3, 5)]
+    assert found.numbers.tolist() == [[3, 4, 2, 5], [0, 0, 0, 0], [1, 1, 1, 1]]
+    assert found.starts.tolist() == [0, 5, 5, 6]
+    again = tokens.take(np.array([2, 0]))
+    assert A.align(again, first, second, True).groups == ["3|5", "1,2|7,8,9;3|5"]
+
+
+def test_numbers_are_packed_whole():
+    for numbers in ([], [0], [255, 3], [65536, 1], [1 << 40]):
+        assert A.unpacked(A.packed(np.array(numbers, np.int64))).tolist() == numbers
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
