@@ -389,6 +389,8 @@ def _with_ranges(docs: DataFrame, key: str, text: str, window: int, gram: int) -
     with it their ranges, which are found once. A name that many rows share is
     broadcast, so that no task holds all of its rows.
     """
+    if window % 8 or not 0 < gram < window:
+        raise ValueError(f"window {window} must be a multiple of 8 and longer than gram {gram}")
     rows = docs.select(
         F.struct("*").alias("row"),
         F.xxhash64(key, text).alias("u1"),
@@ -421,7 +423,7 @@ def suffix_dedup(
     count, and all are judged on the input. A null text counts as empty. Equal
     rows and rows of one key are rows of their own. An empty table gives an
     empty one; other columns are not looked at. ``window`` is a multiple of 8
-    and longer than ``gram``.
+    and longer than ``gram``; others are refused.
     """
     joined = _with_ranges(docs.select(key, text), key, text, window, gram)
     slim = joined.select(F.col(f"row.{key}").alias("key"), "text", "ranges.low", "ranges.high")
@@ -447,16 +449,22 @@ def suffix_dedup(
     return slim.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
+def long_enough(text: bytes, runs: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """The ranges with ``words`` words or more, parts of words at their ends included."""
+    return [(a, b) for a, b in runs if not words or len(text[a:b].split()) >= words]
+
+
 def keep_unique(
     docs: DataFrame,
     window: int = WINDOW,
     gram: int = GRAM,
     key: str = "doc_id",
     text: str = "text",
+    words: int = 0,
 ) -> DataFrame:
     """The rows of ``docs`` with repeated strings removed from their texts; see ``suffix_dedup``.
 
-    Where a range cuts a character in two, what is left of it goes too. Rows
+    Of the repeated runs, those of fewer than ``words`` words stay. Where a range cuts a character in two, what is left of it goes too. Rows
     whose text is nothing but repeats stay, with an empty text; nulls stay null.
     """
 
@@ -466,7 +474,9 @@ def keep_unique(
             [
                 None
                 if t is None
-                else without(t, merged(list(low), list(high))).decode(errors="ignore")
+                else without(t, long_enough(t, merged(list(low), list(high)), words)).decode(
+                    errors="ignore"
+                )
                 for t, low, high in zip(texts, lows, highs, strict=True)
             ],
             dtype="object",

@@ -2,7 +2,9 @@
 
 P(grade >= j) = sigmoid(w.x - theta_j), with one weight vector for all grades
 and rising thresholds. The severity of a text is its expected grade, the sum of
-these probabilities.
+these probabilities. Features are the words and word beginnings that a text has,
+however often, so that a mark weighs as much in a long text as in a short one. The severity from
+which texts are rejected is read from labelled texts that a model has not seen.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp, log1p
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -25,6 +27,9 @@ from fleetlake.llm.tables import stored
 GRADES = 3  # above 0, the grade of a text that is not toxic
 SAMPLE = 4000  # labelled texts that a model is fitted on, at most
 LONGEST = 1 << 15  # bytes of a text of that sample, so that it fits into the driver's memory
+CLEAN = 0.97  # share of unseen clean texts that are left alone
+STEM = 5  # characters of a word's beginning
+SIGNIFICANT = 3.0  # standard errors that a word's log odds of the two labels must differ by
 RARE = 0.1  # the share that a rarer label has in the sample and in the fit, at least
 _WORD = re.compile(r"\w+")
 
@@ -39,19 +44,16 @@ class Model:
     def severity(self, text: str | None) -> float:
         if not self.thresholds:
             return 0.0
-        found = Counter(_WORD.findall((text or "").lower()))
-        share, weights = 100 / max(1, found.total()), self.weights
-        # in the order of the words, so that equal bags of words give equal sums
-        known = sorted(weights.keys() & found.keys())
-        score = sum([weights[w] * log1p(found[w] * share) for w in known])
+        # in the order of the words, so that equal sets of words give equal sums
+        known = sorted(self.weights.keys() & features(text or ""))
+        score = sum([self.weights[w] for w in known])
         return sum([1 / (1 + exp(t - score)) for t in self.thresholds])
 
 
-def features(text: str) -> dict[str, float]:
-    """For each word of a text, the logarithm of one plus its share in percent."""
-    found = _WORD.findall(text.lower())
-    share = 100 / len(found) if found else 0
-    return {w: log1p(n * share) for w, n in Counter(found).items()}
+def features(text: str) -> set[str]:
+    """The different words of a text, and the first characters of its longer words, marked."""
+    words = set(_WORD.findall(text.lower()))
+    return words | {f"{w[:STEM]}~" for w in words if len(w) > STEM}
 
 
 def _per_label(labelled: DataFrame, name: str, rows: int) -> DataFrame:
@@ -102,7 +104,7 @@ def labelled_sample(
     return sample.orderBy(F.xxhash64("text"), "text").toPandas()
 
 
-def one_each(found: list[dict[str, float]], toxic: np.ndarray) -> list[tuple[int, int]]:
+def one_each(found: list[set[str]], toxic: np.ndarray) -> list[tuple[int, int]]:
     """(place, label) of one text of each family of near copies, with most of its labels.
 
     Families would teach their own words. Each text has 16 least hashes of its
@@ -124,41 +126,76 @@ def one_each(found: list[dict[str, float]], toxic: np.ndarray) -> list[tuple[int
     return [(i, int(2 * sum(given) >= len(given))) for i, given in labels.items()]
 
 
-def grade(found: list[dict[str, float]], toxic: np.ndarray, least: int) -> np.ndarray:
+def grade(found: list[set[str]], toxic: np.ndarray, telling: dict[str, float]) -> np.ndarray:
     """Grades of labelled texts: 0 without the label, else by thirds of what tells them apart.
 
-    A word tells toxic texts apart if it is in ``least`` of them and its odds
-    among them are e**2 times the others'. Labelled texts are ranked by the sum
-    of such words' features; those with none have the lowest grade.
+    Labelled texts are ranked by how many telling words of toxic texts (those with a
+    positive difference in log odds) they have; those with none have the lowest grade.
     """
-    counts = [Counter(), Counter()]
-    for words, is_toxic in zip(found, toxic.tolist(), strict=True):
-        counts[is_toxic].update(words.keys())
-    totals = [max(1, int((toxic == k).sum())) for k in (0, 1)]
-    telling = {
-        w
-        for w, n in counts[1].items()
-        if n >= least
-        and np.log((n + 0.5) / totals[1]) - np.log((counts[0][w] + 0.5) / totals[0]) >= 2
-    }
-    amount = np.array([sum(x for w, x in words.items() if w in telling) for words in found])
+    marks = {w for w, difference in telling.items() if difference > 0}
+    amount = np.array([len(words & marks) for words in found])
     some = amount[(toxic == 1) & (amount > 0)]
     cuts = np.quantile(some, np.arange(1, GRADES) / GRADES) if len(some) else np.zeros(GRADES - 1)
     return np.where(toxic == 1, 1 + (amount[:, None] > cuts).sum(axis=1), 0)
 
 
+def tell_apart(
+    found: list[set[str]], toxic: np.ndarray, least: float, significant: float
+) -> dict[str, float]:
+    """Words that tell the labels apart, with the difference of their log odds.
+
+    They are in at least ten texts of one label and a share ``least`` of them (of a label
+    with few texts a quarter, three at least, is enough), so that
+    single documents aren't learnt by heart, and differ by ``significant`` standard errors.
+    """
+    counts, totals = [Counter(), Counter()], [int((toxic == k).sum()) for k in (0, 1)]
+    for words, k in zip(found, toxic.tolist(), strict=True):
+        counts[k].update(words)
+    floors = [max(int(least * n), min(10, max(3, n // 4))) for n in totals]
+    words = sorted({w for k in (0, 1) for w, n in counts[k].items() if n >= floors[k]})
+    have = np.array([[counts[k][w] for w in words] for k in (0, 1)]).reshape(2, -1) + 0.5
+    lack = np.array(totals)[:, None] + 1 - have
+    difference = np.diff(np.log(have / lack), axis=0)[0]
+    errors = np.sqrt((1 / have + 1 / lack).sum(axis=0))
+    return {
+        w: d
+        for w, d, e in zip(words, difference.tolist(), errors.tolist(), strict=True)
+        if abs(d) >= significant * e
+    }
+
+
+def loss_and_slopes(
+    score: np.ndarray, thresholds: np.ndarray, grades: np.ndarray, weight: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Negative log likelihood of ordered grades, and its derivatives by scores and thresholds.
+
+    P(grade = j) is sigmoid(theta_(j+1) - score) - sigmoid(theta_j - score), where the lowest
+    grade has no lower and the highest no upper threshold.
+    """
+    bounds = np.concatenate(([-np.inf], thresholds, [np.inf]))
+    with np.errstate(over="ignore"):
+        below, above = (1 / (1 + np.exp(score - bounds[grades + k])) for k in (0, 1))
+    chance = np.maximum(above - below, 1e-12)
+    at_below, at_above = below * (1 - below), above * (1 - above)
+    by_score = weight * (at_above - at_below) / chance
+    by_bound = np.bincount(grades, weight * at_below / chance, minlength=len(bounds))
+    by_bound += np.bincount(grades + 1, -weight * at_above / chance, minlength=len(bounds))
+    return float(-(weight * np.log(chance)).sum()), by_score, by_bound[1:-1]
+
+
 def fit(
-    sample: pd.DataFrame, least: float = 0.01, steps: int = 300, decay: float = 3e-3
+    sample: pd.DataFrame,
+    least: float = 0.01,
+    steps: int = 300,
+    decay: float = 1e-3,
+    significant: float = SIGNIFICANT,
 ) -> Model:
     """Fit weights and thresholds on a bounded sample (columns text and toxic), on the driver.
 
-    Words are left out that are in fewer than ten texts of each label, or a smaller
-    share than ``least`` of them, so that single documents aren't learnt by heart; of
-    a label with few texts a quarter of them, three at least, is enough. A rarer label
-    weighs as if it had a tenth of the texts. Gradient steps with
+    Words are those that tell the labels apart. A rarer label weighs as if it had a
+    tenth of the texts. The likelihood of the ordered grades is raised by gradient steps with
     momentum and scaling (Adam); the thresholds are kept in order by fitting
-    their differences' logarithms.
-    Without texts of both kinds there is nothing to fit.
+    their differences' logarithms. Without texts of both kinds there is nothing to fit.
     """
     toxic = sample["toxic"].to_numpy(int) if len(sample) else np.zeros(0, int)
     if not (toxic == 1).any() or not (toxic == 0).any():
@@ -167,43 +204,36 @@ def fit(
     families = one_each(found, toxic)
     found = [found[i] for i, _ in families]
     toxic = np.array([label for _, label in families])
-    counts, totals = [Counter(), Counter()], [int((toxic == k).sum()) for k in (0, 1)]
+    totals = [int((toxic == k).sum()) for k in (0, 1)]
     if not min(totals):
         return Model({}, ())
-    for words, k in zip(found, toxic.tolist(), strict=True):
-        counts[k].update(words.keys())
-    floors = [max(int(least * n), min(10, max(3, n // 4))) for n in totals]
-    grades = grade(found, toxic, floors[1])
-    vocabulary = sorted({w for k in (0, 1) for w, n in counts[k].items() if n >= floors[k]})
+    telling = tell_apart(found, toxic, least, significant)
+    grades = grade(found, toxic, telling)
+    vocabulary = sorted(telling)
     shares = np.array(totals) / len(found)
-    weight = (np.clip(shares, RARE, 1 - RARE) / shares)[toxic][:, None]
+    weight = (np.clip(shares, RARE, 1 - RARE) / shares)[toxic]
+    weight /= weight.sum()
     number = {w: i for i, w in enumerate(vocabulary)}
-    row, column, value = array("l"), array("l"), array("d")
+    row, column = array("l"), array("l")
     for i, words in enumerate(found):
-        for w in sorted(words.keys() & number.keys()):
+        for w in sorted(words & number.keys()):
             row.append(i)
             column.append(number[w])
-            value.append(words[w])
-    row, column, value = (np.array(x) for x in (row, column, value))
+    row, column = np.array(row, np.int64), np.array(column, np.int64)
     n, m = len(found), len(vocabulary)
-    del found, counts, number
-    reached = grades[:, None] >= np.arange(1, GRADES + 1)
-    share = (weight * reached).mean(axis=0)
+    share = (weight[:, None] * (grades[:, None] >= np.arange(1, GRADES + 1))).sum(axis=0)
     start = np.log((1 - share + 1e-3) / (share + 1e-3))
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
     parameters = np.concatenate((np.zeros(m), start[:1], gaps))
     mean, square = np.zeros_like(parameters), np.zeros_like(parameters)
     for step in range(1, steps + 1):
-        weights = parameters[:m]
-        gaps = np.exp(parameters[m + 1 :])
+        weights, gaps = parameters[:m], np.exp(parameters[m + 1 :])
         thresholds = np.cumsum(np.concatenate((parameters[m : m + 1], gaps)))
-        score = np.bincount(row, weights[column] * value, minlength=n)
-        # the likelihood of all "at least j" answers, which share the weights
-        error = weight * (1 / (1 + np.exp(thresholds - score[:, None])) - reached) / n
-        slope = np.bincount(column, error.sum(axis=1)[row] * value, minlength=m) + decay * weights
-        by_threshold = -error.sum(axis=0)
+        score = np.bincount(row, weights[column], minlength=n)
+        _, by_score, by_threshold = loss_and_slopes(score, thresholds, grades, weight)
+        slope = np.bincount(column, by_score[row], minlength=m) + decay * weights
         tail = np.cumsum(by_threshold[::-1])[::-1]
-        gradient = np.concatenate((slope, tail[:1], tail[1:] * np.exp(parameters[m + 1 :])))
+        gradient = np.concatenate((slope, tail[:1], tail[1:] * gaps))
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         rate = 0.1 * min(1, 3 * (1 - step / (steps + 1)))
@@ -213,6 +243,34 @@ def fit(
     return Model(weights, tuple(map(float, thresholds)))
 
 
+def cut_off(sample: pd.DataFrame, clean: float = CLEAN) -> float:
+    """The severity that parts the labels of unseen texts best, and leaves ``clean`` of the clean alone.
+
+    Each half of the sample, by the hash of the text, is scored by a model of the other
+    half. Of the severities that leave enough clean texts alone, the one with the highest sum of
+    shares (toxic texts from it on, clean ones below) is taken, in the middle between
+    it and the next lower one. Without texts of both labels in both halves, it is half a grade.
+    """
+    if not len(sample):
+        return 0.5
+    half = np.array([xxh3_64_intdigest(t) & 1 for t in sample["text"]])
+    toxic, scores = sample["toxic"].to_numpy() == 1, np.zeros(len(sample))
+    for k in (0, 1):
+        model = fit(sample[half != k])
+        if not model.thresholds:
+            return 0.5
+        scores[half == k] = [model.severity(t) for t in sample["text"][half == k]]
+    levels = np.unique(scores)
+    caught = 1 - np.searchsorted(np.sort(scores[toxic]), levels) / toxic.sum()
+    alone = np.searchsorted(np.sort(scores[~toxic]), levels) / (~toxic).sum()
+    enough = np.flatnonzero((alone >= clean) & (caught > 0))
+    if not len(enough) or enough[0] == 0:
+        return 0.5
+    # of equal sums the highest level
+    best = enough[::-1][(caught + alone)[enough[::-1]].argmax()]
+    return float((levels[best] + levels[best - 1]) / 2)
+
+
 def severity(model: Model, text: Column) -> Column:
     """The expected grade of a text; of null as of an empty text."""
 
@@ -227,7 +285,7 @@ def severity(model: Model, text: Column) -> Column:
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
-    reject_from: float = 0.5,
+    reject_from: float | None = None,
     sample: int = SAMPLE,
     key: str = "doc_id",
     text: str = "text",
@@ -235,13 +293,16 @@ def toxicity(
 ) -> DataFrame:
     """(key, severity, rejected) of every row; rejected from a severity of ``reject_from``.
 
+    If that is not given, it is read from labelled texts by ``cut_off``.
     The model is fitted on at most ``sample`` labelled texts of at most
     ``longest`` bytes; every row is scored where it is read. Null and empty texts have no features and the
     severity of the thresholds alone. Without labels of both kinds every severity is
     0. Null keys, repeated rows and other columns make no difference; an empty
     table gives an empty one.
     """
-    model = fit(labelled_sample(docs, labels, sample, key, text, longest))
+    labelled = labelled_sample(docs, labels, sample, key, text, longest)
+    model = fit(labelled)
+    reject_from = cut_off(labelled) if reject_from is None else reject_from
     scored = docs.select(F.col(key).alias("key"), severity(model, F.col(text)).alias("severity"))
     return scored.select(
         F.col("key").alias(key), "severity", (F.col("severity") >= reject_from).alias("rejected")
@@ -251,10 +312,16 @@ def toxicity(
 def keep_clean(
     docs: DataFrame,
     labels: DataFrame,
-    reject_from: float = 0.5,
+    reject_from: float | None = None,
     sample: int = SAMPLE,
     longest: int = LONGEST,
 ) -> DataFrame:
-    """The rows of ``docs`` (all columns) that ``toxicity`` does not reject."""
-    model = fit(labelled_sample(docs, labels, sample, longest=longest))
+    """The rows of ``docs`` (all columns) that ``toxicity`` does not reject.
+
+    Null and empty texts have no marks and stay; equal rows stay or go together. Without
+    labels of both kinds all rows stay; an empty table gives an empty one.
+    """
+    labelled = labelled_sample(docs, labels, sample, longest=longest)
+    model = fit(labelled)
+    reject_from = cut_off(labelled) if reject_from is None else reject_from
     return docs.where(severity(model, F.col("text")) < reject_from)

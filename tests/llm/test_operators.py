@@ -356,6 +356,20 @@ def test_secret_scans_run_no_python(docs):
     assert not any(n in plan for n in ("EvalPython", "InPandas", "MapInArrow", "CartesianProduct"))
 
 
+def test_only_long_passages_go_and_bad_windows_are_refused(spark, docs):
+    rng = random.Random(31)
+    long, short = prose(rng, 60, 9000), " ".join(f"{w}longer" for w in prose(rng, 30, 9000).split())
+    rows = [(i, f"{prose(rng, 30)} {long if i % 2 else short} {prose(rng, 30)}") for i in range(4)]
+    kept = suffix_dedup.keep_unique(docs(rows), window=240, gram=88, words=50).collect()
+    for row in kept:
+        text = dict(rows)[row["doc_id"]]
+        assert (long in row["text"], short in row["text"]) == (False, short in text)
+        assert row["doc_id"] % 2 or row["text"] == text
+    for window, gram in ((401, 150), (400, 400), (400, 0)):
+        with pytest.raises(ValueError):
+            suffix_dedup.suffix_dedup(docs(rows), window=window, gram=gram)
+
+
 # --- 4: toxicity ---
 
 
@@ -424,6 +438,43 @@ def test_toxicity_without_labels(spark, docs, awkward):
     assert toxicity.toxicity(docs([]), odd).collect() == []
 
 
+def test_slopes_of_the_ordered_likelihood_equal_differences():
+    rng = np.random.default_rng(13)
+    score, thresholds = rng.normal(0, 2, 30), np.array([-0.5, 0.7, 2.0])
+    grades, weight = rng.integers(0, 4, 30), rng.random(30)
+
+    def loss(score, thresholds):
+        total = 0.0
+        for x, g, w in zip(score, grades, weight, strict=True):
+            reach = [1, *(1 / (1 + np.exp(t - x)) for t in thresholds), 0]
+            total -= w * np.log(reach[g] - reach[g + 1])
+        return total
+
+    value, by_score, by_threshold = toxicity.loss_and_slopes(score, thresholds, grades, weight)
+    assert abs(value - loss(score, thresholds)) < 1e-9
+    for given, slopes in ((score, by_score), (thresholds, by_threshold)):
+        for i, slope in enumerate(slopes):
+            kept = given[i]
+            sides = []
+            for given[i] in (kept + 1e-6, kept - 1e-6):
+                sides.append(loss(score, thresholds))
+            given[i] = kept
+            assert abs((sides[0] - sides[1]) / 2e-6 - slope) < 1e-6
+
+
+def test_toxicity_on_half_of_the_labels_of_a_driver_table(spark, docs):
+    """Fitted on one half of the texts, measured on the other one."""
+    path = "/root/testdata/sf0.1"
+    tables_ = [spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels")]
+    rows = tables_[0].join(tables_[1], "doc_id").select("text", "toxic").toPandas()
+    half = np.array([xxhash.xxh64_intdigest(t) & 1 for t in rows["text"]])
+    learnt, rest = rows[half == 0].drop_duplicates("text"), rows[half == 1]
+    model, limit = toxicity.fit(learnt), toxicity.cut_off(learnt)
+    rejected = np.array([model.severity(t) >= limit for t in rest["text"]])
+    toxic = rest["toxic"].to_numpy() == 1
+    assert toxic.sum() > 150 and rejected[toxic].mean() >= 0.85 and rejected[~toxic].mean() <= 0.05
+
+
 def test_families_of_near_copies_count_once():
     rng = random.Random(1)
     text = prose(rng, 100)
