@@ -30,9 +30,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 400-byte strings that also start elsewhere."""
+    """Texts without passages of 50 words or more that also are elsewhere.
+
+    Such passages are made up of repeated strings of 240 bytes: 50 words have 245 and more
+    where a word and its space have five.
+    """
     ship(spark)
-    return keep_unique(docs, window=400)
+    return keep_unique(docs, window=240, gram=88, words=50)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
