@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fleetlake import schemas
 from fleetlake.functions import columns as C
+from fleetlake.sources.records import read_records
 
 # Quotes are doubled inside quoted text. An unquoted empty field is null and a
 # quoted one is empty text; the marker below stands for the former while parsing.
@@ -58,6 +59,23 @@ def _header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
     return spark.read.options(**_FORMAT, multiLine=multi_line).csv(path).columns
 
 
+def _parsed(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, **options
+) -> DataFrame:
+    """Rows of files by position; with ``multi_line`` quoted text may hold line breaks."""
+    options = _FORMAT | options
+    if not multi_line:
+        return spark.read.schema(schema).options(**options).csv(path)
+    texts = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
+    declared = ", ".join(
+        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields
+    )
+    parsed = F.from_csv("record", declared, texts)
+    rows = read_records(spark, path).select(parsed.alias("row"))
+    # in a filter, so that each row is parsed as a whole before columns are taken from it
+    return rows.where("row IS NOT NULL").select("row.*")
+
+
 def _schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -66,11 +84,10 @@ def read_text(spark: SparkSession, path: str, *, multi_line: bool = False) -> Da
     """All columns as text, named by the header row; a row with more or fewer fields raises.
 
     Files are split among tasks; only text with line breaks inside quotes needs
-    ``multi_line``, which reads each file in one task.
+    ``multi_line``, which shuffles the lines once to find where rows begin.
     """
     schema = _schema(_header(spark, path, multi_line))
-    reader = spark.read.schema(schema).options(**_FORMAT, multiLine=multi_line, mode="FAILFAST")
-    return reader.csv(path)
+    return _parsed(spark, path, schema, multi_line, mode="FAILFAST")
 
 
 def read_source(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
@@ -81,11 +98,7 @@ def read_source(spark: SparkSession, path: str, *, multi_line: bool = False) ->
     columns = _header(spark, path, multi_line)
     # with one column more than the header, every good row is short, and a long one is not
     schema = _schema([*columns, _BEYOND, _ROW])
-    df = (
-        spark.read.schema(schema)
-        .options(**_FORMAT, multiLine=multi_line, columnNameOfCorruptRecord=_ROW)
-        .csv(path)
-    )
+    df = _parsed(spark, path, schema, multi_line, columnNameOfCorruptRecord=_ROW)
     long = F.col(_BEYOND).isNotNull() | F.col(_ROW).isNull()
     error = F.raise_error(F.lit(f"a row of {path} has more fields than its header"))
     sound = df.where(F.when(long, error.cast("boolean")).otherwise(F.lit(True)))
@@ -110,11 +123,7 @@ def read_raw(
             for f in T.StructType.fromDDL(declared)
         ]
     )
-    df = (
-        spark.read.schema(as_text)
-        .options(**_FORMAT, multiLine=multi_line, mode="FAILFAST")
-        .csv(path)
-    )
+    df = _parsed(spark, path, as_text, multi_line, mode="FAILFAST")
     # in a filter, so that checks stay whatever columns are taken
     checks = [C.strict(F.col(c), k).isNotNull() | F.col(c).isNull() for c, k in decimals.items()]
     for name, length in schemas.max_lengths(table).items():
