@@ -363,7 +363,16 @@ QUERIES = {
           cast(actual_return_date as varchar) as actual_return_date) from t_rentals""",
     "load_raw_all": _raw_lines(),
     "load_raw_counts": _counts("t_"),
+    "load_raw_missing": f"""
+        with t as (select table_name, table_name in ('tariffs', 'payments') as is_named,
+            case when table_name in ('tariffs', 'payments') then 0 else row_count end as row_count
+          from ({_counts("t_")}) where table_name <> 'total')
+        select table_name, row_count, is_named from t union all
+        select 'total', cast(sum(row_count) as bigint), false from t""",
     "load_silver_text": "select * from t_car_condition_dirty",
+    "load_line_breaks": """
+        select * replace (concat(coalesce(notes, ''), chr(10), '"', condition_id, '",', chr(10))
+            as notes) from t_car_condition_dirty""",
     "silver_bool_parse": f"""
         select condition_id, word, {_word('word', 'null')} as or_null, {_word('word', 'false')} as or_false
         from t_flags""",
@@ -386,6 +395,11 @@ QUERIES = {
     "surrogate_key_nulls": """
         select cast(row_number() over (order by id nulls last) as bigint) as number, id
         from (select case when o_orderkey % 10 <> 0 then o_orderkey // 3 end as id from orders)""",
+    "stable_keys": """
+        select cast(row_number() over (order by first_load, customer_id) as bigint) as client_key,
+          customer_id, city, first_load
+        from (select customer_id, city, case when customer_id % 10 < 5 then 1
+            when customer_id % 10 < 8 then 2 else 3 end as first_load from t_customers)""",
     "insert_if_absent": """
         with loaded as (select customer_id, city, loyalty_level from t_customers
             where loyalty_level <> 'Bronze'),

@@ -15,7 +15,7 @@ from fleetlake.operators.joins import BROADCAST_ROWS
 from fleetlake.plans import gold, rating, reports
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
-from fleetlake.sources.layers import Layer, scratch_dir, side_by_side
+from fleetlake.sources.layers import Layer, scratch_dir, side_by_side, write_table
 
 
 def clean(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,33 @@ def load_silver_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_text(spark, path)
 
 
+def load_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row has line breaks and quotes in its last column."""
+    path = csv.table_path(scratch_dir(spark), "car_condition")
+    rows = model.dirty(spark, sf_dir, "car_condition")
+    notes = F.concat(F.coalesce("notes", F.lit("")), F.lit('\n"'), "condition_id", F.lit('",\n'))
+    csv.write_csv(rows.withColumn("notes", notes), path)
+    return csv.read_text(spark, path, multi_line=True)
+
+
+def load_raw_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each raw table where two files are absent, and whether the strict load names it."""
+    source, lake = _raw_files(spark, sf_dir, dirty=False), scratch_dir(spark)
+    for table in ("tariffs", "payments"):
+        csv.remove(spark, csv.table_path(source, table))
+    try:
+        jobs.load_raw(spark, source, lake)
+        message = ""
+    except FileNotFoundError as error:
+        message = str(error)
+    jobs.load_raw(spark, source, lake, on_missing="empty")
+    counted = quality.row_count_report(Layer(spark, lake, "raw").tables(schemas.TABLES))
+    named = F.array_contains(
+        F.split(F.substring_index(F.lit(message), ": ", -1), ", "), F.col("table_name")
+    )
+    return counted.withColumn("is_named", named)
+
+
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files through every job to the month report."""
     lake = scratch_dir(spark)
@@ -162,6 +189,25 @@ def surrogate_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.surrogate_key(ids, "id", "number")
 
 
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client keys after three loads: some customers, then others and fewer of those, then all.
+
+    ``first_load`` is the load that a customer came with.
+    """
+    customers = model.view(spark, sf_dir, "customers").select("customer_id", "city")
+    remainder = F.col("customer_id") % 10
+    loads = [customers.where(remainder < 5), customers.where(remainder.between(3, 7)), customers]
+    known = None
+    for load in loads:
+        path = f"{scratch_dir(spark)}/keys"
+        write_table(keys.key_registry(known, load, "customer_id", "client_key"), path)
+        known = spark.read.parquet(path)
+    first = F.when(remainder < 5, 1).when(remainder < 8, 2).otherwise(3)
+    return keys.with_key(customers, known, "customer_id", "client_key").withColumn(
+        "first_load", first
+    )
+
+
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base holds customers above Bronze; a batch brings every customer twice."""
     customers = model.view(spark, sf_dir, "customers").select(
@@ -296,7 +342,9 @@ QUERIES = {
     "load_raw": load_raw,
     "load_raw_all": load_raw_all,
     "load_raw_counts": load_raw_counts,
+    "load_raw_missing": load_raw_missing,
     "load_silver_text": load_silver_text,
+    "load_line_breaks": load_line_breaks,
     "silver_types": partial(silver_types, "rentals"),
     **{f"silver_{t}": partial(silver_types, t) for t in schemas.TABLES if t != "rentals"},
     "silver_bool_parse": silver_bool_parse,
@@ -314,6 +362,7 @@ QUERIES = {
     "dim_tariff": partial(dimension, gold.dim_tariff, "tariffs"),
     "surrogate_key": surrogate_key,
     "surrogate_key_nulls": surrogate_key_nulls,
+    "stable_keys": stable_keys,
     "insert_if_absent": insert_if_absent,
     "payment_rollup": payment_rollup,
     "fact_dim_lookup": fact_dim_lookup,

@@ -19,6 +19,9 @@ def main() -> None:
     parser.add_argument(
         "--multi-line", action="store_true", help="quoted text may hold line breaks"
     )
+    parser.add_argument(
+        "--stable-keys", action="store_true", help="build-gold keeps the keys of the version before"
+    )
     parser.add_argument(
         "--on-missing",
         choices=["error", "empty"],
@@ -49,7 +52,7 @@ def main() -> None:
         "load-silver": lambda: jobs.load_silver(
             spark, args.lake, processed_csv=args.source, on_missing=args.on_missing, **multi
         ),
-        "build-gold": lambda: jobs.build_gold(spark, args.lake),
+        "build-gold": lambda: jobs.build_gold(spark, args.lake, stable_keys=args.stable_keys),
         "report": lambda: jobs.store_reports(spark, args.lake),
     }[args.job]()
     for table, count in rows.items():

@@ -3,7 +3,7 @@
     python -m fleetlake load-raw    --source DIR --lake DIR [--on-missing empty]
     python -m fleetlake clean       --source DIR --lake DIR [--csv DIR] [--as-of DATE] [--run-ts TIME]
     python -m fleetlake load-silver --lake DIR [--source DIR] [--on-missing empty]
-    python -m fleetlake build-gold  --lake DIR
+    python -m fleetlake build-gold  --lake DIR [--stable-keys]
     python -m fleetlake report      --lake DIR
 
 ``load-raw`` lands the source files as they are. ``clean`` and the steps after
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake import schemas
+from fleetlake.operators.keys import key_registry, with_key
 from fleetlake.operators.quality import integrity_report, key_profile
 from fleetlake.plans import gold, reports
 from fleetlake.plans.clean import CLEANERS, READ_AGAIN
@@ -130,20 +131,50 @@ def _gold_check(tables) -> DataFrame:
     return integrity_report(tables, schemas.GOLD_PRIMARY_KEYS, schemas.GOLD_FOREIGN_KEYS)
 
 
-def refresh_gold(silver, layer: Layer) -> dict[str, int]:
-    """Write the dimensions, then the fact from the stored dimensions, and publish."""
+def _registry(layer: Layer, name: str, silver):
+    """A stage's table: the key registry of a dimension, from the published version's one."""
+    _, source, id_column, key = gold.KEYED[name]
+    stored = gold.registry_name(name)
+    version = layer.version()
+    schemas_ = layer.schemas(version) if version else {}
+    known = layer.table(stored, version) if stored in schemas_ else None
+    if known is None and name in schemas_:  # published without a registry so far
+        known = layer.table(name, version).select(id_column, key)
+        known = known.where(F.col(id_column).isNotNull())
+    return lambda _stored: key_registry(known, silver[source], id_column, key)
+
+
+def refresh_gold(silver, layer: Layer, *, stable_keys: bool = False) -> dict[str, int]:
+    """Write the dimensions, then the fact from the stored dimensions, and publish.
+
+    With ``stable_keys``, each dimension's key registry is a table of the layer: ids
+    keep the keys of the published version, and new ones are numbered above them.
+    """
     dims = {name: lambda _stored, b=b: b(silver) for name, b in gold.DIMENSIONS.items()}
+    first = []
+    if stable_keys:
+        registries = {gold.registry_name(n): _registry(layer, n, silver) for n in gold.KEYED}
+        first.append(registries)
+        for name, (build, source, _, _) in gold.KEYED.items():
+
+            def keyed(stored, name=name, build=build, source=source):
+                registry = stored[gold.registry_name(name)]
+                return build(
+                    silver[source], lambda df, id_column, key: with_key(df, registry, id_column, key)
+                )
+
+            dims[name] = keyed
 
     def fact(stored):
         rows = gold.fact_rentals(silver["rentals"], silver["payments"], stored)
         return rows.withColumn("rental_month", F.trunc("rental_date", "MM"))
 
-    return layer.refresh([dims, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
+    return layer.refresh([*first, dims, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
 
 
-def build_gold(spark: SparkSession, lake: str) -> dict[str, int]:
+def build_gold(spark: SparkSession, lake: str, *, stable_keys: bool = False) -> dict[str, int]:
     silver = Layer(spark, lake, "silver").tables(schemas.TABLES)
-    return refresh_gold(silver, Layer(spark, lake, "gold"))
+    return refresh_gold(silver, Layer(spark, lake, "gold"), stable_keys=stable_keys)
 
 
 def run_reports(spark: SparkSession, lake: str) -> dict[str, DataFrame]:

@@ -72,6 +72,29 @@ def surrogate_key(
     )
 
 
+def key_registry(known: DataFrame | None, ids: DataFrame, id_column: str, key: str) -> DataFrame:
+    """(id, key): the keys that ids have for good; known ones as they are, new ones above them.
+
+    New ids are numbered on from the highest known key, in their order. Ids that
+    are no longer there keep their keys, for when they come back. Null ids have none. ``known``
+    is the registry so far (None at first), with unique ids; it should be stored, as it is read twice.
+    """
+    found = ids.select(id_column).where(F.col(id_column).isNotNull()).distinct()
+    if known is None:
+        return surrogate_key(found, id_column, key).select(id_column, key)
+    new = found.join(known.select(id_column), id_column, "left_anti")
+    highest = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("_highest"))
+    numbered = surrogate_key(new, id_column, key).crossJoin(F.broadcast(highest))  # of one row
+    return known.select(id_column, key).unionByName(
+        numbered.select(id_column, (F.col("_highest") + F.col(key)).alias(key))
+    )
+
+
+def with_key(df: DataFrame, registry: DataFrame, id_column: str, key: str) -> DataFrame:
+    """Rows with the key that the registry has for their id, which comes first; null for a null id."""
+    return df.join(registry, id_column, "left").select(key, *df.columns)
+
+
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Append the new rows whose key is not there yet; existing rows stay as they are.
 

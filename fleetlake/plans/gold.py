@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,9 @@ from fleetlake.functions import columns as C
 from fleetlake.operators.joins import BROADCAST_ROWS, lookup_all
 from fleetlake.operators.keys import surrogate_key
 
+# Puts a key of the second name, by the id of the first, before a table's columns.
+Number = Callable[[DataFrame, str, str], DataFrame]
+
 # The days that the calendar covers.
 FIRST_DAY, LAST_DAY = date(2020, 1, 1), date(2030, 12, 31)
 
@@ -33,44 +36,44 @@ def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     )
 
 
-def dim_car(cars: DataFrame) -> DataFrame:
+def dim_car(cars: DataFrame, number: Number = surrogate_key) -> DataFrame:
     kept = cars.select(
         "car_id", "brand", "model", "year", "color", "license_plate", "vin", "status",
         "daily_rental_price", "current_location_id", "purchase_date", "purchase_price",
     )
-    return surrogate_key(kept, "car_id", "car_key")
+    return number(kept, "car_id", "car_key")
 
 
-def dim_client(customers: DataFrame) -> DataFrame:
+def dim_client(customers: DataFrame, number: Number = surrogate_key) -> DataFrame:
     kept = customers.select(
         "customer_id", "first_name", "last_name",
         C.full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
         "email", "phone", "city", "loyalty_level", "date_of_birth", "driving_license",
         "license_issue_date", "license_expiry_date", "registration_date",
     )
-    return surrogate_key(kept, "customer_id", "client_key")
+    return number(kept, "customer_id", "client_key")
 
 
-def dim_employee(employees: DataFrame) -> DataFrame:
+def dim_employee(employees: DataFrame, number: Number = surrogate_key) -> DataFrame:
     kept = employees.select(
         "employee_id",
         C.full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
         "email", "position", "hire_date", "is_active",
     )
-    return surrogate_key(kept, "employee_id", "employee_key")
+    return number(kept, "employee_id", "employee_key")
 
 
-def dim_location(locations: DataFrame) -> DataFrame:
+def dim_location(locations: DataFrame, number: Number = surrogate_key) -> DataFrame:
     kept = locations.select("location_id", "city", "address", "opening_hours", "is_active")
-    return surrogate_key(kept, "location_id", "location_key")
+    return number(kept, "location_id", "location_key")
 
 
-def dim_tariff(tariffs: DataFrame) -> DataFrame:
+def dim_tariff(tariffs: DataFrame, number: Number = surrogate_key) -> DataFrame:
     kept = tariffs.select(
         "tariff_id", "tariff_name", "base_price_per_day", "km_included_per_day",
         "additional_km_price", "min_rental_days", "insurance_type", "cancellation_policy",
     )
-    return surrogate_key(kept, "tariff_id", "tariff_key")
+    return number(kept, "tariff_id", "tariff_key")
 
 
 DIMENSIONS = {
@@ -83,6 +86,20 @@ DIMENSIONS = {
 }
 
 
+# Dimensions whose keys may be kept over refreshes: their source, id and key.
+KEYED = {
+    "dim_car": (dim_car, "cars", "car_id", "car_key"),
+    "dim_client": (dim_client, "customers", "customer_id", "client_key"),
+    "dim_employee": (dim_employee, "employees", "employee_id", "employee_key"),
+    "dim_location": (dim_location, "locations", "location_id", "location_key"),
+    "dim_tariff": (dim_tariff, "tariffs", "tariff_id", "tariff_key"),
+}
+
+
+def registry_name(dimension: str) -> str:
+    return dimension.replace("dim_", "keys_")
+
+
 def build_dims(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: build(silver) for name, build in DIMENSIONS.items()}
 

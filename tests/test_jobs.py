@@ -117,3 +117,32 @@ def test_broken_references_stop_the_silver_layer(spark, source, tmp_path):
         jobs.load_silver(spark, lake)
     assert "duplicate_key" in str(error.value) and "fk_payments_rental" in str(error.value)
     assert Layer(spark, lake, "silver").version() == 0
+
+
+def test_keys_stay_over_refreshes(spark, source, tmp_path):
+    """The first customer goes, a third one with a lower id than the second's comes, all keys stay."""
+    lake, options = str(tmp_path / "lake"), {"run_ts": datetime(2026, 1, 1, 8), "as_of": date(2026, 1, 1)}
+
+    def refresh(customers, stable):
+        (source / "customers.csv").write_text(customers, encoding="utf-8")
+        jobs.clean_all(spark, str(source), lake, **options)
+        jobs.load_silver(spark, lake)
+        jobs.build_gold(spark, lake, stable_keys=stable)
+        gold = Layer(spark, lake, "gold").tables(jobs.GOLD_TABLES)
+        keys = {r["customer_id"]: r["client_key"] for r in gold["dim_client"].collect()}
+        used = {r["rental_id"]: r["client_key"] for r in gold["fact_rentals"].collect()}
+        return keys, used
+
+    text = FILES["customers"].replace("\n2,Bob", "\n5,Bob")
+    (source / "rentals.csv").write_text(FILES["rentals"].replace("\n2,1,2,1", "\n2,1,5,1"), encoding="utf-8")
+    # a version without a registry counts as one
+    assert refresh(text, False) == ({1: 1, 5: 2}, {1: 1, 2: 2})
+    more = text + "3,Cy,C,,1,,,2010-01-01,2030-01-01,a,X,2020-01-01,Gold\n"
+    assert refresh(more, True) == ({1: 1, 5: 2, 3: 3}, {1: 1, 2: 2})
+    (source / "rentals.csv").write_text(
+        FILES["rentals"].replace("\n2,1,2,1", "\n2,1,5,1").replace("\n1,1,1,1", "\n1,1,3,1"), encoding="utf-8"
+    )
+    fewer = "\n".join(line for line in more.split("\n") if not line.startswith("1,"))
+    assert refresh(fewer, True) == ({5: 2, 3: 3}, {1: 3, 2: 2})
+    assert Layer(spark, lake, "gold").table("keys_client").count() == 3
+    assert refresh(more, True)[0] == {1: 1, 5: 2, 3: 3}

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.operators.keys import insert_if_absent, surrogate_key
+from fleetlake.operators.keys import insert_if_absent, key_registry, surrogate_key, with_key
 
 
 def numbered(df, **options):
@@ -57,3 +57,23 @@ def test_insert_if_absent(spark):
     new = spark.createDataFrame([(2, "new"), (3, "b"), (3, "a"), (4, "c")], "id int, x string")
     merged = insert_if_absent(existing, new, "id")
     assert sorted(tuple(r) for r in merged.collect()) == [(1, "old"), (2, "old"), (3, "a"), (4, "c")]
+
+
+def test_registered_keys_stay(spark):
+    def table(ids):
+        return spark.createDataFrame([(i, f"n{i}") for i in ids], "id long, name string")
+
+    first = key_registry(None, table([5, 3, 3, None, 9]), "id", "k").cache()
+    assert {r["id"]: r["k"] for r in first.collect()} == {3: 1, 5: 2, 9: 3}
+    second = key_registry(first, table([4, 9, 1, None]), "id", "k").cache()
+    keys = {r["id"]: r["k"] for r in second.collect()}
+    assert keys == {3: 1, 5: 2, 9: 3, 1: 4, 4: 5}
+    third = key_registry(second, table([3, 2]), "id", "k")
+    assert {r["id"]: r["k"] for r in third.collect()} == keys | {2: 6}
+    got = with_key(table([9, None, 2, 9]), third, "id", "k")
+    assert got.columns == ["k", "id", "name"]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == [
+        "(3, 9, 'n9')", "(3, 9, 'n9')", "(6, 2, 'n2')", "(None, None, 'nNone')",
+    ]
+    empty = key_registry(None, table([]), "id", "k").cache()
+    assert empty.collect() == [] and key_registry(empty, table([7]), "id", "k").first()["k"] == 1
