@@ -152,24 +152,26 @@ def test_packing_of_many_rows(docs):
 
 
 def test_packing_when_most_documents_have_one_length(docs):
-    """No pattern fills a sequence, so all of them go through the stream."""
+    """Every pattern has a gap, which pieces of other documents fill."""
     rows = [(i, " the" * 599) for i in range(300)]
     got = packing.pack(docs(rows), BYTES).collect()
     assert check_packing(rows, got, 1024) == 0
+    cut = Counter(r["doc_id"] for r in got)
+    assert sum(n == 1 for n in cut.values()) > 150
 
 
 def test_columns_reach_the_bound():
     """The linear program against the known best: pairs that fill a sequence."""
     lengths, demand = np.array([300, 400, 624, 724]), np.array([50.0, 70.0, 70.0, 50.0])
-    patterns, use = packing.solve(lengths, demand, 1024, 1e-9, 200)
-    assert abs(use.sum() - 120) < 1e-6
+    patterns, use, floor = packing.solve(lengths, demand, 1024, 1e-9, 0)
+    assert abs(use.sum() - 120) < 0.01 and abs(floor - 120) < 0.01
     assert ((patterns @ use) >= demand - 1e-6).all()
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 32), st.integers(1, 40), max_size=20))
 def test_layout_deals_every_rank_once(counts):
-    layout = packing.lay_out(counts, 32, 0.001, 100)
+    layout = packing.lay_out(counts, 32, 0.001, 0)
     ranks = Counter()
     filled = Counter()
     for length, low, high, each, sequence, offset, place in layout.rows:
@@ -188,12 +190,29 @@ def test_layout_deals_every_rank_once(counts):
     assert all(n == 32 or n & (n - 1) == 0 for n in filled.values())
 
 
+def test_patterns_place_most_tails():
+    """A wide histogram: the program ends near its bound, and over 0.9 of the tails are whole."""
+    rng = random.Random(3)
+    counts = Counter(min(1023, max(1, int(rng.expovariate(1 / 400)))) for _ in range(20000))
+    lengths = np.array(sorted(counts))
+    demand = np.array([counts[n] for n in lengths.tolist()], float)
+    patterns, use, floor = packing.solve(lengths, demand, 1024, 0.0003, 3)
+    assert (lengths @ patterns <= 1024).all()
+    assert np.abs(patterns @ use - demand).max() < 1e-5 * demand.max() + 1e-6
+    assert floor - 1e-9 <= use.sum() <= floor * 1.001
+    layout = packing.lay_out(dict(counts), 1024, 0.0003)
+    placed = sum(r[2] - r[1] for r in layout.rows if r[4] >= 0)
+    assert placed > 0.9 * sum(counts.values())
+    assert layout.stream >= layout.gap_tokens
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 30), st.floats(0.01, 1)), min_size=1, max_size=6))
 def test_pricing_is_exact(items):
     lengths = np.array(sorted({n for n, _ in items}))
     worth = np.array([w for _, w in items][: len(lengths)])
-    value, pattern = packing.best_pattern(lengths, worth, 40)
+    values, last = packing.best_values(lengths, worth, 40)
+    value, pattern = values[40], packing.pattern_of(lengths, last, 40)
     best = [0.0] * 41
     for c in range(1, 41):
         best[c] = max([best[c - 1], *(best[c - n] + w for n, w in zip(lengths, worth, strict=True) if n <= c)])
