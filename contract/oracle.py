@@ -415,6 +415,11 @@ QUERIES = {
     "fact_dim_lookup_large": """
         select rental_id, car_key, client_key, employee_key, tariff_key, pickup_location_key,
           return_location_key from fact_rentals""",
+    "fact_changes": """
+        select *, case when coalesce(bool_or((month(rental_date) % 4 = 1 and rental_id % 5 = 0) or
+              (month(rental_date) % 4 = 2 and rental_id % 7 = 0 and total_cost is not null))
+            over (partition by date_trunc('month', rental_date)), false) then 2 else 1 end as written_by
+        from fact_rentals""",
     "fact_date_keys_outside": """
         with moved as (select rental_id,
             rental_date + cast((rental_id % 3 - 1) * 3653 as int) as rental_date,

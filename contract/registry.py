@@ -278,6 +278,26 @@ def fact_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after two refreshes by change, and the refresh that wrote a row's month.
+
+    At first some rentals of every fourth month are missing, and some of the months
+    after these have another cost.
+    """
+    silver = model.silver_tables(spark, sf_dir)
+    rentals = silver["rentals"]
+    of_four = F.month("rental_date") % 4
+    missing = F.coalesce((of_four == 1) & (F.col("rental_id") % 5 == 0), F.lit(False))
+    other = (of_four == 2) & (F.col("rental_id") % 7 == 0)
+    cost = F.when(other, (F.col("total_cost") + 1).cast("decimal(10,2)")).otherwise(F.col("total_cost"))
+    layer = Layer(spark, scratch_dir(spark), "gold")
+    earlier = rentals.where(~missing).withColumn("total_cost", cost)
+    jobs.refresh_gold_changes(silver | {"rentals": earlier}, layer)
+    jobs.refresh_gold_changes(silver, layer)
+    written = F.regexp_extract("_metadata.file_path", r"part_version=(\d+)/", 1).cast("int")
+    return layer.table("fact_rentals").withColumn("written_by", written).drop("rental_month")
+
+
 def check_gold_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.constraint_summary(
         model.gold(spark, sf_dir), schemas.GOLD_PRIMARY_KEYS, schemas.GOLD_FOREIGN_KEYS
@@ -373,6 +393,7 @@ QUERIES = {
     "fact_payments": fact_payments,
     "fact_duration": fact_duration,
     "fact_rentals": fact_rentals,
+    "fact_changes": fact_changes,
     "check_gold_keys": check_gold_keys,
     "check_gold_keys_broken": check_gold_keys_broken,
     "report_tariffs": partial(report, reports.tariffs, ("dim_tariff",)),

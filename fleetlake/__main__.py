@@ -22,6 +22,11 @@ def main() -> None:
     parser.add_argument(
         "--stable-keys", action="store_true", help="build-gold keeps the keys of the version before"
     )
+    parser.add_argument(
+        "--changes",
+        action="store_true",
+        help="build-gold keeps keys, and writes only the months of the fact that changed",
+    )
     parser.add_argument(
         "--on-missing",
         choices=["error", "empty"],
@@ -52,7 +57,9 @@ def main() -> None:
         "load-silver": lambda: jobs.load_silver(
             spark, args.lake, processed_csv=args.source, on_missing=args.on_missing, **multi
         ),
-        "build-gold": lambda: jobs.build_gold(spark, args.lake, stable_keys=args.stable_keys),
+        "build-gold": lambda: jobs.build_gold(
+            spark, args.lake, stable_keys=args.stable_keys, only_changes=args.changes
+        ),
         "report": lambda: jobs.store_reports(spark, args.lake),
     }[args.job]()
     for table, count in rows.items():

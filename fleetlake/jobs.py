@@ -1,14 +1,16 @@
-"""The jobs as a user runs them, each a full refresh of one layer.
+"""The jobs as a user runs them, each a refresh of one layer.
 
     python -m fleetlake load-raw    --source DIR --lake DIR [--on-missing empty]
     python -m fleetlake clean       --source DIR --lake DIR [--csv DIR] [--as-of DATE] [--run-ts TIME]
     python -m fleetlake load-silver --lake DIR [--source DIR] [--on-missing empty]
-    python -m fleetlake build-gold  --lake DIR [--stable-keys]
+    python -m fleetlake build-gold  --lake DIR [--stable-keys | --changes]
     python -m fleetlake report      --lake DIR
 
 ``load-raw`` lands the source files as they are. ``clean`` and the steps after
 it start from the same files, not from the landed copy. ``load-silver`` takes
-the cleaned tables, or with ``--source`` cleaned CSV files.
+the cleaned tables, or with ``--source`` cleaned CSV files. With ``--changes``
+``build-gold`` writes only the months of the fact whose rentals, payments or keys
+differ from the published version's; other refreshes are full ones.
 """
 
 from __future__ import annotations
@@ -21,13 +23,14 @@ from pyspark.sql import functions as F
 from fleetlake import schemas
 from fleetlake.operators.keys import key_registry, with_key
 from fleetlake.operators.quality import integrity_report, key_profile
-from fleetlake.plans import gold, reports
+from fleetlake.plans import changes, gold, reports
 from fleetlake.plans.clean import CLEANERS, READ_AGAIN
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
-from fleetlake.sources.layers import Layer, scratch_dir, write_table
+from fleetlake.sources.layers import NULL_PART, Layer, Patch, scratch_dir, write_table
 
 GOLD_TABLES = list(schemas.GOLD_PRIMARY_KEYS)
+MONTHS = "months_of_fact_rentals"  # what each month of the fact was made of
 FACT_LAYOUT = {"fact_rentals": ("rental_month", ["car_key"])}
 
 
@@ -151,30 +154,82 @@ def refresh_gold(silver, layer: Layer, *, stable_keys: bool = False) -> dict[str
     keep the keys of the published version, and new ones are numbered above them.
     """
     dims = {name: lambda _stored, b=b: b(silver) for name, b in gold.DIMENSIONS.items()}
-    first = []
-    if stable_keys:
-        registries = {gold.registry_name(n): _registry(layer, n, silver) for n in gold.KEYED}
-        first.append(registries)
-        for name, (build, source, _, _) in gold.KEYED.items():
-
-            def keyed(stored, name=name, build=build, source=source):
-                registry = stored[gold.registry_name(name)]
-                return build(
-                    silver[source], lambda df, id_column, key: with_key(df, registry, id_column, key)
-                )
-
-            dims[name] = keyed
+    stages = _keyed_stages(silver, layer) if stable_keys else [dims]
 
     def fact(stored):
         rows = gold.fact_rentals(silver["rentals"], silver["payments"], stored)
         return rows.withColumn("rental_month", F.trunc("rental_date", "MM"))
 
-    return layer.refresh([*first, dims, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
+    return layer.refresh([*stages, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
+
 
+def refresh_gold_changes(silver, layer: Layer) -> dict[str, int]:
+    """Refresh the star schema with stable keys; of the fact, write the months that changed.
+
+    The layer keeps a row per month with the sums of its rows' digests. A month is made
+    anew if they differ, or if a dimension now gives one of its rentals another key; a month that
+    has no rentals any more is left out. Months in which nothing changed are taken over
+    as they are stored. The first refresh of this kind writes all months. The result is
+    that of a full refresh with stable keys. Lists of months go through the driver: a table of
+    rentals has one value per month of its calendar.
+    """
+    published = layer.version()
+    parts = layer.parts(published).get("fact_rentals") if published else None
+    old = layer.tables([*gold.DIMENSIONS, MONTHS]) if parts is not None else {}
+    text = F.coalesce(F.col("rental_month").cast("string"), F.lit(NULL_PART))
+    scratch = scratch_dir(layer.spark)
+
+    def changed_months(stored) -> list[str]:
+        found = changes.differing(old[MONTHS], stored[MONTHS], "rental_month")
+        by_key = changes.months_of_new_keys(silver["rentals"], old, stored)
+        if by_key is not None:
+            found = found.unionByName(by_key)
+        return [r["month"] for r in found.select(text.alias("month")).distinct().collect()]
 
-def build_gold(spark: SparkSession, lake: str, *, stable_keys: bool = False) -> dict[str, int]:
+    def fact(stored):
+        rentals = silver["rentals"].withColumn("rental_month", changes.month())
+        kept = []
+        if parts is not None:
+            changed = changed_months(stored)
+            rentals = rentals.where(text.isin(changed))
+            kept = [p for p in parts if p.split("/rental_month=")[1] not in changed]
+        rows = gold.fact_of_rollup(rentals.drop("rental_month"), rollup, stored)
+        return Patch(rows.withColumn("rental_month", changes.month()), kept)
+
+    try:
+        # read for the digests and for the fact
+        write_table(gold.payment_rollup(silver["payments"]), f"{scratch}/rollup")
+        rollup = layer.spark.read.parquet(f"{scratch}/rollup")
+        state = {MONTHS: lambda _stored: changes.month_digests(silver["rentals"], rollup)}
+        stages = [*_keyed_stages(silver, layer), state, {"fact_rentals": fact}]
+        return layer.refresh(stages, _gold_check, FACT_LAYOUT)
+    finally:
+        csv.remove(layer.spark, scratch)
+
+
+def _keyed_stages(silver, layer: Layer) -> list[dict]:
+    """The key registries, and the dimensions by them."""
+    dims = {name: lambda _stored, b=b: b(silver) for name, b in gold.DIMENSIONS.items()}
+    for name, (build, source, _, _) in gold.KEYED.items():
+
+        def keyed(stored, name=name, build=build, source=source):
+            registry = stored[gold.registry_name(name)]
+            return build(
+                silver[source], lambda df, id_column, key: with_key(df, registry, id_column, key)
+            )
+
+        dims[name] = keyed
+    return [{gold.registry_name(n): _registry(layer, n, silver) for n in gold.KEYED}, dims]
+
+
+def build_gold(
+    spark: SparkSession, lake: str, *, stable_keys: bool = False, only_changes: bool = False
+) -> dict[str, int]:
     silver = Layer(spark, lake, "silver").tables(schemas.TABLES)
-    return refresh_gold(silver, Layer(spark, lake, "gold"), stable_keys=stable_keys)
+    layer = Layer(spark, lake, "gold")
+    if only_changes:
+        return refresh_gold_changes(silver, layer)
+    return refresh_gold(silver, layer, stable_keys=stable_keys)
 
 
 def run_reports(spark: SparkSession, lake: str) -> dict[str, DataFrame]:

@@ -118,12 +118,14 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
 
 
 def with_payments(rentals: DataFrame, payments: DataFrame) -> DataFrame:
-    """Add the payment rollup; a rental without completed payments gets zeros.
+    """Add the payment rollup; a rental without completed payments gets zeros."""
+    return with_rollup(rentals, payment_rollup(payments))
 
-    Both sides hold a rental at most once, so the join has no hot key.
-    """
+
+def with_rollup(rentals: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Both sides hold a rental at most once, so the join has no hot key."""
     totals = ["total_paid", "payment_count", "unique_payment_methods"]
-    joined = rentals.join(payment_rollup(payments), "rental_id", "left")
+    joined = rentals.join(rollup, "rental_id", "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in totals}).withColumn(
         "total_paid", F.col("total_paid").cast("decimal(18,2)")
     )
@@ -182,9 +184,19 @@ def fact_rentals(
     Rentals and payments meet in one join on the unique rental id; the lookups
     come first, where they widen no shuffled row by more than a key.
     """
+    return fact_of_rollup(rentals, payment_rollup(payments), dims, broadcast_rows)
+
+
+def fact_of_rollup(
+    rentals: DataFrame,
+    rollup: DataFrame,
+    dims: Mapping[str, DataFrame],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The fact from payments that are rolled up already."""
     keyed = with_dim_keys(rentals, dims, broadcast_rows)
     keyed = with_date_keys(with_duration(keyed), dims["dim_date"])
-    return with_payments(keyed, payments).select(
+    return with_rollup(keyed, rollup).select(
         "rental_id", "car_key", "client_key", "employee_key", "tariff_key",
         "pickup_location_key", "return_location_key", "rental_date_key",
         "actual_return_date_key", "rental_days", "total_cost", "base_cost",

@@ -3,6 +3,10 @@
 A layer is a directory of versions. A new version is written next to the
 current one; publishing it appends one row to the layer's list of versions, so
 readers see all tables of the old version or all of the new one.
+
+A partitioned table may also be refreshed in part: its partitions are then kept
+beside the versions, each in the folder of the version that wrote it, and a
+version lists those that it is made of.
 """
 
 from __future__ import annotations
@@ -12,10 +16,11 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +28,19 @@ from fleetlake.sources.csv import path_exists, remove
 
 _local_scratch: dict[str, str] = {}
 
-Build = Callable[[Mapping[str, DataFrame]], DataFrame]
+# The folder name that Spark gives to a partition of the null value.
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Patch:
+    """New rows of some partitions of a table, and the stored partitions that stay as they are."""
+
+    rows: DataFrame
+    kept: list[str] = field(default_factory=list)
+
+
+Build = Callable[[Mapping[str, DataFrame]], DataFrame | Patch]
 
 
 def side_by_side(spark: SparkSession, work: Mapping[str, Callable]) -> dict:
@@ -92,6 +109,14 @@ def _claim(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop_path)
 
 
+def _folders(spark: SparkSession, path: str, start: str) -> list[str]:
+    """Names of the folders in a folder that begin with a text: one per partition."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    names = (status.getPath().getName() for status in found if status.isDirectory())
+    return sorted(name for name in names if name.startswith(start))
+
+
 class Layer:
     """One layer (raw, processed, silver or gold) under a root directory.
 
@@ -119,23 +144,42 @@ class Layer:
     def _at(self, version: int, name: str) -> str:
         return f"{self.path}/version={version}/{name}"
 
+    def _parts_at(self, name: str, part: str = "") -> str:
+        return f"{self.path}/parts/{name}/{part}".rstrip("/")
+
+    def _listed(self, version: int) -> list[Row]:
+        # versions without the last column have no partitions beside them
+        stored = self.spark.read.schema("name string, fields string, parts array<string>")
+        return stored.parquet(self._at(version, "_schemas")).collect()
+
     def schemas(self, version: int) -> dict[str, T.StructType]:
-        stored = self.spark.read.schema("name string, fields string")
-        rows = stored.parquet(self._at(version, "_schemas")).collect()
+        rows = self._listed(version)
         return {r["name"]: T.StructType.fromJson(json.loads(r["fields"])) for r in rows}
 
+    def parts(self, version: int) -> dict[str, list[str]]:
+        """The partitions of each table that is refreshed in part, as ``part_version=V/column=value``."""
+        return {r["name"]: r["parts"] for r in self._listed(version) if r["parts"] is not None}
+
+    def _read(
+        self, version: int, name: str, schema: T.StructType, parts: list[str] | None
+    ) -> DataFrame:
+        reader = self.spark.read.schema(schema)
+        if parts is None:
+            return reader.parquet(self._at(version, name))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        places = [self._parts_at(name, part) for part in parts]
+        found = reader.option("basePath", self._parts_at(name)).parquet(*places)
+        return found.select(*schema.names)  # without part_version
+
     def table(self, name: str, version: int | None = None) -> DataFrame:
         version = self.version() if version is None else version
-        schema = self.schemas(version)[name]
-        return self.spark.read.schema(schema).parquet(self._at(version, name))
+        return self._read(version, name, self.schemas(version)[name], self.parts(version).get(name))
 
     def tables(self, names: Iterable[str]) -> dict[str, DataFrame]:
         version = self.version()
-        schemas = self.schemas(version)
-        return {
-            name: self.spark.read.schema(schemas[name]).parquet(self._at(version, name))
-            for name in names
-        }
+        schemas, parts = self.schemas(version), self.parts(version)
+        return {name: self._read(version, name, schemas[name], parts.get(name)) for name in names}
 
     def refresh(
         self,
@@ -150,6 +194,11 @@ class Layer:
         row of the report that ``check`` gives for the stored tables, leaves the
         published version as it was. The whole report of a refused version is
         stored beside its tables, and the error names its place and counts.
+
+        A function that gives a ``Patch`` writes only its rows, by the partition
+        column of ``layout``, and the version takes the kept partitions over without
+        a copy. Rows are counted of the whole table. Such a refresh fails if two others were
+        published meanwhile, as what it keeps may be removed then.
         """
         published = self._published()
         version = max(published, default=0) + 1
@@ -158,10 +207,19 @@ class Layer:
         rows: dict[str, int] = {}
         stored: dict[str, DataFrame] = {}
         kinds: dict[str, T.StructType] = {}
+        parts: dict[str, list[str]] = {}
 
         def write(name: str, build: Build) -> int:
             partition_by, sort_by = (layout or {}).get(name, (None, None))
             df = build(stored)
+            if isinstance(df, Patch):
+                kinds[name] = df.rows.schema
+                own = f"part_version={version}"
+                write_table(df.rows, self._parts_at(name, own), partition_by, sort_by)
+                made = _folders(self.spark, self._parts_at(name, own), f"{partition_by}=")
+                parts[name] = [*df.kept, *(f"{own}/{folder}" for folder in made)]
+                self._need_kept(published)
+                return self._read(version, name, kinds[name], parts[name]).count()
             kinds[name] = df.schema
             return write_table(df, self._at(version, name), partition_by, sort_by)
 
@@ -170,21 +228,33 @@ class Layer:
                 self.spark, {name: partial(write, name, build) for name, build in stage.items()}
             )
             stored |= {
-                name: self.spark.read.schema(kinds[name]).parquet(self._at(version, name))
-                for name in stage
+                name: self._read(version, name, kinds[name], parts.get(name)) for name in stage
             }
-        written = [(name, json.dumps(kinds[name].jsonValue())) for name in rows]
-        fields = self.spark.createDataFrame(written, "name string, fields string").coalesce(1)
+        written = [(name, json.dumps(kinds[name].jsonValue()), parts.get(name)) for name in rows]
+        kind = "name string, fields string, parts array<string>"
+        fields = self.spark.createDataFrame(written, kind).coalesce(1)
         fields.write.mode("overwrite").parquet(self._at(version, "_schemas"))
         if check is not None:
             self._refuse_if_any(check(stored), version)
+        if parts:
+            self._need_kept(published)
         one = self.spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version"))
         one.write.mode("append").parquet(self._versions)
         # readers that began on the version before may still need it
+        used = {(n, p) for v in (version, *published[-1:]) for n, ps in self.parts(v).items() for p in ps}
         for old in published[:-1]:
+            if not path_exists(self.spark, self._at(old, "_schemas")):
+                continue  # removed by an earlier refresh
+            for name, part in {(n, p) for n, ps in self.parts(old).items() for p in ps} - used:
+                remove(self.spark, self._parts_at(name, part))
             remove(self.spark, f"{self.path}/version={old}")
         return rows
 
+    def _need_kept(self, published: list[int]) -> None:
+        """What a refresh in part takes over is there only while its version is one of the last two."""
+        if published and published[-1] not in self._published()[-2:]:
+            raise RuntimeError(f"{self.path}: others were published since version {published[-1]}")
+
     def _refuse_if_any(self, found: DataFrame, version: int) -> None:
         place = self._at(version, "_violations")
         if not write_table(found, place):
