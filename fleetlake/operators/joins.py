@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup row is a key and a few short columns, so this many rows stay well
@@ -36,20 +37,26 @@ def hot_keys(df: DataFrame, columns: list[str]) -> dict[str, list]:
 def spread_lookup(
     df: DataFrame, lookup: DataFrame, fk: str, pk: str, row_id: str, hot: list
 ) -> DataFrame:
-    """Inner join in which rows with a hot key go to all tasks instead of one; keeps ``fk``.
+    """Inner join in which rows with a hot key go to all tasks instead of one; keeps ``fk``."""
+    is_hot = F.col(fk).isin(hot), F.col(pk).isin(hot)
+    return _spread(df, lookup, F.col(fk) == F.col(pk), is_hot, [row_id]).drop(pk)
 
-    Such rows are cut into slices, four per task, so that the hash of key and
-    slice fills the tasks evenly. The lookup rows of the hot keys are repeated
-    for every slice; as there are at most about 500 hot keys, this stays small.
+
+def _spread(
+    df: DataFrame, lookup: DataFrame, matched: Column, is_hot: tuple[Column, Column], by: list[str]
+) -> DataFrame:
+    """Rows with a hot key are cut into slices by the hash of some columns, four per task, so
+    that the hash of key and slice fills the tasks evenly. The lookup rows of the hot keys are
+    repeated for every slice; as there are at most about 500 hot keys, this stays small.
     """
     slices = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    any_slice = F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int")
-    left = df.withColumn("_slice", F.when(F.col(fk).isin(hot), any_slice).otherwise(F.lit(0)))
+    any_slice = F.pmod(F.xxhash64(*by), F.lit(slices)).cast("int")
+    left = df.withColumn("_slice", F.when(is_hot[0], any_slice).otherwise(F.lit(0)))
 
-    copies = F.when(F.col(pk).isin(hot), F.sequence(F.lit(0), F.lit(slices - 1)))
+    copies = F.when(is_hot[1], F.sequence(F.lit(0), F.lit(slices - 1)))
     right = lookup.withColumn("_lookup_slice", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    matched = (F.col(fk) == F.col(pk)) & (F.col("_slice") == F.col("_lookup_slice"))
-    return left.join(right, matched).drop("_slice", "_lookup_slice", pk)
+    in_slice = F.col("_slice") == F.col("_lookup_slice")
+    return left.join(right, matched & in_slice).drop("_slice", "_lookup_slice")
 
 
 def lookup_all(
@@ -60,34 +67,88 @@ def lookup_all(
 ) -> DataFrame:
     """Left join each ``(fk, lookup)``; the first column of a lookup is its unique key.
 
-    A lookup is broadcast if its counted size allows it. For the others, only the
-    different pairs of ``(row_id, fk)`` are shuffled by key, and what was found is
-    joined back by row id and compared by key, so the rows are those of a left join
-    for either size: ids that repeat or are null neither add rows nor lose a
-    key. Rows with an id, which should mostly be unique, are shuffled once by it,
-    however many large lookups there are; rows without one meet each lookup by its key.
+    A lookup is broadcast if its counted size allows it. The keys of all others are
+    shuffled at once, as (row, lookup, key), to where their lookup rows are; what is found is
+    gathered to one row per id, joined back by it and compared by key. So the rows
+    are those of a left join for either size: ids that repeat or are null neither add rows
+    nor lose a key. Rows with an id, which should mostly be unique, are shuffled once by
+    it, however many large lookups there are; rows without one go by their keys, of which each
+    combination is looked up once.
     """
     rows = row_counts({str(i): table for i, (_, table) in enumerate(lookups)})
-    large = [fk for i, (fk, _) in enumerate(lookups) if rows[str(i)] > broadcast_rows]
-    hot = hot_keys(df, large) if large else {}
-    result = df.where(F.col(row_id).isNotNull()) if large else df
-    nameless = df.where(F.col(row_id).isNull())
+    large = [pair for i, pair in enumerate(lookups) if rows[str(i)] > broadcast_rows]
+    result = df
+    if large:
+        fks = list(dict.fromkeys(fk for fk, _ in large))
+        hot = hot_keys(df, fks)
+        nameless = df.where(F.col(row_id).isNull())
+        result = _lookup_large(df.where(F.col(row_id).isNotNull()), F.col(row_id), large, hot)
+        by_keys = _lookup_large(nameless, F.xxhash64(*fks), large, hot, repeats=True)
+        result = result.unionByName(by_keys)
+    for i, (fk, table) in enumerate(lookups):
+        if rows[str(i)] <= broadcast_rows:
+            key = f"_key_{i}"
+            renamed = table.withColumnRenamed(table.columns[0], key)
+            result = result.join(F.broadcast(renamed), F.col(fk) == F.col(key), "left").drop(key)
+    return result.select(*df.columns, *(c for _, t in lookups for c in t.columns[1:]))
+
+
+def _lookup_large(
+    df: DataFrame,
+    name: Column,
+    lookups: list[tuple[str, DataFrame]],
+    hot: Mapping[str, list],
+    repeats: bool = False,
+) -> DataFrame:
+    """Lookups whose keys and columns have equal types share one shuffle of the keys.
+
+    ``name`` tells rows apart, together with the hash of their keys; of rows that agree in both, a
+    key is still compared before its find is taken. ``repeats`` says that many rows may.
+    """
+    kinds = dict(df.dtypes)
+    alike: dict[tuple, list[tuple[str, DataFrame]]] = {}
     for fk, table in lookups:
-        key = f"_key_of_{fk}"
-        renamed = table.withColumnRenamed(table.columns[0], key)
-        if fk in hot:
-            pairs = df.select(F.col(row_id).alias("_row"), F.col(fk).alias("_fk"))
-            pairs = pairs.where("_row IS NOT NULL AND _fk IS NOT NULL").distinct()
-            found = spread_lookup(pairs, renamed, "_fk", key, "_row", hot[fk])
-            # not a join key, so that rows stay where their id has put them
-            same = F.when(F.col(fk) == F.col("_fk"), True).otherwise(False)
-            by_id = (F.col(row_id) == F.col("_row")) & same
-            result = result.join(found, by_id, "left").drop("_row", "_fk")
-            nameless = nameless.join(renamed, F.col(fk) == F.col(key), "left").drop(key)
-        else:
-            matched = F.col(fk) == F.col(key)
-            result = result.join(F.broadcast(renamed), matched, "left").drop(key)
-            nameless = nameless.join(F.broadcast(renamed), matched, "left").drop(key)
-    columns = [*df.columns, *(c for _, t in lookups for c in t.columns[1:])]
-    result = result.select(*columns)
-    return result.unionByName(nameless.select(*columns)) if large else result
+        alike.setdefault((kinds[fk], *(kind for _, kind in table.dtypes[1:])), []).append((fk, table))
+    combination = F.xxhash64(*hot)
+    result = df
+    for (kind, *_), group in alike.items():
+        wanted = [F.struct(F.lit(i).alias("_i"), F.col(fk).alias("_k")) for i, (fk, _) in enumerate(group)]
+        keys = df.select(
+            name.alias("_row"), combination.alias("_fks"), F.inline(F.array(*wanted))
+        ).where("_k IS NOT NULL")
+        keys = keys.distinct() if repeats else keys
+        tables = None
+        for i, (_, table) in enumerate(group):
+            key, *columns = table.columns
+            part = table.select(
+                F.lit(i).alias("_j"),
+                F.col(key).try_cast(kind).alias("_key"),
+                *(F.col(c).alias(f"_{n}") for n, c in enumerate(columns)),
+            )
+            tables = part if tables is None else tables.unionByName(part)
+
+        def is_hot(number: str, key: str, group=group) -> Column:
+            each = ((F.col(number) == i) & F.col(key).isin(hot[fk]) for i, (fk, _) in enumerate(group))
+            return reduce(lambda a, b: a | b, each)
+
+        matched = (F.col("_i") == F.col("_j")) & (F.col("_k") == F.col("_key"))
+        met = _spread(
+            keys, tables, matched, (is_hot("_i", "_k"), is_hot("_j", "_key")), ["_row", "_fks"]
+        )
+        found = [
+            F.first(F.when(F.col("_i") == i, F.col(c)), ignorenulls=True).alias(f"_find_{i}{c}")
+            for i, (_, table) in enumerate(group)
+            for c in ("_k", *(f"_{n}" for n in range(len(table.columns) - 1)))
+        ]
+        # put where the join wants them; little is left to combine before
+        gathered = met.repartition("_row").groupBy("_row", "_fks").agg(*found)
+        # not a join key, so that rows stay where their id has put them
+        same = F.when(combination == F.col("_fks"), True).otherwise(False)
+        result = result.join(gathered, (name == F.col("_row")) & same, "left")
+        for i, (fk, table) in enumerate(group):
+            is_own = F.col(fk) == F.col(f"_find_{i}_k")
+            finds = {c: F.when(is_own, F.col(f"_find_{i}_{n}")) for n, c in enumerate(table.columns[1:])}
+            result = result.withColumns(finds)
+        helpers = [c for c in result.columns if c.startswith("_find_")]
+        result = result.drop("_row", "_fks", *helpers)
+    return result

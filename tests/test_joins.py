@@ -79,3 +79,32 @@ def test_large_lookups_give_what_small_ones_give(spark, shuffled_joins):
     small = sorted(map(repr, lookup_all(df, both, "row_id").collect()))
     assert small == sorted(map(repr, lookup_all(df, both, "row_id", broadcast_rows=10).collect()))
     assert small == sorted(map(repr, lookup_all(df, both, "row_id", broadcast_rows=0).collect()))
+
+
+def test_large_lookups_share_one_shuffle_of_keys(spark, skewed, shuffled_joins):
+    """Six lookups of one type: one exchange of keys, whatever their number; another type has its own."""
+    fks = {f"fk{i}": F.col("fk") + i for i in range(6)}
+    wide = skewed.withColumns(fks)
+    tables = [(f"fk{i}", spark.range(200).selectExpr("id AS pk", f"id * 10 AS found{i}")) for i in range(6)]
+    named = spark.range(200).selectExpr("id AS pk", "concat('n', id) AS name", "id AS again")
+
+    def keys_shuffled(lookups):
+        joined = lookup_all(wide, lookups, "row_id", broadcast_rows=10)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        return len([x for x in plan if "Exchange hashpartitioning(_i" in x or "Exchange hashpartitioning(_k" in x])
+
+    assert keys_shuffled(tables) == keys_shuffled(tables[:2]) > 0
+    lookups = [*tables, ("fk", named)]
+    small = sorted(map(repr, lookup_all(wide, lookups, "row_id").collect()))
+    assert small == sorted(map(repr, lookup_all(wide, lookups, "row_id", broadcast_rows=10).collect()))
+
+
+def test_rows_without_ids_on_one_key(spark, shuffled_joins):
+    """Half of the rows have neither an id nor another key than the others."""
+    df = spark.range(4000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN id END AS row_id", "CASE WHEN id % 2 = 0 THEN id % 9 ELSE 3 END AS fk",
+        "CASE WHEN id % 5 > 0 THEN 4 END AS fk2", "id AS n",
+    )
+    lookups = [(fk, spark.range(8).selectExpr("id AS pk", f"id * 10 AS {fk}_found")) for fk in ("fk", "fk2")]
+    small = sorted(map(repr, lookup_all(df, lookups, "row_id").collect()))
+    assert small == sorted(map(repr, lookup_all(df, lookups, "row_id", broadcast_rows=0).collect()))
