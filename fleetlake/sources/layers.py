@@ -12,6 +12,7 @@ version lists those that it is made of.
 from __future__ import annotations
 
 import json
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from fleetlake.sources.csv import path_exists, remove
 
 _local_scratch: dict[str, str] = {}
+_seen: dict[tuple[str, str], bool] = {}
 
 # The folder name that Spark gives to a partition of the null value.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -62,26 +64,51 @@ class IntegrityError(Exception):
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name in the folder that the cluster shares for such data.
 
-    Only a local session without such a folder (as in tests) makes one of its
-    own, for all that it stores. On a cluster, a folder on a machine's own disk is refused.
+    That is ``spark.checkpoint.dir``, or the warehouse where none is set. Only a session
+    without executors of its own (as in tests) makes a folder for all that it stores.
+    On a cluster, a folder on a machine's own disk is refused; a folder of a file
+    system that a standalone cluster's machines mount is taken if its executors see it.
     """
+    master = spark.sparkContext.master
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    local = spark.sparkContext.master.startswith("local")
-    if not base and local:
-        application = spark.sparkContext.applicationId
-        if application not in _local_scratch:
-            _local_scratch[application] = tempfile.mkdtemp(prefix="fleetlake-")
-        base = f"file://{_local_scratch[application]}"
-    if not base or not (local or _is_shared(spark, base)):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        if not base:
+            application = spark.sparkContext.applicationId
+            if application not in _local_scratch:
+                _local_scratch[application] = tempfile.mkdtemp(prefix="fleetlake-")
+            base = f"file://{_local_scratch[application]}"
+    else:
+        base = base or spark.conf.get("spark.sql.warehouse.dir", None)
+        if not base or not _is_shared(spark, base):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/fleetlake-{uuid.uuid4().hex}"
 
 
 def _is_shared(spark: SparkSession, path: str) -> bool:
-    """Whether a path is in a file system that is not a machine's own."""
+    """Whether a path is not on a machine's own disk."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getUri().getScheme() != "file"
+    if system.getUri().getScheme() != "file":
+        return True
+    mounted = spark.sparkContext.master.startswith(("spark://", "local-cluster"))
+    return mounted and _is_seen(spark, hadoop_path, system)
+
+
+def _is_seen(spark: SparkSession, folder, system) -> bool:
+    """Whether tasks on the executors see what the driver puts into a folder; asked once."""
+    asked = (spark.sparkContext.applicationId, folder.toString())
+    if asked not in _seen:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(folder, f"fleetlake-{uuid.uuid4().hex}")
+        place = marker.toUri().getPath()
+        system.mkdirs(folder)
+        system.createNewFile(marker)
+        tasks = max(2, spark.sparkContext.defaultParallelism)
+        exists = spark.sparkContext.parallelize(range(tasks), tasks).map(
+            lambda _, place=place: os.path.exists(place)
+        )
+        _seen[asked] = all(exists.collect())
+        system.delete(marker, False)
+    return _seen[asked]
 
 
 def write_table(

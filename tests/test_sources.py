@@ -186,3 +186,47 @@ def test_machines_own_folders_are_refused_on_a_cluster(spark, tmp_path):
     for path in (f"file://{tmp_path}", str(tmp_path)):
         with pytest.raises(ValueError, match="share"):
             scratch_dir(Cluster(path, master="yarn"))
+
+
+def test_a_mounted_folder_is_taken_where_executors_see_it(spark, tmp_path):
+    """A standalone cluster's file system may be a mount; its tasks are asked."""
+
+    class Standalone(Session):
+        _jvm, _jsc, defaultParallelism = spark._jvm, spark._jsc, 3
+
+        def parallelize(self, values, parts):
+            return spark.sparkContext.parallelize(values, parts)
+
+    class Apart(Standalone):
+        """One task of two sees what the driver wrote."""
+
+        def parallelize(self, values, parts):
+            return self
+
+        def map(self, _):
+            return self
+
+        def collect(self):
+            return [True, False]
+
+    for master in ("spark://host:7077", "local-cluster[3,4,1024]"):
+        mounted = f"file://{tmp_path}/mounted"
+        found = scratch_dir(Standalone(mounted, master=master))
+        assert found.startswith(f"{mounted}/fleetlake-") and not os.listdir(tmp_path / "mounted")
+        with pytest.raises(ValueError, match="share"):
+            scratch_dir(Apart(f"file://{tmp_path}/apart", master=master))
+
+
+def test_without_a_checkpoint_folder_a_cluster_uses_the_warehouse(spark, tmp_path):
+    class Cluster(Session):
+        _jvm, _jsc, defaultParallelism = spark._jvm, spark._jsc, 3
+
+        def get(self, name, default):
+            return self.configured if name == "spark.sql.warehouse.dir" else default
+
+        def parallelize(self, values, parts):
+            return spark.sparkContext.parallelize(values, parts)
+
+    for master in ("local-cluster[3,4,1024]", "spark://host:7077"):
+        found = scratch_dir(Cluster(f"file://{tmp_path}/warehouse", master=master))
+        assert found.startswith(f"file://{tmp_path}/warehouse/fleetlake-")
