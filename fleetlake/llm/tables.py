@@ -61,18 +61,26 @@ def spread_join(
 
     ``weight`` is the table's count of the rows with that key (it is dropped).
     Keys with over a quarter of a partition's share of all rows are broadcast;
-    there are at most four per partition, whatever the data. Both inputs should
+    there are at most four per partition, whatever the data. They are told by their
+    hashes; another key of such a hash is broadcast, too. Both inputs should
     be stored tables, as they are read twice. Keys must not be null. ``hint`` says
     how the other keys are joined.
     """
     parts = partitions(rows.sparkSession)
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    hot_from = total / (4 * parts)
-    hot = F.broadcast(table.where(F.col(weight) > hot_from).drop(weight))
-    cold = table.where(F.col(weight) <= hot_from).drop(weight)
+    total, most = table.agg(F.sum(weight), F.max(weight)).first()
+    named, names = F.xxhash64(*keys), []
+    hot_from = (total or 0) / (4 * parts)
+    if (most or 0) > hot_from:
+        hot = table.where(F.col(weight) > hot_from).select(named.alias("name"))
+        names = sorted({row["name"] for row in hot.collect()})
+    table = table.drop(weight)
+    is_hot = named.isin(names)
+    cold = table.where(~is_hot) if names else table
     cold = cold.hint(hint) if hint else cold
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
-    return rows.join(hot, keys).unionByName(rest)
+    rest = (rows.where(~is_hot) if names else rows).join(cold, keys, how)
+    if not names:
+        return rest
+    return rows.join(F.broadcast(table.where(is_hot)), keys).unionByName(rest)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

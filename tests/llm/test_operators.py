@@ -71,6 +71,31 @@ def test_spread_join_gives_what_a_join_gives(spark, shuffled_joins):
     )
 
 
+def test_spread_join_needs_no_anti_join(spark, shuffled_joins):
+    """Hot keys are told by their hashes: rows pass two filters and two joins."""
+    rows = tables.stored(
+        spark.range(3000).selectExpr(
+            "if(id < 1000, 'hot', concat('k', id % 50)) AS k", "if(id < 1000, 1, id % 2) AS j", "id AS v"
+        )
+    )
+    counted = rows.where("k <> 'k7'").groupBy("k", "j").count()
+    table = tables.stored(counted.selectExpr("k", "j", "count AS n", "concat(k, '!') AS named"))
+    for how in ("inner", "left"):
+        got = tables.spread_join(rows, table, ["k", "j"], "n", how)
+        plain = rows.join(table.drop("n"), ["k", "j"], how).select("k", "j", "v", "named")
+        expected = Counter(map(tuple, plain.collect()))
+        assert Counter(map(tuple, got.select("k", "j", "v", "named").collect())) == expected
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan and "Union" in plan
+    # without a hot key rows are read once
+    even = tables.stored(spark.range(3000).selectExpr("id AS k", "id AS v"))
+    once = tables.stored(even.selectExpr("k", "1L AS n", "-k AS other"))
+    plan = tables.spread_join(even, once, ["k"], "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    nothing = tables.spread_join(even, once.where("k < 0"), ["k"], "n", "left")
+    assert nothing.count() == 3000 and nothing.where("other IS NOT NULL").isEmpty()
+
+
 def test_whole_groups_cut_no_group():
     import pyarrow as pa
 
