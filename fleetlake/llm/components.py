@@ -13,10 +13,11 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _star(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, pairs: DataFrame, itself: bool = False) -> DataFrame:
     """For each centre, its smallest neighbour (or itself), linked to what it is paired with.
 
-    edges: (node, to); pairs: those of them that get the minimum in place of the node.
+    edges: (node, to); pairs: those of them that get the minimum in place of the node;
+    with ``itself``, the centre is paired with itself, too.
     """
     least = stored(
         edges.groupBy("node").agg(
@@ -24,7 +25,8 @@ def _star(edges: DataFrame, pairs: DataFrame) -> DataFrame:
         )
     )
     moved = spread_join(pairs, least, ["node"], "n")
-    return moved.select(F.col("to").alias("node"), F.col("least").alias("to"))
+    moved = moved.select(F.col("to").alias("node"), F.col("least").alias("to"))
+    return moved.unionByName(least.select("node", F.col("least").alias("to"))) if itself else moved
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,12 +46,11 @@ def components(edges: DataFrame) -> DataFrame:
     )
     seen = _digest(now)
     while seen[0]:
-        back = now.select(F.col("to").alias("node"), F.col("node").alias("to"))
-        both = stored(now.unionByName(back))
-        large = stored(_star(both, both.where("to > node")).where("node <> to").distinct())
+        both = now.unionByName(now.select(F.col("to").alias("node"), F.col("node").alias("to")))
+        # no more rows than before, as each link moves once; what is equal goes with the small star
+        large = stored(_star(both, both.where("to > node")).where("node <> to"))
         # small star: the smaller neighbours, and the node itself
-        itself = large.select("node", F.col("node").alias("to")).distinct()
-        small = _star(large, stored(large.unionByName(itself)))
+        small = _star(large, large, itself=True)
         now = stored(small.where("node <> to").distinct())
         found = _digest(now)
         if found == seen:

@@ -96,6 +96,27 @@ def test_spread_join_needs_no_anti_join(spark, shuffled_joins):
     assert nothing.count() == 3000 and nothing.where("other IS NOT NULL").isEmpty()
 
 
+def test_a_round_of_components_stores_four_tables(spark, monkeypatch):
+    calls = Counter()
+
+    def counted(name):
+        plain = getattr(components, name)
+
+        def run(df):
+            calls[name] += 1
+            return plain(df)
+
+        monkeypatch.setattr(components, name, run)
+
+    for name in ("stored", "_digest"):
+        counted(name)
+    edges = [(i, i + 1) for i in range(20)] + [(100, 101 + i) for i in range(40)]
+    got = components.components(spark.createDataFrame(edges, "node long, to long")).collect()
+    assert {tuple(r) for r in got} == {(i, 0) for i in range(21)} | {(100 + i, 100) for i in range(41)}
+    rounds = calls["_digest"] - 1
+    assert rounds > 1 and calls["stored"] == 1 + 4 * rounds
+
+
 def test_whole_groups_cut_no_group():
     import pyarrow as pa
 
