@@ -11,7 +11,7 @@ the lesser weights over the sum of the greater ones.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 
@@ -97,8 +97,9 @@ class Sampler:
         place, seen = self.place, self.seen
         if len(seen) > 1_000_000:
             seen.clear()
-        known = [t for t in drawn if hash(t) in seen]
-        seen.update(map(hash, drawn))
+        hashes = list(map(hash, drawn))
+        known = [t for t, h in zip(drawn, hashes, strict=True) if h in seen]
+        seen.update(hashes)
         if len(place) + len(known) > self.kept:
             place.clear()
         if known:
@@ -106,14 +107,15 @@ class Sampler:
             self.numbers[at : at + len(known)] = self.numbers[[drawn[t] for t in known]]
             place.update(zip(known, range(at, at + len(known)), strict=True))
 
-    def signatures(self, texts: list[str]) -> np.ndarray:
+    def signatures(self, texts: list[str], pairs: Sequence[tuple[int, int]] = ()) -> np.ndarray:
         """For every text one 12-bit number per sample; zeros for a text without words.
 
         Terms are drawn once for a group of texts that together have at most
-        ``drawn`` different ones.
+        ``drawn`` different ones. ``pairs`` names texts that have much in common, each
+        text in one pair at most: what both have is looked up once. It changes no number.
         """
         none = np.iinfo(np.int32).max
-        least = np.full((len(texts), self.samples), none, np.int32)
+        least = np.full((len(texts) + len(pairs), self.samples), none, np.int32)
         group: list[tuple[int, list[int]]] = []
         drawn: dict[tuple[str, int], int] = {}
 
@@ -125,24 +127,50 @@ class Sampler:
             group.clear()
             drawn.clear()
 
-        for i, text in enumerate(texts):
-            terms = list(Counter(text.split()).items())
+        for i, terms in _terms(texts, pairs):
             for k in range(0, len(terms), _PORTION):
                 part = terms[k : k + _PORTION]
                 if len(drawn) + len(part) > self.drawn:
                     finish()
                 places = list(map(self.place.get, part))
                 if None in places:
-                    for j, place in enumerate(places):
-                        if place is None:
-                            places[j] = drawn.setdefault(part[j], self.kept + len(drawn))
+                    new, kept = drawn.setdefault, self.kept
+                    places = [
+                        new(t, kept + len(drawn)) if p is None else p
+                        for p, t in zip(places, part, strict=True)
+                    ]
                 group.append((i, places))
         finish()
+        for side in zip(*pairs, strict=True):
+            each = list(side)
+            least[each] = np.minimum(least[each], least[len(texts) :])
+        least = least[: len(texts)]
         found = (least & ((1 << _NAME_BITS) - 1)).astype(np.uint16)
         found[least[:, 0] == none] = 0
         return found
 
 
+def _terms(
+    texts: list[str], pairs: Sequence[tuple[int, int]]
+) -> Iterator[tuple[int, list[tuple[str, int]]]]:
+    """(row, terms): a pair's common terms have a row behind those of the texts."""
+    paired: set[int] = set()
+    for k, (i, j) in enumerate(pairs, len(texts)):
+        one, other = Counter(texts[i].split()), Counter(texts[j].split())
+        common, only = [], []
+        of_other = other.get
+        for term in one.items():
+            (common if of_other(term[0]) == term[1] else only).append(term)
+        yield k, common
+        yield i, only
+        of_one = one.get
+        yield j, [term for term in other.items() if of_one(term[0]) != term[1]]
+        paired.update((i, j))
+    for i, text in enumerate(texts):
+        if i not in paired:
+            yield i, list(Counter(text.split()).items())
+
+
 @lru_cache(maxsize=2)
 def sampler(samples: int) -> Sampler:
     return Sampler(samples)
@@ -252,7 +280,9 @@ def edit_likeness(
             changed = [
                 edited(b[1], t) if f else "" for b, f, t in zip(before, follows, texts, strict=True)
             ]
-            signed = sign(texts + changed)
+            # an edited text begins as the text before it does
+            pairs = [(i - 1, len(texts) + i) for i in range(1, len(texts)) if follows[i]]
+            signed = sign(texts + changed, pairs)
             own, other = signed[: len(texts)], signed[len(texts) :]
             done = []
             for i, follow in enumerate(follows):

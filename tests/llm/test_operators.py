@@ -533,6 +533,22 @@ def test_families_of_near_copies_count_once():
 # --- 6: fingerprints ---
 
 
+def test_paired_texts_have_the_signatures_that_they_have_alone():
+    rng = random.Random(61)
+    own = [prose(rng, rng.randrange(0, 120), 60) for _ in range(30)] + ["", "a a b", " ", "x " * 9]
+    other = [fingerprints.edited(a, b) for a, b in zip(own, [*own[1:], ""], strict=True)]
+    pairs = [(i, len(own) + i) for i in range(len(own)) if i % 5]
+    alone = fingerprints.Sampler(64).signatures(own + other)
+    small = fingerprints.Sampler(64, kept=40, drawn=4096)
+    for _ in range(2):
+        assert (small.signatures(own + other, pairs) == alone).all()
+    # a common term is given out once
+    rows = Counter(i for i, _ in fingerprints._terms(["a b c", "a b d d"], [(0, 1)]))
+    assert rows == {0: 1, 1: 1, 2: 1}
+    terms = dict(fingerprints._terms(["a b c", "a b d d"], [(0, 1)]))
+    assert terms == {2: [("a", 1), ("b", 1)], 0: [("c", 1)], 1: [("d", 2)]}
+
+
 def test_likeness_is_the_jaccard_similarity():
     rng = random.Random(12)
     sampler = fingerprints.Sampler(256)
