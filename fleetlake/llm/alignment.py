@@ -38,6 +38,7 @@ from fleetlake.llm.words import BYTE_WORDS, Agreement, byte_characters, rows_in_
 
 CHUNK = 8 << 20  # bytes of text whose pairs are looked up together
 KEPT = 500_000  # pieces of texts that a worker remembers
+BLOCK = 1 << 14  # pieces encoded, or written as text, in one go: long texts take the libraries much memory
 SLICES = 1024
 BRANCHES = 16  # parts of a slice that are summed on their own first
 _cut = regex.compile(r"(?<=\S)(?= )").split
@@ -72,8 +73,9 @@ class Tokens:
             np.array([len(b) for _, b in pairs], np.int64),
         )
 
-    def then(self, other: Tokens) -> Tokens:
-        return Tokens(*(np.concatenate(x) for x in zip(self.arrays(), other.arrays(), strict=True)))
+    def then(self, *others: Tokens) -> Tokens:
+        arrays = (t.arrays() for t in (self, *others))
+        return Tokens(*(np.concatenate(x) for x in zip(*arrays, strict=True)))
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         return self.first, self.n_first, self.second, self.n_second
@@ -118,11 +120,16 @@ def align(
         part = 2 * np.searchsorted(both, np.concatenate((ends_a, ends_b))) + side
         order = np.argsort(part, kind="stable")
         last = np.append(np.diff(part[order]) != 0, True)[: len(part)]
-        sign = np.where(last, np.where(side[order] == 0, "|", ";"), ",").tolist()
-        ids = map(str, np.concatenate((tokens.first, tokens.second))[order].tolist())
-        signed = [i + s for i, s in zip(ids, sign, strict=True)]
+        sign = np.where(last, np.where(side[order] == 0, "|", ";"), ",")
+        ids = np.concatenate((tokens.first, tokens.second))[order]
         cuts = [0, *(upto_a + upto_b).tolist()]
-        groups = ["".join(signed[a:b])[:-1] for a, b in zip(cuts, cuts[1:], strict=False)]
+        for k in range(0, len(cuts) - 1, BLOCK):
+            some = cuts[k : k + BLOCK + 1]
+            begin, end = some[0], some[-1]
+            signs = zip(ids[begin:end].tolist(), sign[begin:end].tolist(), strict=True)
+            signed = [f"{i}{s}" for i, s in signs]
+            ranges = zip(some, some[1:], strict=False)
+            groups += ["".join(signed[a - begin : b - begin])[:-1] for a, b in ranges]
     return Pieces(numbers, starts, pairs.astype(np.uint64), groups)
 
 
@@ -205,17 +212,21 @@ class Aligner:
         At most KEPT pieces are kept, and the given ones: beyond it, earlier ones are forgotten.
         """
         if len(self.known) > KEPT:
-            self.known, self.kept = {}, Tokens.of([])
+            self.forget()
         new = [p for p in pieces if p not in self.known]
         plain = [not p[-1].isspace() and "▁" not in p and self.agree(p) for p in new]
         some = [p for p, x in zip(new, plain, strict=True) if x]
         rest = [p for p, x in zip(new, plain, strict=True) if not x]
         for piece in (*some, *rest):
             self.known[piece] = len(self.known)
-        self.kept = self.kept.then(self._together(some)).then(Tokens.of([self._one(p) for p in rest]))
+        made = [self._together(some[k : k + BLOCK]) for k in range(0, len(some), BLOCK)]
+        self.kept = self.kept.then(*made, Tokens.of([self._one(p) for p in rest]))
         at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
         return self.kept.take(at)
 
+    def forget(self) -> None:
+        self.known, self.kept = {}, Tokens.of([])
+
     def align(self, tokens: Tokens, with_groups: bool = False) -> Pieces:
         return align(tokens, self.first_sizes, self.second_sizes, with_groups)
 
@@ -560,6 +571,7 @@ def alignment(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, now = make(), None
+        aligner.forget()  # the worker may come from the first pass, and here no text is encoded
         counts, best, tokens, keys, texts = [], [], None, [], []
 
         def emit() -> Iterator[pa.RecordBatch]:

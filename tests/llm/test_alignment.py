@@ -152,3 +152,21 @@ def test_perfect_hash_is_minimal_and_verified(n):
     assert (table.keys[table.places(keys)] == keys).all()
     with pytest.raises(KeyError):
         table.places(np.array([np.uint64(1) << np.uint64(63)], np.uint64))
+
+
+def test_pieces_are_encoded_and_written_in_blocks(spark, monkeypatch):
+    """The libraries take much memory for a long text, so a chunk's pieces never meet in one."""
+    rows = [f" word{i} and{i % 7}, naïve{i}" for i in range(300)]
+    pieces = list(dict.fromkeys(p for t in rows for p in A.pieces_of(t)))
+    aligner = A.Aligner(FIRST, SECOND)
+    sizes, together = [], aligner._together
+    monkeypatch.setattr(aligner, "_together", lambda some: sizes.append(len(some)) or together(some))
+    monkeypatch.setattr(A, "BLOCK", 64)
+    tokens = aligner.tokens(pieces)
+    assert len(sizes) > 5 and max(sizes) <= 64
+    alone = A.Tokens.of([aligner._one(p) for p in pieces])
+    assert all((a == b).all() for a, b in zip(tokens.arrays(), alone.arrays(), strict=True))
+    in_blocks = aligner.align(tokens, with_groups=True).groups
+    monkeypatch.setattr(A, "BLOCK", 1 << 20)
+    assert aligner.align(tokens, with_groups=True).groups == in_blocks
+    assert len(in_blocks) == len(pieces)
