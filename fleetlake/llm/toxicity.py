@@ -10,9 +10,8 @@ which texts are rejected is read from labelled texts that a model has not seen.
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import exp
 
@@ -104,7 +103,21 @@ def labelled_sample(
     return sample.orderBy(F.xxhash64("text"), "text").toPandas()
 
 
-def one_each(found: list[set[str]], toxic: np.ndarray) -> list[tuple[int, int]]:
+def numbered(
+    texts: Iterable[str], number: dict[str, int], found: list[np.ndarray]
+) -> Iterator[set[str]]:
+    """The features of each text, which are also put into ``found`` as numbers.
+
+    Sets of words take the driver over ten times the memory of the numbers, so one is held at a time.
+    """
+    for text in texts:
+        words = features(text)
+        numbers = (number.setdefault(w, len(number)) for w in words)
+        found.append(np.fromiter(numbers, np.int32, len(words)))
+        yield words
+
+
+def one_each(found: Iterable[set[str]], toxic: np.ndarray) -> list[tuple[int, int]]:
     """(place, label) of one text of each family of near copies, with most of its labels.
 
     Families would teach their own words. Each text has 16 least hashes of its
@@ -126,21 +139,25 @@ def one_each(found: list[set[str]], toxic: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(2 * sum(given) >= len(given))) for i, given in labels.items()]
 
 
-def grade(found: list[set[str]], toxic: np.ndarray, telling: dict[str, float]) -> np.ndarray:
+def grade(found: list[np.ndarray], toxic: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Grades of labelled texts: 0 without the label, else by thirds of what tells them apart.
 
     Labelled texts are ranked by how many telling words of toxic texts (those with a
     positive difference in log odds) they have; those with none have the lowest grade.
+    ``marks`` tells by a word's number whether it is one.
     """
-    marks = {w for w, difference in telling.items() if difference > 0}
-    amount = np.array([len(words & marks) for words in found])
+    amount = np.array([marks[words].sum() for words in found])
     some = amount[(toxic == 1) & (amount > 0)]
     cuts = np.quantile(some, np.arange(1, GRADES) / GRADES) if len(some) else np.zeros(GRADES - 1)
     return np.where(toxic == 1, 1 + (amount[:, None] > cuts).sum(axis=1), 0)
 
 
 def tell_apart(
-    found: list[set[str]], toxic: np.ndarray, least: float, significant: float
+    found: list[np.ndarray],
+    toxic: np.ndarray,
+    number: dict[str, int],
+    least: float,
+    significant: float,
 ) -> dict[str, float]:
     """Words that tell the labels apart, with the difference of their log odds.
 
@@ -148,12 +165,14 @@ def tell_apart(
     with few texts a quarter, three at least, is enough), so that
     single documents aren't learnt by heart, and differ by ``significant`` standard errors.
     """
-    counts, totals = [Counter(), Counter()], [int((toxic == k).sum()) for k in (0, 1)]
+    totals = [int((toxic == k).sum()) for k in (0, 1)]
+    counts = np.zeros((2, len(number)), np.int64)
     for words, k in zip(found, toxic.tolist(), strict=True):
-        counts[k].update(words)
+        counts[k, words] += 1  # a text has a word once
     floors = [max(int(least * n), min(10, max(3, n // 4))) for n in totals]
-    words = sorted({w for k in (0, 1) for w, n in counts[k].items() if n >= floors[k]})
-    have = np.array([[counts[k][w] for w in words] for k in (0, 1)]).reshape(2, -1) + 0.5
+    enough = (counts >= np.array(floors)[:, None]).any(axis=0)
+    words = sorted(w for w, i in number.items() if enough[i])
+    have = counts[:, [number[w] for w in words]] + 0.5
     lack = np.array(totals)[:, None] + 1 - have
     difference = np.diff(np.log(have / lack), axis=0)[0]
     errors = np.sqrt((1 / have + 1 / lack).sum(axis=0))
@@ -200,26 +219,27 @@ def fit(
     toxic = sample["toxic"].to_numpy(int) if len(sample) else np.zeros(0, int)
     if not (toxic == 1).any() or not (toxic == 0).any():
         return Model({}, ())
-    found = [features(t) for t in sample["text"]]
-    families = one_each(found, toxic)
+    number: dict[str, int] = {}
+    found: list[np.ndarray] = []
+    families = one_each(numbered(sample["text"], number, found), toxic)
     found = [found[i] for i, _ in families]
     toxic = np.array([label for _, label in families])
     totals = [int((toxic == k).sum()) for k in (0, 1)]
     if not min(totals):
         return Model({}, ())
-    telling = tell_apart(found, toxic, least, significant)
-    grades = grade(found, toxic, telling)
+    telling = tell_apart(found, toxic, number, least, significant)
     vocabulary = sorted(telling)
+    marks, place = np.zeros(len(number), bool), np.full(len(number), -1)
+    for i, w in enumerate(vocabulary):
+        marks[number[w]], place[number[w]] = telling[w] > 0, i
+    grades = grade(found, toxic, marks)
     shares = np.array(totals) / len(found)
     weight = (np.clip(shares, RARE, 1 - RARE) / shares)[toxic]
     weight /= weight.sum()
-    number = {w: i for i, w in enumerate(vocabulary)}
-    row, column = array("l"), array("l")
-    for i, words in enumerate(found):
-        for w in sorted(words & number.keys()):
-            row.append(i)
-            column.append(number[w])
-    row, column = np.array(row, np.int64), np.array(column, np.int64)
+    places = [np.sort(place[words]) for words in found]
+    places = [p[np.searchsorted(p, 0) :] for p in places]
+    row = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    column = np.concatenate(places)
     n, m = len(found), len(vocabulary)
     share = (weight[:, None] * (grades[:, None] >= np.arange(1, GRADES + 1))).sum(axis=0)
     start = np.log((1 - share + 1e-3) / (share + 1e-3))
