@@ -12,7 +12,6 @@ version lists those that it is made of.
 from __future__ import annotations
 
 import json
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -64,10 +63,11 @@ class IntegrityError(Exception):
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory name in the folder that the cluster shares for such data.
 
-    That is ``spark.checkpoint.dir``, or the warehouse where none is set. Only a session
-    without executors of its own (as in tests) makes a folder for all that it stores.
-    On a cluster, a folder on a machine's own disk is refused; a folder of a file
-    system that a standalone cluster's machines mount is taken if its executors see it.
+    That is ``spark.checkpoint.dir``, or the warehouse where no such folder is set or
+    the executors don't share it. Only a session without executors of its own (as in
+    tests) makes a folder for all that it stores. On a cluster, a folder on a machine's own
+    disk is passed over; a folder of a file system that a standalone cluster's machines
+    mount is taken if its executors write there and the driver sees it.
     """
     master = spark.sparkContext.master
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -78,8 +78,9 @@ def scratch_dir(spark: SparkSession) -> str:
                 _local_scratch[application] = tempfile.mkdtemp(prefix="fleetlake-")
             base = f"file://{_local_scratch[application]}"
     else:
-        base = base or spark.conf.get("spark.sql.warehouse.dir", None)
-        if not base or not _is_shared(spark, base):
+        folders = (base, spark.conf.get("spark.sql.warehouse.dir", None))
+        base = next((f for f in folders if f and _is_shared(spark, f)), None)
+        if not base:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/fleetlake-{uuid.uuid4().hex}"
 
@@ -95,19 +96,25 @@ def _is_shared(spark: SparkSession, path: str) -> bool:
 
 
 def _is_seen(spark: SparkSession, folder, system) -> bool:
-    """Whether tasks on the executors see what the driver puts into a folder; asked once."""
+    """Whether the driver sees what tasks on the executors write into its folder; asked once."""
     asked = (spark.sparkContext.applicationId, folder.toString())
     if asked not in _seen:
-        marker = spark._jvm.org.apache.hadoop.fs.Path(folder, f"fleetlake-{uuid.uuid4().hex}")
-        place = marker.toUri().getPath()
-        system.mkdirs(folder)
-        system.createNewFile(marker)
+        trial = spark._jvm.org.apache.hadoop.fs.Path(folder, f"fleetlake-{uuid.uuid4().hex}")
+        place = trial.toUri().getPath()
+
+        def wrote(task: int) -> bool:
+            try:
+                with open(f"{place}/{task}", "w"):
+                    return True
+            except OSError:
+                return False
+
         tasks = max(2, spark.sparkContext.defaultParallelism)
-        exists = spark.sparkContext.parallelize(range(tasks), tasks).map(
-            lambda _, place=place: os.path.exists(place)
-        )
-        _seen[asked] = all(exists.collect())
-        system.delete(marker, False)
+        _seen[asked] = False
+        if system.mkdirs(trial):
+            done = spark.sparkContext.parallelize(range(tasks), tasks).map(wrote).collect()
+            _seen[asked] = all(done) and len(system.listStatus(trial)) == tasks
+            system.delete(trial, True)
     return _seen[asked]
 
 

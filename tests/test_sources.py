@@ -230,3 +230,37 @@ def test_without_a_checkpoint_folder_a_cluster_uses_the_warehouse(spark, tmp_pat
     for master in ("local-cluster[3,4,1024]", "spark://host:7077"):
         found = scratch_dir(Cluster(f"file://{tmp_path}/warehouse", master=master))
         assert found.startswith(f"file://{tmp_path}/warehouse/fleetlake-")
+
+
+def test_a_checkpoint_folder_that_executors_do_not_share_gives_way_to_the_warehouse(spark, tmp_path):
+    """Each machine has its own folder of that name: tasks write, and the driver sees nothing."""
+
+    class Own:
+        def __init__(self, tasks):
+            self.tasks = tasks
+
+        def map(self, _):
+            return self
+
+        def collect(self):
+            return [True] * self.tasks
+
+    class Cluster(Session):
+        _jvm, _jsc, defaultParallelism, asked = spark._jvm, spark._jsc, 3, 0
+
+        def get(self, name, default):
+            return {
+                "spark.checkpoint.dir": f"{tmp_path}/checkpoints",
+                "spark.sql.warehouse.dir": f"file://{tmp_path}/warehouse",
+            }.get(name, default)
+
+        def parallelize(self, values, parts):
+            self.asked += 1
+            return Own(parts) if self.asked == 1 else spark.sparkContext.parallelize(values, parts)
+
+    for master in ("local-cluster[3,4,1024]", "spark://host:7077"):
+        cluster = Cluster(tmp_path, master=master)
+        for _ in range(2):
+            assert scratch_dir(cluster).startswith(f"file://{tmp_path}/warehouse/fleetlake-")
+        assert cluster.asked == 2  # once per folder
+    assert not os.listdir(tmp_path / "checkpoints") and not os.listdir(tmp_path / "warehouse")
