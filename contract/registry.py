@@ -15,7 +15,17 @@ from fleetlake.operators.joins import BROADCAST_ROWS
 from fleetlake.plans import gold, rating, reports
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
-from fleetlake.sources.layers import Layer, scratch_dir, side_by_side, write_table
+from fleetlake.sources.layers import (
+    Layer,
+    scratch_dir,
+    shuffles_dropped,
+    side_by_side,
+    write_table,
+)
+
+# One by one, as each shuffles its sources whole.
+LARGE = ("rentals", "payments", "car_condition")
+ROWS_PER_FILE = 200_000
 
 
 def clean(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +49,15 @@ def _raw_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
         df = model.dirty(spark, sf_dir, table) if dirty else model.view(spark, sf_dir, table)
         if table == "car_condition" and not dirty:  # a raw time is at most 20 characters long
             df = df.withColumn("entry_date", F.date_trunc("second", "entry_date").cast("string"))
-        csv.write_csv(df, csv.table_path(directory, table))
+        csv.write_csv(df, csv.table_path(directory, table), rows_per_file=ROWS_PER_FILE)
+
+    def write_large() -> None:
+        for table in LARGE:
+            write(table)
 
-    side_by_side(spark, {table: partial(write, table) for table in schemas.TABLES})
+    work = {table: partial(write, table) for table in schemas.TABLES if table not in LARGE}
+    with shuffles_dropped(spark):
+        side_by_side(spark, work | {"large": write_large})
     return directory
 
 
@@ -106,6 +122,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_dir(spark)
     source = _raw_files(spark, sf_dir, dirty=True)
     jobs.clean_all(spark, source, lake, run_ts=model.RUN_TS)
+    csv.remove(spark, source)  # written above, and read whole by now
     silver = Layer(spark, lake, "processed").tables(schemas.TABLES)
     typed = {t: cast_silver(t, df) for t, df in silver.items()}
     jobs.refresh_gold(typed, Layer(spark, lake, "gold"))

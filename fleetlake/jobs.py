@@ -27,7 +27,15 @@ from fleetlake.plans import changes, gold, reports
 from fleetlake.plans.clean import CLEANERS, READ_AGAIN
 from fleetlake.plans.silver import cast_silver
 from fleetlake.sources import csv
-from fleetlake.sources.layers import NULL_PART, Layer, Patch, scratch_dir, write_table
+from fleetlake.sources.layers import (
+    NULL_PART,
+    Layer,
+    Patch,
+    kept_in,
+    scratch_dir,
+    shuffles_dropped,
+    write_table,
+)
 
 GOLD_TABLES = list(schemas.GOLD_PRIMARY_KEYS)
 MONTHS = "months_of_fact_rentals"  # what each month of the fact was made of
@@ -64,20 +72,20 @@ def clean_all(
 
     With ``csv_to`` the cleaned tables are written there as CSV, too.
 
-    Tables that are read more than once are first copied, as text, to Parquet:
-    their medians then read one column each, and the CSV is parsed once.
+    Columns that are read more than once, for medians and shared licences, are first
+    copied, as text, to Parquet; so the CSV is parsed twice.
     """
     csv.check_sources(spark, source)
     run_ts = run_ts or datetime.now()
     copies = scratch_dir(spark)
+    keep = kept_in(copies)
 
     def build(table: str) -> DataFrame:
         path = csv.table_path(source, table)
         df = csv.read_source(spark, path, multi_line=multi_line)
-        if table in READ_AGAIN:
-            write_table(df, f"{copies}/{table}")
-            df = spark.read.parquet(f"{copies}/{table}")
         extra = {"as_of": as_of} if table == "customers" else {}
+        if table in READ_AGAIN:
+            extra["copy"] = keep(df.select(*READ_AGAIN[table]))
         return CLEANERS[table](df, run_ts=run_ts, **extra)
 
     stage = {t: lambda _stored, t=t: build(t) for t in schemas.TABLES}
@@ -152,15 +160,28 @@ def refresh_gold(silver, layer: Layer, *, stable_keys: bool = False) -> dict[str
 
     With ``stable_keys``, each dimension's key registry is a table of the layer: ids
     keep the keys of the published version, and new ones are numbered above them.
+
+    The fact is made in steps, each stored: payments by rental, the finds of large lookups, the
+    rows, and these by month. So no two of them have their shuffle files on disk at once.
     """
+    scratch = scratch_dir(layer.spark)
+    steps = f"{scratch}/steps"
     dims = {name: lambda _stored, b=b: b(silver) for name, b in gold.DIMENSIONS.items()}
     stages = _keyed_stages(silver, layer) if stable_keys else [dims]
 
     def fact(stored):
-        rows = gold.fact_rentals(silver["rentals"], silver["payments"], stored)
-        return rows.withColumn("rental_month", F.trunc("rental_date", "MM"))
+        rows = gold.fact_rentals(
+            silver["rentals"], silver["payments"], stored, keep=kept_in(steps)
+        )
+        rows = rows.withColumn("rental_month", F.trunc("rental_date", "MM"))
+        rows = kept_in(f"{scratch}/rows")(rows)
+        csv.remove(layer.spark, steps)
+        return rows
 
-    return layer.refresh([*stages, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
+    try:
+        return layer.refresh([*stages, {"fact_rentals": fact}], _gold_check, FACT_LAYOUT)
+    finally:
+        csv.remove(layer.spark, scratch)
 
 
 def refresh_gold_changes(silver, layer: Layer) -> dict[str, int]:
@@ -198,7 +219,8 @@ def refresh_gold_changes(silver, layer: Layer) -> dict[str, int]:
 
     try:
         # read for the digests and for the fact
-        write_table(gold.payment_rollup(silver["payments"]), f"{scratch}/rollup")
+        with shuffles_dropped(layer.spark):
+            write_table(gold.payment_rollup(silver["payments"]), f"{scratch}/rollup")
         rollup = layer.spark.read.parquet(f"{scratch}/rollup")
         state = {MONTHS: lambda _stored: changes.month_digests(silver["rentals"], rollup)}
         stages = [*_keyed_stages(silver, layer), state, {"fact_rentals": fact}]

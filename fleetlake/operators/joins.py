@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 0.002
 
+# Takes a table and gives back its rows, stored or as they are.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
     """Rows of each table, counted by one job; the result has one row per table."""
@@ -64,6 +71,8 @@ def lookup_all(
     lookups: list[tuple[str, DataFrame]],
     row_id: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    by_id: DataFrame | None = None,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
     """Left join each ``(fk, lookup)``; the first column of a lookup is its unique key.
 
@@ -74,23 +83,34 @@ def lookup_all(
     nor lose a key. Rows with an id, which should mostly be unique, are shuffled once by
     it, however many large lookups there are; rows without one go by their keys, of which each
     combination is looked up once.
+
+    ``by_id`` is a table with at most one row per ``row_id``, which is left joined, too, where the
+    rows lie by their id; its columns come last. ``keep`` may store what large lookups find.
     """
     rows = row_counts({str(i): table for i, (_, table) in enumerate(lookups)})
     large = [pair for i, pair in enumerate(lookups) if rows[str(i)] > broadcast_rows]
+    more = [] if by_id is None else [f for f in by_id.schema if f.name != row_id]
     result = df
+    if not large and more:
+        result = result.join(by_id, row_id, "left")
     if large:
         fks = list(dict.fromkeys(fk for fk, _ in large))
         hot = hot_keys(df, fks)
         nameless = df.where(F.col(row_id).isNull())
-        result = _lookup_large(df.where(F.col(row_id).isNotNull()), F.col(row_id), large, hot)
-        by_keys = _lookup_large(nameless, F.xxhash64(*fks), large, hot, repeats=True)
+        named = df.where(F.col(row_id).isNotNull())
+        result = _lookup_large(named, F.col(row_id), large, hot, keep)
+        by_keys = _lookup_large(nameless, F.xxhash64(*fks), large, hot, keep, repeats=True)
+        if more:  # no row without an id meets another by it
+            result = result.join(by_id, row_id, "left")
+            by_keys = by_keys.withColumns({f.name: F.lit(None).cast(f.dataType) for f in more})
         result = result.unionByName(by_keys)
     for i, (fk, table) in enumerate(lookups):
         if rows[str(i)] <= broadcast_rows:
             key = f"_key_{i}"
             renamed = table.withColumnRenamed(table.columns[0], key)
             result = result.join(F.broadcast(renamed), F.col(fk) == F.col(key), "left").drop(key)
-    return result.select(*df.columns, *(c for _, t in lookups for c in t.columns[1:]))
+    found = [c for _, t in lookups for c in t.columns[1:]]
+    return result.select(*df.columns, *found, *(f.name for f in more))
 
 
 def _lookup_large(
@@ -98,6 +118,7 @@ def _lookup_large(
     name: Column,
     lookups: list[tuple[str, DataFrame]],
     hot: Mapping[str, list],
+    keep: Keep = as_it_is,
     repeats: bool = False,
 ) -> DataFrame:
     """Lookups whose keys and columns have equal types share one shuffle of the keys.
@@ -141,7 +162,7 @@ def _lookup_large(
             for c in ("_k", *(f"_{n}" for n in range(len(table.columns) - 1)))
         ]
         # put where the join wants them; little is left to combine before
-        gathered = met.repartition("_row").groupBy("_row", "_fks").agg(*found)
+        gathered = keep(met.repartition("_row").groupBy("_row", "_fks").agg(*found))
         # not a join key, so that rows stay where their id has put them
         same = F.when(combination == F.col("_fks"), True).otherwise(False)
         result = result.join(gathered, (name == F.col("_row")) & same, "left")

@@ -105,8 +105,11 @@ def medians(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     )
 
 
-def fill_with_median(df: DataFrame, names: list[str]) -> DataFrame:
-    """Replace nulls of double columns by the column's median over the whole table."""
-    found = medians(df, {n: F.col(n) for n in names})
+def fill_with_median(df: DataFrame, names: list[str], seen: DataFrame | None = None) -> DataFrame:
+    """Replace nulls of double columns by the column's median over the whole table.
+
+    The medians are read from ``seen``, a copy of these columns, if there is one.
+    """
+    found = medians(df if seen is None else seen, {n: F.col(n) for n in names})
     value = found.select(F.struct(*names)).scalar()
     return df.withColumns({n: F.coalesce(F.col(n), value.getField(n)) for n in names})

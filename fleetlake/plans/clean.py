@@ -3,6 +3,8 @@
 No job drops a row. Columns that a job does not mention pass through as they
 came; the silver layer types them. Every job is a narrow pass over the scan,
 plus a small aggregate where a median is filled in or duplicates are found.
+These may be found in a stored copy of the columns that they need (``copy``), so that a
+source which is slow to read is read for them but once.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from fleetlake.functions import columns as C
 from fleetlake.operators.medians import fill_with_median
 
 
-def _amounts(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+def _amounts(
+    df: DataFrame, bounds: dict[str, tuple[float, float]], copy: DataFrame | None = None
+) -> DataFrame:
     """Coerce, drop the sign, fill with the median (of the unbounded values), then bound."""
-    parsed = df.withColumns({c: F.abs(C.number(F.col(c))) for c in bounds})
-    filled = fill_with_median(parsed, list(bounds))
+    sizes = {c: F.abs(C.number(F.col(c))) for c in bounds}
+    seen = None if copy is None else copy.select(*(v.alias(c) for c, v in sizes.items()))
+    filled = fill_with_median(df.withColumns(sizes), list(bounds), seen)
     return filled.withColumns(
         {c: C.clip(F.col(c), float(low), float(high)) for c, (low, high) in bounds.items()}
     )
@@ -37,8 +42,14 @@ def clean_locations(df: DataFrame, *, run_ts: datetime) -> DataFrame:
 CAR_PRICE_BOUNDS = {"purchase_price": (10_000, 200_000), "daily_rental_price": (10, 500)}
 
 
-def clean_cars(df: DataFrame, *, run_ts: datetime, price_bounds=CAR_PRICE_BOUNDS) -> DataFrame:
-    cleaned = _amounts(df, price_bounds).withColumns(
+def clean_cars(
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    price_bounds=CAR_PRICE_BOUNDS,
+    copy: DataFrame | None = None,
+) -> DataFrame:
+    cleaned = _amounts(df, price_bounds, copy).withColumns(
         {
             "purchase_date": C.iso_date(F.col("purchase_date")),
             "year": C.whole(C.number(F.col("year")), 2020, 2010, 2024),
@@ -49,16 +60,19 @@ def clean_cars(df: DataFrame, *, run_ts: datetime, price_bounds=CAR_PRICE_BOUNDS
     return _stamped(cleaned, run_ts)
 
 
-def mark_shared_licenses(df: DataFrame) -> DataFrame:
+def mark_shared_licenses(df: DataFrame, copy: DataFrame | None = None) -> DataFrame:
     """Append the customer id to every licence that several rows hold; null counts as ''.
 
     The licences held once are found by aggregation, and rows are matched to
     them by id and licence. So neither step brings the rows of one licence
     together, even if most customers have none.
     """
-    filled = df.withColumn("driving_license", F.coalesce("driving_license", F.lit("")))
+    license_ = F.coalesce("driving_license", F.lit(""))
+    filled = df.withColumn("driving_license", license_)
     single = (
-        filled.groupBy("driving_license")
+        (df if copy is None else copy)
+        .withColumn("driving_license", license_)
+        .groupBy("driving_license")
         .agg(F.count("*").alias("_holders"), F.min("customer_id").alias("_only"))
         .where("_holders = 1")
         .select(F.col("driving_license").alias("_license"), "_only")
@@ -77,7 +91,13 @@ def mark_shared_licenses(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_customers(df: DataFrame, *, run_ts: datetime, as_of: date | None = None) -> DataFrame:
+def clean_customers(
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    as_of: date | None = None,
+    copy: DataFrame | None = None,
+) -> DataFrame:
     as_of = as_of or run_ts.date()
     dates = ["date_of_birth", "license_issue_date", "license_expiry_date", "registration_date"]
     cleaned = df.withColumns({c: C.iso_date(F.col(c)) for c in dates}).withColumns(
@@ -86,15 +106,21 @@ def clean_customers(df: DataFrame, *, run_ts: datetime, as_of: date | None = Non
             "email": C.email(F.col("email"), "unknown@example.com"),
         }
     )
-    return _stamped(mark_shared_licenses(cleaned), run_ts)
+    return _stamped(mark_shared_licenses(cleaned, copy), run_ts)
 
 
 # Accepted range of salaries.
 SALARY_BOUNDS = {"salary": (500, 5_000)}
 
 
-def clean_employees(df: DataFrame, *, run_ts: datetime, salary_bounds=SALARY_BOUNDS) -> DataFrame:
-    cleaned = _amounts(df, salary_bounds).withColumns(
+def clean_employees(
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    salary_bounds=SALARY_BOUNDS,
+    copy: DataFrame | None = None,
+) -> DataFrame:
+    cleaned = _amounts(df, salary_bounds, copy).withColumns(
         {
             "hire_date": C.iso_date(F.col("hire_date")),
             "is_active": C.flag(F.col("is_active"), True),
@@ -112,9 +138,15 @@ TARIFF_BOUNDS = {
 }
 
 
-def clean_tariffs(df: DataFrame, *, run_ts: datetime, price_bounds=TARIFF_BOUNDS) -> DataFrame:
+def clean_tariffs(
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    price_bounds=TARIFF_BOUNDS,
+    copy: DataFrame | None = None,
+) -> DataFrame:
     limits = ["km_included_per_day", "min_rental_days", "max_rental_days"]
-    cleaned = _amounts(df, price_bounds).withColumns(
+    cleaned = _amounts(df, price_bounds, copy).withColumns(
         {c: C.whole(C.number(F.col(c)), 1) for c in limits}
     )
     cleaned = cleaned.withColumn(
@@ -162,8 +194,14 @@ def clean_rentals(df: DataFrame, *, run_ts: datetime) -> DataFrame:
 PAYMENT_BOUNDS = {"amount": (0, 10_000)}
 
 
-def clean_payments(df: DataFrame, *, run_ts: datetime, amount_bounds=PAYMENT_BOUNDS) -> DataFrame:
-    cleaned = _amounts(df, amount_bounds).withColumns(
+def clean_payments(
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    amount_bounds=PAYMENT_BOUNDS,
+    copy: DataFrame | None = None,
+) -> DataFrame:
+    cleaned = _amounts(df, amount_bounds, copy).withColumns(
         {
             "payment_date": C.iso_timestamp(F.col("payment_date")),
             "status": F.coalesce("status", F.lit("Completed")),
@@ -179,12 +217,16 @@ CONDITION_BOUNDS = {"cost": (0, 20_000)}
 
 
 def clean_car_condition(
-    df: DataFrame, *, run_ts: datetime, cost_bounds=CONDITION_BOUNDS
+    df: DataFrame,
+    *,
+    run_ts: datetime,
+    cost_bounds=CONDITION_BOUNDS,
+    copy: DataFrame | None = None,
 ) -> DataFrame:
     dates = {c: C.iso_timestamp(F.col(c)) for c in ("entry_date", "repair_date")}
     repaired = C.not_before(F.col("repair_date"), F.col("entry_date")).cast("date")
     cleaned = (
-        _amounts(df.withColumns(dates), cost_bounds)
+        _amounts(df.withColumns(dates), cost_bounds, copy)
         .withColumn("repair_date", repaired)
         .withColumns(
             {
@@ -211,5 +253,12 @@ CLEANERS = {
     "car_condition": clean_car_condition,
 }
 
-# Jobs that read their input more than once, to find medians or shared licences.
-READ_AGAIN = {"cars", "customers", "employees", "tariffs", "payments", "car_condition"}
+# The columns in which jobs find medians or shared licences, before they read the whole table.
+READ_AGAIN = {
+    "cars": list(CAR_PRICE_BOUNDS),
+    "customers": ["customer_id", "driving_license"],
+    "employees": list(SALARY_BOUNDS),
+    "tariffs": list(TARIFF_BOUNDS),
+    "payments": list(PAYMENT_BOUNDS),
+    "car_condition": list(CONDITION_BOUNDS),
+}

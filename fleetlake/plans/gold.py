@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.functions import columns as C
-from fleetlake.operators.joins import BROADCAST_ROWS, lookup_all
+from fleetlake.operators.joins import BROADCAST_ROWS, Keep, as_it_is, lookup_all
 from fleetlake.operators.keys import surrogate_key
 
 # Puts a key of the second name, by the id of the first, before a table's columns.
@@ -124,8 +124,11 @@ def with_payments(rentals: DataFrame, payments: DataFrame) -> DataFrame:
 
 def with_rollup(rentals: DataFrame, rollup: DataFrame) -> DataFrame:
     """Both sides hold a rental at most once, so the join has no hot key."""
+    return _with_totals(rentals.join(rollup, "rental_id", "left"))
+
+
+def _with_totals(joined: DataFrame) -> DataFrame:
     totals = ["total_paid", "payment_count", "unique_payment_methods"]
-    joined = rentals.join(rollup, "rental_id", "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in totals}).withColumn(
         "total_paid", F.col("total_paid").cast("decimal(18,2)")
     )
@@ -144,9 +147,13 @@ def with_date_keys(rentals: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def with_dim_keys(
-    rentals: DataFrame, dims: Mapping[str, DataFrame], broadcast_rows: int = BROADCAST_ROWS
+    rentals: DataFrame,
+    dims: Mapping[str, DataFrame],
+    broadcast_rows: int = BROADCAST_ROWS,
+    rollup: DataFrame | None = None,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
-    """Surrogate keys of car, client, employee, tariff and both locations."""
+    """Surrogate keys of car, client, employee, tariff and both locations, then the rollup's columns."""
 
     def pairs(dim: str, natural: str, key: str, name: str) -> DataFrame:
         return dims[dim].select(natural, F.col(key).alias(name))
@@ -165,7 +172,7 @@ def with_dim_keys(
             pairs("dim_location", "location_id", "location_key", "return_location_key"),
         ),
     ]
-    return lookup_all(rentals, lookups, "rental_id", broadcast_rows)
+    return lookup_all(rentals, lookups, "rental_id", broadcast_rows, rollup, keep)
 
 
 def with_duration(rentals: DataFrame) -> DataFrame:
@@ -178,13 +185,15 @@ def fact_rentals(
     payments: DataFrame,
     dims: Mapping[str, DataFrame],
     broadcast_rows: int = BROADCAST_ROWS,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
     """One row per rental: dimension keys, measures and the payment rollup.
 
-    Rentals and payments meet in one join on the unique rental id; the lookups
-    come first, where they widen no shuffled row by more than a key.
+    Rentals and payments meet in one join on the unique rental id, by which rentals
+    are shuffled once for it and the large lookups. ``keep`` may store the payments by
+    rental and what large lookups find.
     """
-    return fact_of_rollup(rentals, payment_rollup(payments), dims, broadcast_rows)
+    return fact_of_rollup(rentals, keep(payment_rollup(payments)), dims, broadcast_rows, keep)
 
 
 def fact_of_rollup(
@@ -192,11 +201,12 @@ def fact_of_rollup(
     rollup: DataFrame,
     dims: Mapping[str, DataFrame],
     broadcast_rows: int = BROADCAST_ROWS,
+    keep: Keep = as_it_is,
 ) -> DataFrame:
     """The fact from payments that are rolled up already."""
-    keyed = with_dim_keys(rentals, dims, broadcast_rows)
+    keyed = with_dim_keys(rentals, dims, broadcast_rows, rollup, keep)
     keyed = with_date_keys(with_duration(keyed), dims["dim_date"])
-    return with_rollup(keyed, rollup).select(
+    return _with_totals(keyed).select(
         "rental_id", "car_key", "client_key", "employee_key", "tariff_key",
         "pickup_location_key", "return_location_key", "rental_date_key",
         "actual_return_date_key", "rental_days", "total_cost", "base_cost",

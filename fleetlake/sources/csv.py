@@ -142,12 +142,18 @@ def read_raw(
     return df.select(*(C.strict(F.col(c), k).alias(c) if c in decimals else c for c, k in kinds.items()))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that the readers above give back unchanged."""
+def write_csv(df: DataFrame, path: str, *, rows_per_file: int | None = None) -> None:
+    """CSV that the readers above give back unchanged.
+
+    With ``rows_per_file`` the files are compressed. A reader can't split such a file
+    among tasks, so none has more rows than that.
+    """
     options = _FORMAT | {
         "nullValue": "",
         "emptyValue": '""',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
+    if rows_per_file:
+        options |= {"compression": "gzip", "maxRecordsPerFile": rows_per_file}
     df.write.mode("overwrite").options(**options).csv(path)

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import json
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -29,6 +31,11 @@ from fleetlake.sources.csv import path_exists, remove
 _local_scratch: dict[str, str] = {}
 _seen: dict[tuple[str, str], bool] = {}
 
+# Per session: how many blocks drop shuffles just now, and what the setting was before them.
+_dropping: dict[str, tuple[int, str | None]] = {}
+_dropping_lock = threading.Lock()
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # The folder name that Spark gives to a partition of the null value.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -44,6 +51,32 @@ class Patch:
 Build = Callable[[Mapping[str, DataFrame]], DataFrame | Patch]
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """In this block the shuffle files of a query go when it ends, whatever their number.
+
+    Otherwise they stay until the driver happens to collect the plan as garbage, and those
+    of a whole refresh add up. Blocks may be nested and run at once in one session; the
+    last one to end restores the setting.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _dropping_lock:
+        blocks, before = _dropping.get(session) or (0, spark.conf.get(_DROP_SHUFFLES, None))
+        _dropping[session] = blocks + 1, before
+        spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _dropping_lock:
+            blocks, before = _dropping.pop(session)
+            if blocks > 1:
+                _dropping[session] = blocks - 1, before
+            elif before is None:
+                spark.conf.unset(_DROP_SHUFFLES)
+            else:
+                spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def side_by_side(spark: SparkSession, work: Mapping[str, Callable]) -> dict:
     """Run independent jobs at once, so that small ones fill what large ones leave idle.
 
@@ -123,6 +156,7 @@ def write_table(
 ) -> int:
     """Write Parquet and return the rows written, counted by the write itself.
 
+    Zstandard takes about two thirds of the disk that Spark's own choice does, and no more time.
     With ``partition_by``, rows are rebalanced by that column first: adaptive
     execution splits a large partition value over several tasks and files.
     """
@@ -133,10 +167,24 @@ def write_table(
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    writer.parquet(path, compression="zstd")
     return seen.get["rows"]
 
 
+def kept_in(folder: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that stores a table in a folder and gives it back as stored.
+
+    What follows reads the files, so the shuffles before them are gone by then.
+    """
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        write_table(df, path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
 def _claim(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it is there already."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -234,6 +282,10 @@ class Layer:
         a copy. Rows are counted of the whole table. Such a refresh fails if two others were
         published meanwhile, as what it keeps may be removed then.
         """
+        with shuffles_dropped(self.spark):
+            return self._refresh(stages, check, layout)
+
+    def _refresh(self, stages, check, layout) -> dict[str, int]:
         published = self._published()
         version = max(published, default=0) + 1
         while not _claim(self.spark, f"{self.path}/_claims/{version}"):

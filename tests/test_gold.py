@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake import schemas
 from fleetlake.plans import gold
+from fleetlake.sources.layers import kept_in
 from tests.conftest import final_plan
 
 D = date
@@ -119,3 +120,17 @@ def test_a_busy_rental_is_combined_before_the_shuffle(spark):
     rolled = gold.payment_rollup(payments)
     assert tuple(rolled.first()) == (1, 1000, 1000, 1)
     assert "partial_sum" in rolled._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_a_fact_made_in_stored_steps(spark, silver, broadcast_rows, tmp_path):
+    dims = gold.build_dims(silver)
+    nameless = silver["rentals"].withColumn("rental_id", F.lit(None).cast("bigint"))
+    rentals = silver["rentals"].unionByName(nameless)
+    payments = silver["payments"].unionByName(silver["payments"].withColumn("rental_id", F.lit(None).cast("bigint")))
+    whole = gold.fact_rentals(rentals, payments, dims)
+    steps = gold.fact_rentals(rentals, payments, dims, broadcast_rows, kept_in(str(tmp_path)))
+    assert steps.columns == whole.columns
+    assert sorted(map(repr, steps.collect())) == sorted(map(repr, whole.collect()))
+    # payments by rental; what is found for rows with an id and without one, of one type of key
+    assert len(list(tmp_path.iterdir())) == (1 if broadcast_rows else 3)

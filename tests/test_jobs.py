@@ -1,10 +1,13 @@
 """The jobs end to end on a directory of small CSV files."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
+from contract import registry
 from fleetlake import jobs, schemas
+from fleetlake.sources import csv
 from fleetlake.sources.layers import IntegrityError, Layer
 
 FILES = {
@@ -146,3 +149,63 @@ def test_keys_stay_over_refreshes(spark, source, tmp_path):
     assert refresh(fewer, True) == ({5: 2, 3: 3}, {1: 3, 2: 2})
     assert Layer(spark, lake, "gold").table("keys_client").count() == 3
     assert refresh(more, True)[0] == {1: 1, 5: 2, 3: 3}
+
+
+def driver_tables(spark, directory):
+    """A few rows of the tables that the registered queries read."""
+    tables = {
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                     [(i, f"C{i}", i % 3, 1.5 * i, "AUTO") for i in range(5)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+                     [(i, f"S{i}", i % 3, 900.0 * i) for i in range(4)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                 [(i, "hot bolt", "B", "T", i, 900.0 + i) for i in range(6)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, "
+                   "o_orderpriority string",
+                   [(i, i % 5, "FOP"[i % 3], 100.0 + i, f"1996-0{1 + i % 3}-05", "1-URGENT") for i in range(1, 31)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                     "l_linestatus string, l_shipdate string",
+                     [(i, (i + k) % 6, (i + k) % 4, k, 2.0, 40.0 + k, 0.1, 0.0, "ANR"[k % 3], "FO"[i % 2], "1996-05-01")
+                      for i in range(1, 30) for k in (1, 2)]),
+        "events": ("event_id long, ts string, user_id long, event_type string, value double, props string",
+                   [(i, "2024-01-01 00:00:11", i % 6, "error", 2.5 * i, f'{{"k": {i}}}') for i in range(20)]),
+    }
+    for name, (kinds, rows) in tables.items():
+        df = spark.createDataFrame(rows, kinds)
+        times = {c: df[c].cast("timestamp") for c in ("o_orderdate", "l_shipdate", "ts") if c in df.columns}
+        df.withColumns(times).write.parquet(f"{directory}/{name}.parquet")
+    return str(directory)
+
+
+def test_a_full_refresh_keeps_its_layers_only(spark, tmp_path, monkeypatch):
+    """Its CSV files are compressed and go when they are read; steps and copies go, too."""
+    tables = driver_tables(spark, tmp_path / "tables")
+    scratch = tmp_path / "scratch"
+    made = []
+
+    def folder(_spark):
+        made.append(scratch / str(len(made)))
+        return f"file://{made[-1]}"
+
+    kept, remove = [], csv.remove
+
+    def removed(session, path):
+        files = sorted(str(f) for f in Path(path.removeprefix("file://")).rglob("part-*"))
+        kept.append([f for f in files if ".csv" in f])
+        remove(session, path)
+
+    monkeypatch.setattr(registry, "scratch_dir", folder)
+    monkeypatch.setattr(jobs, "scratch_dir", folder)
+    monkeypatch.setattr(csv, "remove", removed)
+    months = {str(r["month"]): float(r["total_revenue"]) for r in registry.full_refresh(spark, tables).collect()}
+    # all 30 rentals: no total is negative, 'abc' or null at these ids but for 50, 53 and 59
+    assert months == {
+        f"2024-0{1 + m}-05"[:8] + "01": sum(100.0 + i for i in range(1, 31) if i % 3 == m) for m in range(3)
+    }
+    sources = [files for files in kept if files]
+    assert len(sources) == 1 and all(f.endswith(".csv.gz") for f in sources[0])
+    assert {Path(f).parent.name for f in sources[0]} == {f"{t}.csv" for t in schemas.TABLES}
+    left = {f.relative_to(scratch).parts[1] for f in scratch.rglob("part-*")}
+    assert left == {"processed", "gold"} and len(made) == 4
+    assert all(".zstd.parquet" in f.name for f in scratch.rglob("part-*") if "/version=" in str(f) and "_schemas" not in str(f))

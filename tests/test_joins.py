@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.operators.joins import hot_keys, lookup_all, row_counts, spread_lookup
+from fleetlake.sources.layers import kept_in
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +109,20 @@ def test_rows_without_ids_on_one_key(spark, shuffled_joins):
     lookups = [(fk, spark.range(8).selectExpr("id AS pk", f"id * 10 AS {fk}_found")) for fk in ("fk", "fk2")]
     small = sorted(map(repr, lookup_all(df, lookups, "row_id").collect()))
     assert small == sorted(map(repr, lookup_all(df, lookups, "row_id", broadcast_rows=0).collect()))
+
+
+def test_a_table_by_id_is_joined_where_the_rows_lie(spark, skewed, lookup, shuffled_joins, tmp_path):
+    """Repeated and null ids; the rows are shuffled once by id, and ``keep`` stores what is found."""
+    df = skewed.withColumn("row_id", F.when(F.col("row_id") % 7 > 0, F.col("row_id") % 4000))
+    totals = spark.range(0, 5000, 2).selectExpr("id AS row_id", "id * 3 AS total")
+    totals = totals.unionByName(spark.sql("SELECT CAST(null AS bigint) AS row_id, 5L AS total"))
+    expected = lookup_all(df, [("fk", lookup)], "row_id").join(totals, "row_id", "left")
+    expected = sorted(map(repr, expected.select("row_id", "fk", "found", "total").collect()))
+    for limit in (1_000_000, 10):
+        joined = lookup_all(df, [("fk", lookup)], "row_id", limit, totals, kept_in(str(tmp_path)))
+        assert joined.columns == ["row_id", "fk", "found", "total"]
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        # of the rows and of the table
+        assert len([line for line in plan if "Exchange hashpartitioning(row_id" in line]) == 2
+        assert sorted(map(repr, joined.collect())) == expected
+    assert len(list(tmp_path.iterdir())) == 2  # of rows with an id and of those without

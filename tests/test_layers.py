@@ -1,11 +1,13 @@
 """Layers: refused versions, declared schemas, refreshes side by side, stored reports."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from fleetlake import jobs, schemas
 from fleetlake.operators import keys, quality
-from fleetlake.sources.layers import IntegrityError, Layer
+from fleetlake.sources.layers import IntegrityError, Layer, shuffles_dropped
 
 
 def test_the_whole_report_of_a_refused_version_is_stored(spark, tmp_path):
@@ -85,3 +87,63 @@ def test_numbers_of_null_and_repeated_ids(spark):
     assert ids == sorted((i for i in ids if i is not None)) + [None] * 50
     alone = spark.createDataFrame([(None,), (None,), (3,)], "id long")
     assert sorted(r["number"] for r in keys.surrogate_key(alone, "id", "number").collect()) == [1, 2, 3]
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        name = found.next().getName()
+        names |= {name} if name.startswith("shuffle_") else set()
+    return names
+
+
+def gone(spark, before: set[str]) -> bool:
+    """Whether no other shuffle file than those before is left; Spark deletes them in the background."""
+    for _ in range(40):
+        if not shuffle_files(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, tmp_path):
+    """A later stage and the check find those of the stages before gone, too."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = shuffle_files(spark), []
+
+    def shuffled(n):
+        return spark.range(n).repartition("id").withColumn("m", F.col("id") % 3)
+
+    def second(stored):
+        seen.append(gone(spark, before))
+        return stored["a"].groupBy("m").count()
+
+    def check(stored):
+        seen.append(gone(spark, before))
+        return stored["b"].groupBy("m").agg(F.max("count").alias("n")).where("n > 1000")
+
+    layer = Layer(spark, str(tmp_path), "gold")
+    layout = {"a": ("m", ["id"])}
+    assert layer.refresh([{"a": lambda _: shuffled(3000)}, {"b": second}], check, layout) == {"a": 3000, "b": 3}
+    assert gone(spark, before) and seen == [True, True]
+    assert spark.conf.get(setting) == "false"
+    assert sorted(r["count"] for r in layer.table("b").collect()) == [1000] * 3
+
+
+def test_the_shuffle_setting_is_restored_by_the_last_block(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for before in ("false", "true", None):
+        if before:
+            spark.conf.set(setting, before)
+        first, second = shuffles_dropped(spark), shuffles_dropped(spark)
+        first.__enter__()
+        second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(setting) == "true"
+        second.__exit__(None, None, None)
+        assert spark.conf.get(setting, None) == before
+        with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+            1 / 0
+        assert spark.conf.get(setting, None) == before
+        spark.conf.unset(setting)

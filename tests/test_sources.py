@@ -264,3 +264,15 @@ def test_a_checkpoint_folder_that_executors_do_not_share_gives_way_to_the_wareho
             assert scratch_dir(cluster).startswith(f"file://{tmp_path}/warehouse/fleetlake-")
         assert cluster.asked == 2  # once per folder
     assert not os.listdir(tmp_path / "checkpoints") and not os.listdir(tmp_path / "warehouse")
+
+
+def test_compressed_files_are_bounded(spark, tmp_path):
+    text = F.when(F.col("id") % 3 == 0, F.lit("")).when(F.col("id") % 3 == 1, F.lit('a"b, c'))
+    df = spark.range(0, 50, 1, 2).select(F.col("id").cast("string").alias("id"), text.alias("t"))
+    path = str(tmp_path / "t.csv")
+    csv.write_csv(df, path, rows_per_file=10)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 6 and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(map(repr, csv.read_text(spark, path).collect())) == sorted(map(repr, df.collect()))
+    csv.write_csv(df.where("false"), path, rows_per_file=10)
+    assert csv.read_text(spark, path).columns == ["id", "t"] and csv.read_text(spark, path).count() == 0
